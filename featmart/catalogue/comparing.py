@@ -10,6 +10,7 @@ from ..operators.normalize import fit_normalizer
 from ..plans.evaluate import vectors
 from ..sinks.results import benchmark_documents
 from ..sources import results
+from ..workdir import cut
 from .base import (
     A_SQL, B_SQL, DIFFS_SQL, FEATURES, LAT_SQL, Query, feat, latencies, results_a, results_b, rounded, scored, table,
 )
@@ -244,9 +245,7 @@ _NET = model.Autoencoder.random(64, 4, (8,), seed=42)
 
 def ae_score(spark, sf_dir):
     rows = results_a(spark, sf_dir).withColumnRenamed("outputs", "features")
-    done = model.score_autoencoder(rows, _NET)
-    errors = recon.recon_rows(done).join(done.select("sample_id", "latent"), "sample_id")
-    return errors.select(
+    return recon.with_errors(model.score_autoencoder(rows, _NET)).select(
         "sample_id", *[rounded(F.col("latent")[i], 6).alias(f"z_{i}") for i in range(4)], rounded("mse").alias("mse"), rounded("mae").alias("mae")
     )
 
@@ -288,7 +287,7 @@ from ({_net_sql(_NET)})"""
 
 def pca_recon(spark, sf_dir):
     """A linear bottleneck fitted on normalized features, and each sample's error."""
-    rows = feat(spark, sf_dir)
+    rows = cut(feat(spark, sf_dir), "features")
     normalized = vectors(rows, fit_normalizer(rows, FEATURES))
     net = model.linear_autoencoder(normalized, 4)
     return recon.recon_rows(model.score_autoencoder(normalized, net))

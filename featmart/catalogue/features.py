@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import features as ops
 from ..operators import normalize
 from ..sources.synthetic import correlated_features
+from ..workdir import cut
 from .base import FEAT_SQL, FEATURES, GAPS_SQL, Query, feat, gaps, rounded, table
 
 _N = len(FEATURES)
@@ -74,7 +75,7 @@ _STATS_SQL = " union all ".join(
 
 
 def norm_apply(spark, sf_dir):
-    rows = gaps(spark, sf_dir)
+    rows = cut(gaps(spark, sf_dir), "features")
     fit = normalize.fit_normalizer(rows, FEATURES)
     return normalize.apply_normalizer(rows, fit).select("sample_id", *[rounded(f).alias(f) for f in FEATURES])
 

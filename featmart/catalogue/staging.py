@@ -8,6 +8,7 @@ from ..functions.text import epoch_text, file_name, shorten, table_name
 from ..operators import marts, quality, splits
 from ..operators.staging import union_by_position
 from ..sources import files
+from ..workdir import cut
 from .base import (
     COMBINED_SQL, RUN_TS, SAMPLES_SQL, TAGGED_EMULATOR_SQL, TAGGED_REAL_SQL, Query, combined, samples, split_sql, table,
     tagged_sources,
@@ -94,7 +95,8 @@ def split_filter(spark, sf_dir):
 
 
 def head_per_split(spark, sf_dir):
-    return splits.head_per_split(_split_orders(spark, sf_dir), 1000, "o_orderkey")
+    # The training table as it was written; it is read more than once.
+    return splits.head_per_split(cut(_split_orders(spark, sf_dir), "training"), 1000, "o_orderkey")
 
 
 def dim_sources(spark, sf_dir):

@@ -85,7 +85,7 @@ def _store(spark, sf_dir) -> FeatureStore:
         online=True,
     )
     registry = Registry([Entity("user", ("user_id",), T.LongType())], [view])
-    return FeatureStore(spark, registry, new_path(spark, "store"), {"events": table(spark, sf_dir, "events")})
+    return FeatureStore(spark, registry, new_path(spark, "store"), {"events": table(spark, sf_dir, "events")}, buckets=8)
 
 
 def online_lookup(spark, sf_dir):

@@ -18,10 +18,16 @@ def array_mean(values: Column | str) -> Column:
 
 
 def array_variance(values: Column | str) -> Column:
-    """Population variance of the elements."""
+    """Population variance of the elements, in one pass over them."""
     values = doubles(as_column(values))
-    mean = array_mean(values)
-    return array_mean(F.transform(values, lambda x: (x - mean) * (x - mean)))
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def add(acc: Column, x: Column) -> Column:
+        n, gap = acc["n"] + 1.0, x - acc["mean"]
+        mean = acc["mean"] + gap / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (acc["m2"] + gap * (x - mean)).alias("m2"))
+
+    return F.aggregate(values, start, add, lambda acc: F.when(acc["n"] > 0, acc["m2"] / acc["n"]))
 
 
 def doubles(values: Column) -> Column:

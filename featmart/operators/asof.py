@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..workdir import cut, small_side
+from ..workdir import constant, cut, small_side
 from .numbering import ordered_partitions
 
 
+MAX_KEYS = 1_000_000
+
+
 @dataclass(frozen=True)
 class FeatureRows:
     """One side of the join: a frame, its time column, the columns to fetch and how long a row stays valid.
@@ -41,19 +45,21 @@ def asof_join(
     ends count. Entity rows without a match, or with a null key or time, keep null features.
 
     Entities and all views go through one shuffle by key, however many views there are: each row carries either entity
-    columns or one view's features, and a running `last` per view fetches them. A key with more than `hot_rows` rows
-    would make that one long task, so such keys, found by a count, take a second way: their rows are range-partitioned
-    by key and time, which splits a key at any point, and the last feature row of each partition is handed on to the
-    partitions after it.
+    columns or one view's features, and a running `last` per view fetches them. Feature rows that no entity row can need,
+    by time and, when the entities have few keys, by key, are left out before the shuffle. A key with more than
+    `hot_rows` rows would make one long task, so such keys, found by a count, take a second way: their rows are
+    range-partitioned by key and time, which splits a key at any point, and the last feature row of each partition is
+    handed on to the partitions after it.
     """
     keys = list(keys)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, timestamp]])
-    rows = _stack(entities.filter(known), keys, timestamp, views)
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
-    hot = cut(counted.select(*keys), "hot-keys")
-    if hot.isEmpty():
+    present = entities.filter(known)
+    rows = _stack(present, keys, timestamp, _needed(present, keys, timestamp, views))
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if (counted.agg(F.max("n")).first()[0] or 0) <= hot_rows:
         matched = _forward_fill(rows, keys, views)
     else:
+        hot = cut(counted.filter(F.col("n") > hot_rows).select(*keys), "hot-keys")
         # At most rows / hot_rows keys.
         small = small_side(hot)
         cold = _forward_fill(rows.join(small, keys, "left_anti"), keys, views)
@@ -63,6 +69,41 @@ def asof_join(
     return result.unionByName(unknown, allowMissingColumns=True)
 
 
+def _needed(entities: DataFrame, keys: Sequence[str], timestamp: str, views: Sequence[FeatureRows]) -> list[FeatureRows]:
+    """The views without rows that are too new or too old for every entity row, or whose key no entity row has."""
+    kind = entities.schema[timestamp].dataType
+    spans = entities.groupBy(*keys).agg(F.min(timestamp).alias("_fm_a"), F.max(timestamp).alias("_fm_b"))
+    spans = cut(spans, "entity-spans").withColumnsRenamed({k: f"_fm_k_{i}" for i, k in enumerate(keys)})
+    ends = spans.agg(_as_value(F.min("_fm_a"), kind).alias("a"), _as_value(F.max("_fm_b"), kind).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    result = []
+    for view in views:
+        ts, df = F.col(view.timestamp), view.df
+
+        def in_time(first: Column, last: Column, view: FeatureRows = view, ts: Column = ts) -> Column:
+            known = ts <= last
+            return known if view.ttl is None else known & (ts >= first - F.expr(f"INTERVAL {view.ttl}"))
+
+        if ends["n"]:
+            # Constants, so this part reaches the scan.
+            df = df.filter(in_time(_as_moment(ends["a"], kind), _as_moment(ends["b"], kind)))
+        if ends["n"] <= MAX_KEYS:
+            # Narrowing by key pays only where it needs no shuffle of its own.
+            same = [F.col(k) == F.col(f"_fm_k_{i}") for i, k in enumerate(keys)]
+            match = reduce(lambda a, b: a & b, [*same, in_time(F.col("_fm_a"), F.col("_fm_b"))])
+            df = df.join(F.broadcast(spans), match, "left_semi")
+        result.append(replace(view, df=df))
+    return result
+
+
+def _as_value(moment: Column, kind: T.DataType) -> Column:
+    """A time in a form that survives the way to the driver and back, whatever the time zones."""
+    return F.unix_micros(moment) if isinstance(kind, T.TimestampType) else moment.cast("string")
+
+
+def _as_moment(value, kind: T.DataType) -> Column:
+    return F.timestamp_micros(F.lit(value)) if isinstance(kind, T.TimestampType) else F.lit(value).cast(kind)
+
+
 def _stack(entities: DataFrame, keys: Sequence[str], timestamp: str, views: Sequence[FeatureRows]) -> DataFrame:
     """Entities and views below each other: keys, time, side, ties, entity struct, one struct per view."""
     parts = [
@@ -104,8 +145,8 @@ def _forward_fill(rows: DataFrame, keys: Sequence[str], views: Sequence[FeatureR
 
 
 def _forward_fill_ranges(rows: DataFrame, keys: Sequence[str], views: Sequence[FeatureRows]) -> DataFrame:
-    spark = rows.sparkSession
     placed = ordered_partitions(rows, [*keys, *_order(views)], "asof")
+    parts = placed.agg(F.max("_fm_part")).first()[0] + 1
     key = F.struct(*keys)
     carriers = []
     for i in range(len(views)):
@@ -115,23 +156,22 @@ def _forward_fill_ranges(rows: DataFrame, keys: Sequence[str], views: Sequence[F
             F.max_by(F.struct(*keys, slot), F.col("_fm_place")).alias("_fm_carry")
         )
         last = cut(last, "asof-carry")
-        parts = sorted(r["_fm_part"] for r in placed.select("_fm_part").distinct().collect())
         holders = {r["_fm_part"] for r in last.select("_fm_part").collect()}
-        pairs, previous = [], None
-        for part in parts:
-            if previous is not None:
-                pairs.append((previous, part))
+        targets: list[list[int]] = [[] for _ in range(parts)]
+        holder = None
+        for part in range(parts):
+            if holder is not None:
+                targets[holder].append(part)
             if part in holders:
-                previous = part
-        if pairs:
-            links = spark.createDataFrame(pairs, "_fm_part int, _fm_to int")
-            carried = last.join(F.broadcast(links), "_fm_part").select(
+                holder = part
+        carriers.append(
+            last.select(
                 *[F.col(f"_fm_carry.{k}").alias(k) for k in keys],
-                F.col("_fm_to").alias("_fm_part"),
+                F.explode(F.get(constant(targets, "array<array<int>>"), F.col("_fm_part"))).alias("_fm_part"),
                 F.lit(-1).cast("long").alias("_fm_place"),
                 F.col(f"_fm_carry._fm_view_{i}").alias(f"_fm_view_{i}"),
             )
-            carriers.append(carried)
+        )
     all_rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [placed, *carriers])
 
     # A part may hold several keys; the filled row counts only where its key is the entity's.

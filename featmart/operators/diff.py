@@ -4,37 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import row_digest
+from ..functions.hashing import row_hashes
 
 
 def version_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that were added, removed or changed, as `(keys, change)`. Keys must be unique within a version.
 
-    Both versions are reduced to key and row digest and grouped by key: one shuffle of narrow rows, and no join that a
-    repeated or null key could blow up. A key found twice in one version is an error when the result is computed.
+    Both versions are reduced to key and two 64-bit row hashes and grouped by key: one shuffle of narrow rows, folded by
+    hash aggregation, and no join that a repeated or null key could blow up. A key found twice in one version is an error
+    when the result is computed.
     """
     columns = sorted(set(old.columns) | set(new.columns))
 
+    types = {f.name: f.dataType for df in (old, new) for f in df.schema.fields}
+
     def narrow(df: DataFrame, side: int) -> DataFrame:
-        padded = df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in columns])
-        return padded.select(*keys, row_digest(padded, columns).alias("d"), F.lit(side).alias("side"))
+        # Both sides in the new version's types, so that equal values have equal hashes.
+        padded = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns])
+        d, e = row_hashes(padded, columns)
+        return padded.select(*keys, d.alias("d"), e.alias("e"), F.lit(side).alias("side"))
 
     both = narrow(old, 0).unionByName(narrow(new, 1))
 
-    def side(value: int, aggregate):
-        return aggregate(F.when(F.col("side") == value, F.col("d")))
+    def side(value: int, aggregate, column: str) -> Column:
+        return aggregate(F.when(F.col("side") == value, F.col(column)))
 
     grouped = both.groupBy(*keys).agg(
-        side(0, F.max).alias("old"), side(1, F.max).alias("new"), side(0, F.count).alias("n_old"), side(1, F.count).alias("n_new")
+        *[side(i, F.max, c).alias(f"{c}_{n}") for i, n in enumerate(("old", "new")) for c in ("d", "e")],
+        side(0, F.count, "d").alias("n_old"),
+        side(1, F.count, "d").alias("n_new"),
     )
     change = (
         F.when((F.col("n_old") > 1) | (F.col("n_new") > 1), F.raise_error(F.lit("a key occurs twice in one version")))
-        .when(F.col("old").isNull(), "added")
-        .when(F.col("new").isNull(), "removed")
-        .when(F.col("old") != F.col("new"), "changed")
+        .when(F.col("n_old") == 0, "added")
+        .when(F.col("n_new") == 0, "removed")
+        .when((F.col("d_old") != F.col("d_new")) | (F.col("e_old") != F.col("e_new")), "changed")
     )
     return grouped.select(*keys, change.alias("change")).filter(F.col("change").isNotNull())
 

@@ -83,9 +83,12 @@ def row_mean(columns: Sequence[str]) -> Column:
     return row_sum(columns) / F.lit(float(len(columns)))
 
 
-def row_variance(columns: Sequence[str]) -> Column:
-    """Population variance over the columns of a row."""
-    return array_variance(F.array(*[F.col(c).cast("double") for c in columns]))
+def row_variance(columns: Sequence[str], mean: Column | None = None) -> Column:
+    """Population variance over the columns of a row; give the mean's column where there is one."""
+    if mean is None:
+        return array_variance(F.array(*[F.col(c).cast("double") for c in columns]))
+    squares = [(F.col(c).cast("double") - mean) * (F.col(c).cast("double") - mean) for c in columns]
+    return reduce(lambda a, b: a + b, squares) / F.lit(float(len(columns)))
 
 
 def with_row_statistics(df: DataFrame, prefix: str = "syscall", count: int = 20) -> DataFrame:
@@ -93,12 +96,12 @@ def with_row_statistics(df: DataFrame, prefix: str = "syscall", count: int = 20)
     names = normalized_names(prefix, count)
     others = [c for c in df.columns if c not in names]
     base = df.select(*others, *normalized_columns(df, prefix, count))
-    return base.withColumns(
+    summed = base.withColumn(f"{prefix}_total", row_sum(names))
+    averaged = summed.withColumn(f"{prefix}_mean", F.col(f"{prefix}_total") / F.lit(float(count)))
+    return averaged.withColumns(
         {
-            f"{prefix}_total": row_sum(names),
-            f"{prefix}_mean": row_mean(names),
-            f"{prefix}_variance": row_variance(names),
-            "is_high_activity": (row_sum(names) > HIGH_SYSCALL_TOTAL).cast("int"),
+            f"{prefix}_variance": row_variance(names, F.col(f"{prefix}_mean")),
+            "is_high_activity": (F.col(f"{prefix}_total") > HIGH_SYSCALL_TOTAL).cast("int"),
         }
     )
 

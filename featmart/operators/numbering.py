@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import as_column
-from ..workdir import cut
+from ..workdir import constant, cut
 
 _POSITION = "_fm_position"
 _SALT = "_fm_salt"
@@ -46,16 +47,59 @@ def number_rows(
     """`row_number() over (order by ...)` as one range shuffle.
 
     Each partition counts its own rows; the offsets are running sums over one count per partition, so what the driver
-    sees and broadcasts is as long as the number of shuffle partitions, whatever the number of rows.
+    sees and puts into the plan is as long as the number of shuffle partitions, whatever the number of rows.
     """
     placed = ordered_partitions(df, order_by, "numbered", stable_input)
-    counts = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n")).collect()
-    offset, offsets = start, []
-    for row in sorted(counts, key=lambda r: r[_PART]):
-        offsets.append((row[_PART], offset))
-        offset += row["n"]
-    if not offsets:
-        return placed.withColumn(name, F.lit(None).cast("long")).drop(_PART, "_fm_place")
-    small = df.sparkSession.createDataFrame(offsets, f"{_PART} int, _fm_offset long")
-    joined = placed.join(F.broadcast(small), _PART)
-    return joined.withColumn(name, F.col("_fm_offset") + F.col("_fm_place")).drop(_PART, "_fm_place", "_fm_offset")
+    counts = {r[_PART]: r["n"] for r in placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets, offset = [], start
+    for part in range(max(counts, default=-1) + 1):
+        offsets.append(offset)
+        offset += counts.get(part, 0)
+    number = F.get(constant(offsets, "array<bigint>"), F.col(_PART)) + F.col("_fm_place")
+    return placed.withColumn(name, number).drop(_PART, "_fm_place")
+
+
+def number_by_digest(
+    df: DataFrame,
+    groups: Sequence[str],
+    digest: str,
+    name: str = "row_id",
+    bucket_rows: int = 2_000_000,
+    max_buckets: int = 1_000_000,
+    stable_input: bool = False,
+) -> DataFrame:
+    """`row_number() over (order by groups, digest)` where `digest` is a column of md5 texts.
+
+    Digests are uniform, so their first digits cut every group into buckets that keep the order and are about equally
+    large. One narrow scan counts the buckets, and the numbering itself is one shuffle by bucket; nothing is written in
+    between. Where that does not hold, because there are very many groups or because copies of a row fill one bucket,
+    the rows are numbered by ranges instead.
+    """
+    known = df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(F.lit(0), *groups)).alias("g")).first()
+    rows, n_groups = known["n"], max(1, known["g"])
+    digits = 1
+    while rows / n_groups / 16**digits > bucket_rows:
+        digits += 1
+    order = [*groups, digest]
+    if n_groups * 16**digits > max_buckets:
+        return number_rows(df, order, name, stable_input=stable_input)
+    prefix = F.substring(digest, 1, digits)
+    tagged = df.withColumn("_fm_prefix", prefix)
+    buckets = cut(tagged.groupBy(*groups, "_fm_prefix").agg(F.count(F.lit(1)).alias("_fm_n")), "digest-buckets")
+    largest = buckets.agg(F.max("_fm_n")).first()[0] or 0
+    if largest > 8 * bucket_rows:
+        return number_rows(df, order, name, stable_input=stable_input)
+    # At most max_buckets narrow rows: one task can add them up, and they can be broadcast.
+    before = Window.orderBy(*groups, "_fm_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = buckets.withColumn("_fm_start", F.coalesce(F.sum("_fm_n").over(before), F.lit(0))).drop("_fm_n")
+    within = Window.partitionBy(*groups, "_fm_prefix").orderBy(digest)
+    numbered = tagged.withColumn("_fm_i", F.row_number().over(within))
+    matched = _match(numbered, offsets, [*groups, "_fm_prefix"])
+    return matched.withColumn(name, F.col("_fm_start") + F.col("_fm_i")).select(*df.columns, name)
+
+
+def _match(df: DataFrame, small: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Join a small frame by columns where null equals null."""
+    renamed = small.withColumnsRenamed({c: f"_fm_r_{i}" for i, c in enumerate(columns)})
+    same = [F.col(c).eqNullSafe(F.col(f"_fm_r_{i}")) for i, c in enumerate(columns)]
+    return df.join(F.broadcast(renamed), reduce(lambda a, b: a & b, same)).drop(*[f"_fm_r_{i}" for i in range(len(columns))])

@@ -52,18 +52,22 @@ def _parameters(fit: Quantizer) -> Column:
     return F.array(*[F.struct(F.lit(s).alias("scale"), F.lit(z).alias("zero")) for s, z in zip(fit.scale, fit.zero)])
 
 
-def quantized(features: Column, fit: Quantizer) -> Column:
+def _level(x: Column, p: Column) -> Column:
     """`round(x / scale) + zero`, half to even, clamped to the int8 range."""
+    level = F.rint(x / p["scale"]) + p["zero"]
+    return F.least(F.greatest(level, F.lit(float(LOWEST))), F.lit(float(HIGHEST))).cast("tinyint")
+
 
-    def one(x: Column, p: Column) -> Column:
-        level = F.rint(x / p["scale"]) + p["zero"]
-        return F.least(F.greatest(level, F.lit(float(LOWEST))), F.lit(float(HIGHEST))).cast("tinyint")
+def _value(q: Column, p: Column) -> Column:
+    return (q - p["zero"]) * p["scale"]
 
-    return F.zip_with(doubles(features), _parameters(fit), one)
+
+def quantized(features: Column, fit: Quantizer) -> Column:
+    return F.zip_with(doubles(features), _parameters(fit), _level)
 
 
 def restored(levels: Column, fit: Quantizer) -> Column:
-    return F.zip_with(levels, _parameters(fit), lambda q, p: (q - p["zero"]) * p["scale"])
+    return F.zip_with(levels, _parameters(fit), _value)
 
 
 def quantize(df: DataFrame, fit: Quantizer, features: str = "features") -> DataFrame:
@@ -75,12 +79,12 @@ def quantize(df: DataFrame, fit: Quantizer, features: str = "features") -> DataF
 
 def quantization_errors(df: DataFrame, fit: Quantizer, features: str = "features") -> DataFrame:
     """Mean and largest absolute error and number of clamped values per position, over all rows."""
-    levels = quantized(F.col(features), fit)
-    both = F.arrays_zip(doubles(F.col(features)).alias("x"), levels.alias("q"), restored(levels, fit).alias("y"))
-    flat = df.select(F.posexplode(both).alias("pos", "v"))
-    error = F.abs(F.col("v.x") - F.col("v.y"))
-    return flat.groupBy("pos").agg(
+    flat = df.select(F.posexplode(features).alias("pos", "x")).select("pos", F.col("x").cast("double").alias("x"))
+    flat = flat.withColumn("p", F.get(_parameters(fit), F.col("pos"))).filter(F.col("p").isNotNull())
+    levels = flat.withColumn("q", _level(F.col("x"), F.col("p")))
+    error = F.abs(F.col("x") - _value(F.col("q"), F.col("p")))
+    return levels.groupBy("pos").agg(
         F.avg(error).alias("mean_error"),
         F.max(error).alias("max_error"),
-        F.count_if(F.col("v.q").isin(LOWEST, HIGHEST)).alias("at_limit"),
+        F.count_if(F.col("q").isin(LOWEST, HIGHEST)).alias("at_limit"),
     )

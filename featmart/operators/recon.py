@@ -15,10 +15,15 @@ CONSISTENT_PCT, MINOR_PCT = 1.0, 5.0
 BINS = 100
 
 
+def with_errors(df: DataFrame, x: str = "features", y: str = "reconstructed") -> DataFrame:
+    """Append mean squared and mean absolute error; vectors of unequal length have none."""
+    diff = df.withColumn("_fm_d", abs_differences(x, y))
+    return diff.withColumns({"mse": mean_square(F.col("_fm_d")), "mae": array_mean("_fm_d")}).drop("_fm_d")
+
+
 def recon_rows(df: DataFrame, key: str = "sample_id", x: str = "features", y: str = "reconstructed") -> DataFrame:
     """Mean squared and mean absolute error of each sample."""
-    diff = df.select(key, abs_differences(x, y).alias("_fm_d"))
-    return diff.select(key, mean_square(F.col("_fm_d")).alias("mse"), array_mean("_fm_d").alias("mae")).filter(F.col("mse").isNotNull())
+    return with_errors(df, x, y).select(key, "mse", "mae").filter(F.col("mse").isNotNull())
 
 
 def feature_errors(df: DataFrame, names: Sequence[str] | None = None, x: str = "features", y: str = "reconstructed") -> DataFrame:

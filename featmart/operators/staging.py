@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import row_digest
 from ..sources.files import INGESTION_TIME, timestamp_literal
-from .numbering import number_rows
+from .numbering import number_by_digest
 
 DATA_SOURCE = "data_source"
 LOADED_AT = "_dbt_loaded_at"
@@ -33,14 +33,13 @@ def union_by_position(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, frames)
 
 
-def add_sample_ids(df: DataFrame, tie: Column | None = None, stable_input: bool = True) -> DataFrame:
+def add_sample_ids(df: DataFrame, tie: Column | None = None, stable_input: bool = True, **options) -> DataFrame:
     """Number all rows by source, ingestion time and a tie-break.
 
-    The default tie-break is a digest of the row's content, so numbers do not depend on file or partition layout; rows
-    that are equal in every column are interchangeable. Staged frames come straight from files, hence `stable_input`.
+    `tie` is an md5 text; the default is that of the row's content, so numbers do not depend on file or partition layout,
+    and rows that are equal in every column are interchangeable. Staged frames come straight from files, hence
+    `stable_input`.
     """
-    order: list[Column | str] = [DATA_SOURCE]
-    if INGESTION_TIME in df.columns:
-        order.append(INGESTION_TIME)
+    groups = [DATA_SOURCE, *([INGESTION_TIME] if INGESTION_TIME in df.columns else [])]
     tied = df.withColumn("_fm_tie", row_digest(df) if tie is None else tie)
-    return number_rows(tied, [*order, "_fm_tie"], name=SAMPLE_ID, stable_input=stable_input).drop("_fm_tie")
+    return number_by_digest(tied, groups, "_fm_tie", SAMPLE_ID, stable_input=stable_input, **options).drop("_fm_tie")

@@ -66,7 +66,7 @@ def evaluate(
     seconds = time.monotonic() - started
     metrics |= {"eval_time_seconds": seconds, "eval_throughput_samples_per_sec": metrics["eval_samples"] / seconds}
     if trained_loss:
-        pair = df.sparkSession.createDataFrame([(float(trained_loss), metrics["test_loss"])], "old double, new double")
+        pair = df.sparkSession.range(1).select(F.lit(float(trained_loss)).alias("old"), F.lit(metrics["test_loss"]).alias("new"))
         drift = metric_drift(pair, "old", "new").first()
         metrics |= {"original_test_loss": drift["old"], "test_loss_diff": drift["difference"], "test_loss_pct_diff": drift["pct_difference"], "band": drift["band"]}
     return Evaluation(summary, samples, by_feature, metrics)

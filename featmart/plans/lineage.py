@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import schema_hash
-from ..sources.files import has_files
+from ..sources.files import timestamp_literal
+from ..workdir import append_entry, make_folder, text_map
 
 _ENTRY = "run_id string, kind string, key string, value string, logged_at timestamp_ntz"
 _MODEL = "model string, version string, stage string, run_id string"
@@ -21,10 +22,20 @@ class RunLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        for part in ("entries", "models"):
+            make_folder(spark, f"{self.path}/{part}")
 
     def log(self, run_id: str, kind: str, values: Mapping, logged_at) -> None:
-        rows = [(run_id, kind, str(k), v if isinstance(v, str) else json.dumps(v), logged_at) for k, v in values.items()]
-        self.spark.createDataFrame(rows, _ENTRY).coalesce(1).write.mode("append").json(f"{self.path}/entries")
+        texts = {str(k): v if isinstance(v, str) else json.dumps(v) for k, v in values.items()}
+        if not texts:
+            return
+        rows = self.spark.range(1).coalesce(1).select(
+            F.lit(run_id).alias("run_id"),
+            F.lit(kind).alias("kind"),
+            F.explode(text_map(texts)).alias("key", "value"),
+            timestamp_literal(logged_at).alias("logged_at"),
+        )
+        rows.write.mode("append").json(f"{self.path}/entries")
 
     def log_params(self, run_id: str, values: Mapping, logged_at) -> None:
         self.log(run_id, "param", values, logged_at)
@@ -46,8 +57,6 @@ class RunLog:
         self.log_params(run_id, params, logged_at)
 
     def entries(self) -> DataFrame:
-        if not has_files(self.spark, f"{self.path}/entries", "*.json"):
-            return self.spark.createDataFrame([], _ENTRY)
         return self.spark.read.schema(_ENTRY).json(f"{self.path}/entries")
 
     def params(self, run_id: str) -> dict[str, str]:
@@ -58,13 +67,11 @@ class RunLog:
         """Add the next version of a model."""
         last = latest_versions(self.models().filter(F.col("model") == model)).first()
         version = 1 if last is None else last["version"] + 1
-        row = self.spark.createDataFrame([(model, str(version), stage, run_id)], _MODEL)
-        row.coalesce(1).write.mode("append").json(f"{self.path}/models")
+        entry = {"model": F.lit(model), "version": F.lit(str(version)), "stage": F.lit(stage), "run_id": F.lit(run_id)}
+        append_entry(self.spark, f"{self.path}/models", entry, "append")
         return version
 
     def models(self) -> DataFrame:
-        if not has_files(self.spark, f"{self.path}/models", "*.json"):
-            return self.spark.createDataFrame([], _MODEL)
         return self.spark.read.schema(_MODEL).json(f"{self.path}/models")
 
     def run_of_model(self, model: str, version: str) -> str:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..operators.diff import version_diff
 from ..operators.quality import Checks, require
 from ..sinks.tables import write_parquet
-from ..sources.files import data_files, has_files
+from ..sources.files import data_files, timestamp_literal
+from ..workdir import append_entry, make_folder, text_map
 
 MAIN = "main"
 UNKNOWN = "unknown"
@@ -48,18 +49,16 @@ class VersionLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        for part in ("log", "tags"):
+            make_folder(spark, f"{self.path}/{part}")
 
     # Listing
 
     def commits(self) -> DataFrame:
         """All commits: `(branch, version, commit_id, parent, message, metadata, committed_at, operation, tables)`."""
-        if not has_files(self.spark, f"{self.path}/log/branch=*/version=*", "*.json"):
-            return self.spark.createDataFrame([], f"{_COMMIT}, branch string, version int")
         return self.spark.read.schema(f"{_COMMIT}, branch string, version int").json(f"{self.path}/log")
 
     def tags(self) -> DataFrame:
-        if not has_files(self.spark, f"{self.path}/tags/tag=*", "*.json"):
-            return self.spark.createDataFrame([], f"{_TAG}, tag string")
         return self.spark.read.schema(f"{_TAG}, tag string").json(f"{self.path}/tags")
 
     def head(self, branch: str = MAIN) -> Commit | None:
@@ -68,7 +67,8 @@ class VersionLog:
 
     def resolve(self, ref: str) -> str:
         """Commit id of a branch, tag or commit; `unknown` when there is none."""
-        return self.spark.createDataFrame([(ref,)], "ref string").transform(lambda d: resolve_refs(d, self.commits(), self.tags())).first()["commit_id"]
+        refs = self.spark.range(1).select(F.lit(ref).alias("ref"))
+        return resolve_refs(refs, self.commits(), self.tags()).first()["commit_id"]
 
     def commit_of(self, ref: str) -> Commit:
         row = self.commits().filter(F.col("commit_id") == self.resolve(ref)).first()
@@ -93,7 +93,7 @@ class VersionLog:
 
     def read_at(self, table: str, moment: datetime, branch: str = MAIN) -> DataFrame:
         """A table as it was at a point in time."""
-        row = latest_snapshot(self.commits().filter((F.col("branch") == branch) & (F.col("committed_at") <= F.lit(moment).cast("timestamp_ntz")))).first()
+        row = latest_snapshot(self.commits().filter((F.col("branch") == branch) & (F.col("committed_at") <= timestamp_literal(moment)))).first()
         if row is None or table not in row["tables"]:
             raise ValueError(f"{table} did not exist on {branch} at {moment}")
         return self.spark.read.parquet(row["tables"][table])
@@ -120,7 +120,9 @@ class VersionLog:
         operation: str = "commit",
     ) -> Commit:
         """Append a commit that changes the given tables. `base_version` is the head the change was made from."""
-        head = self.head(branch)
+        return self._append(self.head(branch), branch, tables, message, committed_at, metadata, base_version, operation)
+
+    def _append(self, head, branch, tables, message, committed_at, metadata=None, base_version=None, operation="commit") -> Commit:
         version = 0 if head is None else head.version + 1
         if base_version is not None and base_version != version - 1:
             raise ConflictError(f"{branch} is at version {version - 1}, the run began at {base_version}")
@@ -128,16 +130,31 @@ class VersionLog:
         parent = head.commit_id if head else None
         text = "|".join([branch, str(version), str(parent), message, committed_at.isoformat(), *[f"{k}={v}" for k, v in sorted(merged.items())]])
         commit_id = hashlib.sha256(text.encode()).hexdigest()
-        row = (commit_id, parent, message, dict(metadata or {}), committed_at, operation, merged)
-        entry = self.spark.createDataFrame([row], _COMMIT)
+        entry = {
+            "commit_id": F.lit(commit_id),
+            "parent": F.lit(parent),
+            "message": F.lit(message),
+            "metadata": text_map(metadata or {}),
+            "committed_at": timestamp_literal(committed_at),
+            "operation": F.lit(operation),
+            "tables": text_map(merged),
+        }
         try:
-            entry.coalesce(1).write.mode("errorifexists").json(f"{self.path}/log/branch={branch}/version={version}")
+            append_entry(self.spark, f"{self.path}/log/branch={branch}/version={version}", entry, "errorifexists")
         except AnalysisException as error:
             raise ConflictError(f"version {version} of {branch} was written meanwhile") from error
         return Commit(branch, version, commit_id, merged)
 
     def commit_table(
-        self, branch: str, table: str, df: DataFrame, keys: Sequence[str], message: str, committed_at: datetime, run: str, **more
+        self,
+        branch: str,
+        table: str,
+        df: DataFrame,
+        keys: Sequence[str],
+        message: str,
+        committed_at: datetime,
+        run: str,
+        metadata: Mapping[str, str] | None = None,
     ) -> Commit | None:
         """Store a table and commit it unless it equals the branch's version row by row; then there is no commit."""
         head = self.head(branch)
@@ -146,7 +163,8 @@ class VersionLog:
             old, new = self.spark.read.parquet(head.tables[table]), self.spark.read.parquet(path)
             if version_diff(old, new, keys).isEmpty():
                 return None
-        return self.commit(branch, {table: path}, message, committed_at, base_version=head.version if head else None, **more)
+        # The head read above is the base: a commit made meanwhile has taken the version number.
+        return self._append(head, branch, {table: path}, message, committed_at, metadata)
 
     def tag(self, name: str, commit_id: str) -> bool:
         """Name a commit. Repeating a tag is fine, moving it is not; unknown commits are skipped."""
@@ -155,7 +173,7 @@ class VersionLog:
         have = self.tags().filter(F.col("tag") == name).first()
         if have is not None:
             return have["commit_id"] == commit_id
-        self.spark.createDataFrame([(commit_id,)], _TAG).coalesce(1).write.mode("errorifexists").json(f"{self.path}/tags/tag={name}")
+        append_entry(self.spark, f"{self.path}/tags/tag={name}", {"commit_id": F.lit(commit_id)}, "errorifexists")
         return True
 
     def tag_model_data(self, model: str, version: str | int, commit_id: str) -> str | None:
@@ -212,9 +230,9 @@ def resolve_refs(refs: DataFrame, commits: DataFrame, tags: DataFrame) -> DataFr
         .unionByName(tags.select(F.col("tag").alias("ref"), "commit_id", F.lit(1).alias("o")))
         .unionByName(commits.select(F.col("commit_id").alias("ref"), "commit_id", F.lit(2).alias("o")))
     )
-    # Branches win over tags, tags over commits.
-    unique = names.groupBy("ref").agg(F.min_by("commit_id", "o").alias("commit_id"))
-    return refs.join(unique, "ref", "left").withColumn("commit_id", F.coalesce("commit_id", F.lit(UNKNOWN)))
+    # Only names that are asked for are grouped. Branches win over tags, tags over commits.
+    found = names.join(refs.select("ref").distinct(), "ref").groupBy("ref").agg(F.min_by("commit_id", "o").alias("commit_id"))
+    return refs.join(found, "ref", "left").withColumn("commit_id", F.coalesce("commit_id", F.lit(UNKNOWN)))
 
 
 def version_drift(trained: DataFrame, current: DataFrame, keys: Sequence[str], version: str = "version") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.compare import WORST_STORED, worst_samples
 from ..operators.latency import latency_statistics
 from ..sources.results import benchmark_struct, sample_struct
+from ..workdir import cut, small_side
 
 SAMPLES_PER_DOCUMENT = 10_000
 
@@ -35,8 +36,8 @@ def benchmark_documents(
     many samples each, so no task ever holds a whole run. Readers that explode the results see one run.
     """
     stats = latency_statistics(samples).withColumn("_fm_parts", F.ceil(F.col("total_samples") / F.lit(per_document)))
-    # One row per model on the right side.
-    joined = samples.join(stats.select("model", "_fm_parts", metrics_struct().alias("metrics")), "model")
+    header = cut(stats.select("model", "_fm_parts", metrics_struct().alias("metrics")), "benchmark-headers")
+    joined = samples.join(small_side(header), "model")
     part = F.pmod(F.xxhash64("sample_id"), F.col("_fm_parts")).alias("part")
     sample = sample_struct(F.col("sample_id"), F.col("latency_ms"), F.col("outputs"))
     grouped = joined.groupBy("model", part).agg(F.first("metrics").alias("metrics"), F.collect_list(sample).alias("results"))

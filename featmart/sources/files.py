@@ -102,11 +102,8 @@ def read_raw(
 
 
 def has_files(spark: SparkSession, path: str, pattern: str) -> bool:
-    """Whether a folder (`path` may be a pattern too) has files of that name."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    matches = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}"))
-    return matches is not None and len(matches) > 0
+    """Whether an existing folder has files of that name. The listing is read, not the files."""
+    return bool(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).inputFiles())
 
 
 def data_files(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators.features import with_on_demand_scores
 from ..operators.latest import latest_per_key
 from ..sinks.tables import overwrite_partitions, write_parquet
 from ..sources.files import timestamp_literal
-from .online import OnlineTable
+from .online import BUCKETS, OnlineTable
 from .registry import FeatureView, Registry
 
 DEFAULT_DAYS = 30
@@ -22,11 +22,14 @@ DEFAULT_DAYS = 30
 class FeatureStore:
     """Feature views over tables. `tables` maps a view's source name to a frame; other names are read from the catalog."""
 
-    def __init__(self, spark: SparkSession, registry: Registry, path: str, tables: Mapping[str, DataFrame] | None = None):
+    def __init__(
+        self, spark: SparkSession, registry: Registry, path: str, tables: Mapping[str, DataFrame] | None = None, buckets: int = BUCKETS
+    ):
         self.spark = spark
         self.registry = registry
         self.path = path.rstrip("/")
         self.tables = dict(tables or {})
+        self.buckets = buckets
 
     def source(self, view: FeatureView) -> DataFrame:
         df = self.tables[view.source] if view.source in self.tables else self.spark.table(view.source)
@@ -35,7 +38,8 @@ class FeatureStore:
 
     def online(self, view_name: str) -> OnlineTable:
         view = self.registry.view(view_name)
-        return OnlineTable(self.spark, f"{self.path}/online/{view.name}", self.registry.join_keys(view), view.timestamp_field, view.tie)
+        path = f"{self.path}/online/{view.name}"
+        return OnlineTable(self.spark, path, self.registry.join_keys(view), view.timestamp_field, view.tie, self.buckets)
 
     def get_historical_features(
         self, entities: DataFrame, references: Sequence[str], timestamp: str = "event_timestamp", full_names: bool = False, **options

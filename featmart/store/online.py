@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.latest import latest_per_key
 from ..sinks.tables import observed
-from ..sources.files import has_files
+from ..workdir import append_entry, make_folder
 
 BUCKETS = 64
 _LOG = "kind string, covers array<string>, until string, rows bigint"
@@ -30,6 +30,7 @@ class OnlineTable:
         self.timestamp = timestamp
         self.tie = list(tie)
         self.buckets = buckets
+        make_folder(spark, f"{path}/log")
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int")
@@ -39,7 +40,7 @@ class OnlineTable:
         return self.spark.read.schema(f"{_LOG}, name string").json(f"{self.path}/log")
 
     def _entries(self) -> list:
-        return self.log().collect() if has_files(self.spark, f"{self.path}/log/name=*", "*.json") else []
+        return self.log().collect()
 
     def batches(self) -> list[str]:
         """Names of the batches that make up the table: those that no compacted batch covers."""
@@ -56,9 +57,9 @@ class OnlineTable:
         counted, watch = observed(bucketed.hint("rebalance", F.col("bucket")))
         counted.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/name={name}")
         rows = watch.get["rows"]
-        entry = self.spark.createDataFrame([(kind, list(covers), until, rows)], _LOG)
         # The log entry comes last: readers see whole batches only.
-        entry.coalesce(1).write.mode("overwrite").json(f"{self.path}/log/name={name}")
+        entry = {"kind": F.lit(kind), "covers": F.array(*[F.lit(c) for c in covers]), "until": F.lit(until), "rows": F.lit(rows)}
+        append_entry(self.spark, f"{self.path}/log/name={name}", entry, "overwrite")
         return rows
 
     def upsert(self, newest: DataFrame, until: str | None = None, name: str | None = None) -> int:

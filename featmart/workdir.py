@@ -7,10 +7,12 @@ is columnar a later pass reads only the columns it needs.
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
@@ -51,3 +53,26 @@ def small_side(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     A larger frame is returned as it is and joins by shuffle.
     """
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def make_folder(spark: SparkSession, path: str) -> str:
+    """Make sure that a ledger's folder exists, so that reading it before the first entry gives no rows."""
+    # Names with a leading underscore are not data for Spark's readers.
+    spark.range(1).write.mode("ignore").json(f"{path}/_format")
+    return path
+
+
+def append_entry(spark: SparkSession, path: str, columns: Mapping[str, Column], mode: str) -> None:
+    """Write one ledger row, given as constant columns, as one small file."""
+    spark.range(1).coalesce(1).select(*[c.alias(n) for n, c in columns.items()]).write.mode(mode).json(path)
+
+
+def constant(value, ddl: str) -> Column:
+    """A constant of a nested type; the optimizer folds it once, tasks only see the value."""
+    return F.from_json(F.lit(json.dumps(value)), ddl)
+
+
+def text_map(values: Mapping[str, str]) -> Column:
+    """A constant map."""
+    pairs = [F.lit(x) for pair in values.items() for x in pair]
+    return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
