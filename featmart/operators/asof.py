@@ -55,11 +55,11 @@ def asof_join(
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, timestamp]])
     present = entities.filter(known)
     rows = _stack(present, keys, timestamp, _needed(present, keys, timestamp, views))
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    if (counted.agg(F.max("n")).first()[0] or 0) <= hot_rows:
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm_n"))
+    if (counted.agg(F.max("_fm_n")).first()[0] or 0) <= hot_rows:
         matched = _forward_fill(rows, keys, views)
     else:
-        hot = cut(counted.filter(F.col("n") > hot_rows).select(*keys), "hot-keys")
+        hot = cut(counted.filter(F.col("_fm_n") > hot_rows).select(*keys), "hot-keys")
         # At most rows / hot_rows keys.
         small = small_side(hot)
         cold = _forward_fill(rows.join(small, keys, "left_anti"), keys, views)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import abs_differences, array_mean, mean_square
+from ..functions.vectors import abs_differences, array_mean, doubles, mean_square
 
 TOLERANCE = 0.01
 PASS_RATE = 0.99
@@ -95,6 +95,6 @@ def mean_of_means(df: DataFrame, values: str = "outputs") -> DataFrame:
 
 def determinism(runs: DataFrame, key: str = "sample_id", values: str = "outputs", limit: float = REPEATABLE) -> DataFrame:
     """Per sample the largest spread of a position over repeated runs, and whether it is below the limit."""
-    flat = runs.select(key, F.posexplode(values).alias("pos", "x")).withColumn("x", F.col("x").cast("double"))
-    spread = flat.groupBy(key, "pos").agg((F.max("x") - F.min("x")).alias("spread"))
-    return spread.groupBy(key).agg(F.max("spread").alias("max_spread")).withColumn("deterministic", F.col("max_spread") < limit)
+    flat = runs.select(key, F.posexplode(doubles(F.col(values))).alias("_fm_pos", "_fm_x"))
+    spread = flat.groupBy(key, "_fm_pos").agg((F.max("_fm_x") - F.min("_fm_x")).alias("_fm_spread"))
+    return spread.groupBy(key).agg(F.max("_fm_spread").alias("max_spread")).withColumn("deterministic", F.col("max_spread") < limit)

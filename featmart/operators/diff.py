@@ -25,23 +25,23 @@ def version_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
         # Both sides in the new version's types, so that equal values have equal hashes.
         padded = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns])
         d, e = row_hashes(padded, columns)
-        return padded.select(*keys, d.alias("d"), e.alias("e"), F.lit(side).alias("side"))
+        return padded.select(*keys, d.alias("_fm_d"), e.alias("_fm_e"), F.lit(side).alias("_fm_side"))
 
     both = narrow(old, 0).unionByName(narrow(new, 1))
 
     def side(value: int, aggregate, column: str) -> Column:
-        return aggregate(F.when(F.col("side") == value, F.col(column)))
+        return aggregate(F.when(F.col("_fm_side") == value, F.col(column)))
 
     grouped = both.groupBy(*keys).agg(
-        *[side(i, F.max, c).alias(f"{c}_{n}") for i, n in enumerate(("old", "new")) for c in ("d", "e")],
-        side(0, F.count, "d").alias("n_old"),
-        side(1, F.count, "d").alias("n_new"),
+        *[side(i, F.max, c).alias(f"{c}_{n}") for i, n in enumerate(("old", "new")) for c in ("_fm_d", "_fm_e")],
+        side(0, F.count, "_fm_d").alias("_fm_n_old"),
+        side(1, F.count, "_fm_d").alias("_fm_n_new"),
     )
     change = (
-        F.when((F.col("n_old") > 1) | (F.col("n_new") > 1), F.raise_error(F.lit("a key occurs twice in one version")))
-        .when(F.col("n_old") == 0, "added")
-        .when(F.col("n_new") == 0, "removed")
-        .when((F.col("d_old") != F.col("d_new")) | (F.col("e_old") != F.col("e_new")), "changed")
+        F.when((F.col("_fm_n_old") > 1) | (F.col("_fm_n_new") > 1), F.raise_error(F.lit("a key occurs twice in one version")))
+        .when(F.col("_fm_n_old") == 0, "added")
+        .when(F.col("_fm_n_new") == 0, "removed")
+        .when((F.col("_fm_d_old") != F.col("_fm_d_new")) | (F.col("_fm_e_old") != F.col("_fm_e_new")), "changed")
     )
     return grouped.select(*keys, change.alias("change")).filter(F.col("change").isNotNull())
 

@@ -21,19 +21,19 @@ def latency_statistics(
     group and latency, so what is sorted is one row per distinct millisecond; throughput is 0 when the sum is 0.
     """
     group = list(group)
-    histogram = df.groupBy(*group, F.col(latency).cast("long").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    histogram = df.groupBy(*group, F.col(latency).cast("long").alias("_fm_v")).agg(F.count(F.lit(1)).alias("_fm_c"))
     whole = Window.partitionBy(*group)
-    upto = F.sum("c").over(whole.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    counted = histogram.withColumn("upto", upto).withColumn("n", F.sum("c").over(whole))
-    index = {p: F.floor(F.lit(p / 100.0) * (F.col("n") - 1)) for p in percentiles}
-    total = F.sum(F.col("v") * F.col("c"))
+    upto = F.sum("_fm_c").over(whole.orderBy("_fm_v").rowsBetween(Window.unboundedPreceding, 0))
+    counted = histogram.withColumn("_fm_upto", upto).withColumn("_fm_n", F.sum("_fm_c").over(whole))
+    index = {p: F.floor(F.lit(p / 100.0) * (F.col("_fm_n") - 1)) for p in percentiles}
+    total = F.sum(F.col("_fm_v") * F.col("_fm_c"))
     stats = counted.groupBy(*group).agg(
-        F.max("n").alias("total_samples"),
-        (total / F.max("n")).alias("avg_latency_ms"),
-        F.min("v").alias("min_latency_ms"),
-        F.max("v").alias("max_latency_ms"),
-        *[F.min(F.when(F.col("upto") > i, F.col("v"))).alias(f"p{p}_latency_ms") for p, i in index.items()],
-        F.when(total > 0, F.max("n") * F.lit(1000.0) / total).otherwise(F.lit(0.0)).alias("throughput_samples_per_sec"),
+        F.max("_fm_n").alias("total_samples"),
+        (total / F.max("_fm_n")).alias("avg_latency_ms"),
+        F.min("_fm_v").alias("min_latency_ms"),
+        F.max("_fm_v").alias("max_latency_ms"),
+        *[F.min(F.when(F.col("_fm_upto") > i, F.col("_fm_v"))).alias(f"p{p}_latency_ms") for p, i in index.items()],
+        F.when(total > 0, F.max("_fm_n") * F.lit(1000.0) / total).otherwise(F.lit(0.0)).alias("throughput_samples_per_sec"),
     )
     return stats
 

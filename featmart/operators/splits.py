@@ -86,43 +86,43 @@ def stratified_split(
     per_prefix = tagged.groupBy("_fm_stratum", "_fm_prefix").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("_fm_stratum").orderBy("_fm_prefix").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("_fm_stratum")
-    running = per_prefix.select(
-        "_fm_stratum", "_fm_prefix", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(whole).alias("total")
-    )
+    running = per_prefix.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(whole)})
     share, ends = 0.0, []
     for name in names[:-1]:
         share += shares[name]
-        ends.append(F.struct(F.lit(name).alias("split"), F.floor(F.col("total") * F.lit(Decimal(str(round(share, 12))))).cast("long").alias("end")))
+        end = F.floor(F.col("total") * F.lit(Decimal(str(round(share, 12))))).cast("long")
+        ends.append(F.struct(F.lit(name).alias("split"), end.alias("end")))
+    first = F.col("upto") - F.col("n")
     wanted = running.withColumn("e", F.explode(F.array(*ends))).filter(
-        (F.col("e.end") > 0) & (F.col("e.end") <= F.col("upto")) & (F.col("e.end") > F.col("upto") - F.col("n"))
+        (F.col("e.end") > 0) & (F.col("e.end") <= F.col("upto")) & (F.col("e.end") > first)
     )
     wanted = cut(
         wanted.select(
-            F.col("_fm_stratum").alias("s"),
-            F.col("_fm_prefix").alias("p"),
-            F.col("e.split").alias("split"),
-            (F.col("e.end") - (F.col("upto") - F.col("n"))).alias("take"),
+            F.col("_fm_stratum").alias("_fm_s"),
+            F.col("_fm_prefix").alias("_fm_p"),
+            F.col("e.split").alias("_fm_split"),
+            (F.col("e.end") - first).alias("_fm_take"),
         ),
         "split-prefixes",
     )
 
     # Digests of the few prefixes in which a split ends; copies of a key collapse in the partial aggregate.
     inside = tagged.select("_fm_stratum", "_fm_prefix", "_fm_digest").join(
-        small_side(wanted), F.col("_fm_stratum").eqNullSafe(F.col("s")) & (F.col("_fm_prefix") == F.col("p"))
+        small_side(wanted), F.col("_fm_stratum").eqNullSafe(F.col("_fm_s")) & (F.col("_fm_prefix") == F.col("_fm_p"))
+    )
+    digests = inside.groupBy("_fm_s", "_fm_split", "_fm_take", "_fm_digest").agg(F.count(F.lit(1)).alias("n"))
+    within = Window.partitionBy("_fm_s", "_fm_split").orderBy("_fm_digest").rowsBetween(Window.unboundedPreceding, 0)
+    hits = digests.withColumn("upto", F.sum("n").over(within)).filter(
+        (F.col("_fm_take") <= F.col("upto")) & (F.col("_fm_take") > F.col("upto") - F.col("n"))
     )
-    digests = inside.groupBy("s", "split", "take", "_fm_digest").agg(F.count(F.lit(1)).alias("n"))
-    within = Window.partitionBy("s", "split").orderBy("_fm_digest").rowsBetween(Window.unboundedPreceding, 0)
-    bounds = (
-        digests.withColumn("upto", F.sum("n").over(within))
-        .filter((F.col("take") <= F.col("upto")) & (F.col("take") > F.col("upto") - F.col("n")))
-        .groupBy("s")
-        .agg(*[F.max(F.when(F.col("split") == name, F.col("_fm_digest"))).alias(f"_fm_end_{i}") for i, name in enumerate(names[:-1])])
+    bounds = hits.groupBy("_fm_s").agg(
+        *[F.max(F.when(F.col("_fm_split") == name, F.col("_fm_digest"))).alias(f"_fm_end_{i}") for i, name in enumerate(names[:-1])]
     )
 
     label = F.lit(names[-1])
     for i, name in reversed(list(enumerate(names[:-1]))):
         label = F.when(F.col("_fm_digest") <= F.col(f"_fm_end_{i}"), F.lit(name)).otherwise(label)
-    joined = tagged.join(small_side(cut(bounds, "split-bounds")), F.col("_fm_stratum").eqNullSafe(F.col("s")), "left")
+    joined = tagged.join(small_side(cut(bounds, "split-bounds")), F.col("_fm_stratum").eqNullSafe(F.col("_fm_s")), "left")
     return joined.select(
         F.col(key).cast("string").alias("entity_key"),
         (F.lit(None).cast("timestamp_ntz") if event_timestamp is None else event_timestamp).alias("event_timestamp"),

@@ -29,7 +29,7 @@ _METRICS = [part.split()[0] for part in METRIC_FIELDS.split(", ")]
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """JSON files as one text value each. A file is one document, so its size is that of one result file."""
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def result_rows(df: DataFrame, json: Column | str = "value", id_name: str = "sample_id", values_name: str = "outputs") -> DataFrame:
