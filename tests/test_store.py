@@ -175,12 +175,14 @@ def test_stream_upsert_resumes(spark, tmp_path):
 
 
 def test_stream_daily_drops_late_rows(spark, tmp_path):
-    """The second file moves the watermark past the first day, so the third file's row of that day is late."""
-    write_files(spark, tmp_path / "in", BATCHES)
+    """The second file moves the watermark past the first day. It filters from the batch after the next one on, so the
+    last file's row of that day is late."""
+    batches = [*BATCHES[:2], [(7, "b", T0 + 32 * HOUR, 1.0)], BATCHES[2]]
+    write_files(spark, tmp_path / "in", batches)
     online = OnlineTable(spark, str(tmp_path / "online"), ["user_id", "day"], "batch_id", buckets=2)
     streams.run_to_end(streams.daily_upsert(read_stream(spark, tmp_path / "in"), online, str(tmp_path / "cp"), delay="1 hour"))
     got = {(r["user_id"], r["day"]): (r["n_events"], r["total_value"], r["max_value"]) for r in online.read().collect()}
-    batch = streams.daily_user_features(spark.createDataFrame(sum(BATCHES, []), EVENT)).collect()
+    batch = streams.daily_user_features(spark.createDataFrame(sum(batches, []), EVENT)).collect()
     want = {(r["user_id"], r["day"]): (r["n_events"], r["total_value"], r["max_value"]) for r in batch}
     late = ("a", T0)
     assert got.keys() == want.keys() and {k: v for k, v in got.items() if k != late} == {k: v for k, v in want.items() if k != late}
