@@ -18,6 +18,7 @@ class _Search:
     """One wanted rank and the value range it is known to lie in."""
 
     where: Column
+    group: int
     rank: int
     low: object
     high: object
@@ -57,7 +58,7 @@ def order_statistics(
         n = ends[f"{k}_n"]
         if not 0 <= rank < n:
             raise ValueError(f"rank {rank} of {k} is outside its {n} rows")
-        searches[k] = _Search(filters[k], rank, ends[f"{k}_min"], ends[f"{k}_max"], 0, n)
+        searches[k] = _Search(filters[k], id(wanted[k][0]), rank, ends[f"{k}_min"], ends[f"{k}_max"], 0, n)
 
     for _ in range(max_rounds):
         wide = {k: s for k, s in searches.items() if not s.found and s.inside > finish_rows}
@@ -77,13 +78,21 @@ def order_statistics(
 
 
 def _narrow(df: DataFrame, value: Column, searches: Mapping[str, _Search], accuracy: int) -> None:
-    proposals = []
+    # Searches over the same rows share a sketch.
+    shared: dict[tuple, list[str]] = {}
     for k, s in searches.items():
-        share = (s.rank - s.below + 0.5) / s.inside
-        margin = 2.0 / accuracy
-        edges = F.array(F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin)))
-        proposals.append(F.percentile_approx(F.when(s.where & value.between(s.low, s.high), value), edges, accuracy).alias(k))
-    ranges = df.agg(*proposals).first()
+        shared.setdefault((s.group, s.low, s.high), []).append(k)
+    margin = 2.0 / accuracy
+    proposals = []
+    for i, names in enumerate(shared.values()):
+        edges = []
+        for s in (searches[k] for k in names):
+            share = (s.rank - s.below + 0.5) / s.inside
+            edges += [F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin))]
+        s = searches[names[0]]
+        proposals.append(F.percentile_approx(F.when(s.where & value.between(s.low, s.high), value), F.array(*edges), accuracy).alias(f"s_{i}"))
+    row = df.agg(*proposals).first()
+    ranges = {k: row[f"s_{i}"][2 * j : 2 * j + 2] for i, names in enumerate(shared.values()) for j, k in enumerate(names)}
     checks = []
     for k, s in searches.items():
         low, high = ranges[k]
