@@ -7,7 +7,8 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -101,21 +102,31 @@ class Autoencoder:
 def score_autoencoder(df: DataFrame, model: Autoencoder, features: str = "features") -> DataFrame:
     """Append the latent vector and the reconstruction, one matrix product per layer and Arrow batch.
 
-    Only key columns and the vector travel to Python; rows are neither shuffled nor gathered.
+    Vectors go from Arrow's buffers to a matrix and back without a Python object per row; rows are neither shuffled nor
+    gathered. Null and NaN elements count as 0; every row must have a vector of the model's width.
     """
-    schema = T.StructType(
-        [*df.schema.fields, T.StructField("latent", T.ArrayType(T.DoubleType())), T.StructField("reconstructed", T.ArrayType(T.DoubleType()))]
-    )
+    width = model.encoder[0].weight.shape[1]
+    doubles_type = T.ArrayType(T.DoubleType())
+    schema = T.StructType([*df.schema.fields, T.StructField("latent", doubles_type), T.StructField("reconstructed", doubles_type)])
+    place = df.columns.index(features)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            x = np.nan_to_num(np.stack([np.asarray(v, dtype=float) for v in batch[features]]), nan=0.0)
-            z = model.encode(x)
-            yield batch.assign(latent=list(z), reconstructed=list(model.decode(z)))
+    def rows_of(matrix: np.ndarray) -> pa.Array:
+        n, m = matrix.shape
+        return pa.ListArray.from_arrays(np.arange(0, n * m + 1, m, dtype=np.int32), np.ascontiguousarray(matrix).ravel())
 
-    return df.mapInPandas(score, schema)
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(place)
+            lengths = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
+            if (lengths != width).any():
+                raise ValueError(f"a feature vector is not {width} long")
+            x = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
+            z = model.encode(np.nan_to_num(x, nan=0.0))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, rows_of(z), rows_of(model.decode(z))], names=[*batch.schema.names, "latent", "reconstructed"]
+            )
+
+    return df.mapInArrow(score, schema)
 
 
 def fit_reconstruction(df: DataFrame, k: int = 16, features: str = "features") -> PCAModel:

@@ -51,6 +51,11 @@ def test_missing_values_score_as_zero(spark):
     df = spark.createDataFrame([("0", [float("nan"), 1.0]), ("1", [0.0, 1.0])], "sample_id string, features array<double>")
     z = by_id(model.score_autoencoder(df, net), "latent")
     assert np.allclose(z[0], z[1])
+    nulls = spark.createDataFrame([("0", [None, 1.0])], "sample_id string, features array<double>")
+    assert np.allclose(by_id(model.score_autoencoder(nulls, net), "latent")[0], z[0])
+    for bad in ([1.0], None):
+        with pytest.raises(Exception, match="not 2 long"):
+            model.score_autoencoder(spark.createDataFrame([("0", bad)], "sample_id string, features array<double>"), net).collect()
 
 
 def test_linear_bottleneck_is_the_best_one(spark):
