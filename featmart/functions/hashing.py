@@ -29,27 +29,27 @@ def md5_bucket(*cols: Column | str, buckets: int = 100) -> Column:
     return F.pmod(digest_number(digest(*cols)), F.lit(buckets).cast("long"))
 
 
-def row_text(columns: Sequence[str]) -> Column:
-    """A row as JSON text. Column names are part of it, so a value that moves between columns changes it."""
-    return F.to_json(F.struct(*[F.col(f"`{n}`") for n in sorted(columns)]))
+def quoted(name: str) -> str:
+    """A column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """md5 of a whole row."""
-    return F.md5(row_text(df.columns if columns is None else columns))
-
-
-def row_hashes(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column]:
+def row_hashes(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[Column, Column]:
     """Two independent 64-bit hashes of a row, computed in generated code. Null flags are hashed too, because a hash
-    skips nulls; nested values are hashed as JSON for the same reason."""
+    skips nulls; nested values are hashed as JSON for the same reason. Written as SQL text, since tables can be wide."""
     nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
     parts, flags = [], []
-    for name in sorted(columns):
-        field = df.schema[name]
-        col = F.col(f"`{name}`")
-        parts.append(F.to_json(F.struct(col)) if isinstance(field.dataType, nested) else col)
-        flags.append(col.isNull())
-    return F.xxhash64(*parts, *flags), F.xxhash64(F.lit(1), *parts, *flags)
+    for name in sorted(df.columns if columns is None else columns):
+        col = quoted(name)
+        parts.append(f"to_json(struct({col}))" if isinstance(df.schema[name].dataType, nested) else col)
+        flags.append(f"isnull({col})")
+    text = ", ".join([*parts, *flags])
+    return F.expr(f"xxhash64({text})"), F.expr(f"xxhash64(1, {text})")
+
+
+def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """A uniform text of 32 hex digits that depends on a row's content only."""
+    return F.concat(*[F.lpad(F.lower(F.hex(h)), 16, "0") for h in row_hashes(df, columns)])
 
 
 def schema_hash(schema: T.StructType) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.hashing import quoted
 from ..functions.vectors import array_variance, clean_number
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -50,11 +52,21 @@ def is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
+def number_text(value: float) -> str:
+    """A double as SQL text."""
+    return f"({value!r}D)" if math.isfinite(value) else f"cast('{value}' as double)"
+
+
+def cleaned_text(df: DataFrame, name: str, default: float = 0.0) -> str:
+    """`cleaned` as SQL text: tables have hundreds of features, and one parsed text is far cheaper than many calls."""
+    convert = "try_cast" if is_text(df, name) else "cast"
+    fallback = f"cast({number_text(default)} as float)"
+    return f"coalesce(nanvl({convert}({quoted(name)} as float), {fallback}), {fallback})"
+
+
 def cleaned(df: DataFrame, name: str, default: float = 0.0) -> Column:
     """A column as float32 with null and NaN, and for text columns anything unreadable, as the default."""
-    value = F.col(name).try_cast("float") if is_text(df, name) else F.col(name).cast("float")
-    fallback = F.lit(default).cast("float")
-    return F.coalesce(F.nanvl(value, fallback), fallback)
+    return F.expr(cleaned_text(df, name, default))
 
 
 def normalized_names(prefix: str = "syscall", count: int = 20, suffix: str = "_normalized") -> list[str]:
@@ -136,7 +148,7 @@ def map_value(features: Column | str, name: str) -> Column:
 
 def feature_vector(df: DataFrame, columns: Sequence[str]) -> Column:
     """Features of a row as cleaned `array<float>`."""
-    return F.array(*[cleaned(df, c) for c in columns])
+    return F.expr(f"array({', '.join(cleaned_text(df, c) for c in columns)})")
 
 
 def chain(df: DataFrame, *transforms: Transform) -> DataFrame:

@@ -8,9 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .features import cleaned, first_numeric
+from ..functions.hashing import quoted
+from ..workdir import constant
+from .features import cleaned_text, first_numeric, number_text
 
 EPSILON = 1e-8
+DIRECT_COLUMNS = 40
 
 
 @dataclass(frozen=True)
@@ -31,32 +34,43 @@ class Normalizer:
         return cls(tuple(r["feature"] for r in rows), tuple(r["mean"] for r in rows), tuple(r["std"] for r in rows))
 
 
+def _moments(df: DataFrame, values: Sequence[str], deviation: str) -> list[tuple[float | None, float | None]]:
+    """Mean and deviation of each SQL expression.
+
+    A few are plain aggregates. With hundreds, one row of aggregates would be too wide for generated code, so rows are
+    turned into (position, value) pairs and aggregated by position; a task then sends one row per position.
+    """
+    if len(values) <= DIRECT_COLUMNS:
+        row = df.agg(*[F.expr(f"{function}({v})") for v in values for function in ("avg", deviation)]).first()
+        return [(row[2 * i], row[2 * i + 1]) for i in range(len(values))]
+    pairs = df.select(F.expr(f"posexplode(array({', '.join(values)}))").alias("i", "x"))
+    rows = pairs.groupBy("i").agg(F.avg("x").alias("m"), F.expr(f"{deviation}(x)").alias("s")).collect()
+    found = {r["i"]: (r["m"], r["s"]) for r in rows}
+    return [found.get(i, (None, None)) for i in range(len(values))]
+
+
 def fit_normalizer(df: DataFrame, features: Sequence[str]) -> Normalizer:
     """Mean and population deviation + 1e-8 of every feature in one pass, null and NaN as 0."""
-    values = df.select(*[cleaned(df, c).cast("double").alias(c) for c in features])
-    row = values.agg(
-        *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(features)], *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(features)]
-    ).first()
-    if row["m_0"] is None:
+    moments = _moments(df, [f"cast({cleaned_text(df, c)} as double)" for c in features], "stddev_pop")
+    if any(m is None for m, _ in moments):
         raise ValueError("cannot fit a normalizer on no rows")
-    n = range(len(features))
-    return Normalizer(tuple(features), tuple(row[f"m_{i}"] for i in n), tuple(row[f"s_{i}"] + EPSILON for i in n))
+    return Normalizer(tuple(features), tuple(m for m, _ in moments), tuple(s + EPSILON for _, s in moments))
 
 
-def normalized(df: DataFrame, fit: Normalizer) -> list[Column]:
+def _normalized_text(df: DataFrame, fit: Normalizer) -> list[str]:
     """`(x - mean) / std` per feature, with the fit's numbers as literals: a projection without any join."""
     return [
-        ((cleaned(df, c).cast("double") - F.lit(m)) / F.lit(s)).alias(c) for c, m, s in zip(fit.features, fit.mean, fit.std)
+        f"(cast({cleaned_text(df, c)} as double) - {number_text(m)}) / {number_text(s)}" for c, m, s in zip(fit.features, fit.mean, fit.std)
     ]
 
 
 def apply_normalizer(df: DataFrame, fit: Normalizer) -> DataFrame:
-    by_name = dict(zip(fit.features, normalized(df, fit)))
-    return df.select(*[by_name.get(c, F.col(c)) for c in df.columns])
+    by_name = dict(zip(fit.features, _normalized_text(df, fit)))
+    return df.selectExpr(*[f"{by_name[c]} as {quoted(c)}" if c in by_name else quoted(c) for c in df.columns])
 
 
 def normalized_vector(df: DataFrame, fit: Normalizer) -> Column:
-    return F.array(*normalized(df, fit))
+    return F.expr(f"array({', '.join(_normalized_text(df, fit))})")
 
 
 def normalizer_for(df: DataFrame, features: Sequence[str], saved: Normalizer | None = None) -> Normalizer:
@@ -65,10 +79,11 @@ def normalizer_for(df: DataFrame, features: Sequence[str], saved: Normalizer | N
 
 
 def column_statistics(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One row per feature: mean and std as `fit_normalizer` has them. Two numbers per column leave the aggregate."""
-    values = df.select(*[cleaned(df, c).cast("double").alias(c) for c in features])
-    row = values.agg(*[F.struct(F.lit(c).alias("feature"), F.avg(c).alias("mean"), (F.stddev_pop(c) + EPSILON).alias("std")).alias(f"f_{i}") for i, c in enumerate(features)])
-    return row.select(F.explode(F.array(*row.columns)).alias("r")).select("r.*")
+    """One row per feature: mean and std as `fit_normalizer` has them. A task sends one row per feature."""
+    values = ", ".join(f"cast({cleaned_text(df, c)} as double)" for c in features)
+    pairs = df.select(F.expr(f"posexplode(array({values}))").alias("pos", "x"))
+    stats = pairs.groupBy("pos").agg(F.avg("x").alias("mean"), (F.stddev_pop("x") + EPSILON).alias("std"))
+    return stats.select(F.get(constant(list(features), "array<string>"), F.col("pos")).alias("feature"), "mean", "std")
 
 
 def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -79,16 +94,11 @@ def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in present}
-    row = df.agg(
-        *[F.avg(value[c]).alias(f"m_{i}") for i, c in enumerate(present)],
-        *[F.stddev_samp(value[c]).alias(f"s_{i}") for i, c in enumerate(present)],
-    ).first()
+    value = {c: f"nanvl(cast({quoted(c)} as double), cast(null as double))" for c in present}
     changed = {}
-    for i, c in enumerate(present):
-        mean, std = row[f"m_{i}"], row[f"s_{i}"]
-        changed[c] = (value[c] - F.lit(mean)) / F.lit(std) if std else F.lit(None).cast("double")
-    return df.withColumns(changed)
+    for c, (mean, std) in zip(present, _moments(df, list(value.values()), "stddev_samp")):
+        changed[c] = f"({value[c]} - {number_text(mean)}) / {number_text(std)}" if std else "cast(null as double)"
+    return df.selectExpr(*[f"{changed[c]} as {quoted(c)}" if c in changed else quoted(c) for c in df.columns])
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

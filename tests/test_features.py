@@ -142,3 +142,22 @@ def test_epoch_text_ignores_the_session_zone(spark):
         assert spark.range(1).select(text.epoch_text(F.lit(0))).first()[0] == "1970-01-01 00:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_wide_tables_take_the_other_way(spark):
+    n = normalize.DIRECT_COLUMNS + 5
+    data = np.random.default_rng(0).normal(size=(50, n))
+    data[3, 2] = NAN
+    names = [f"c {i}" for i in range(n)]
+    df = spark.createDataFrame(pd.DataFrame(data, columns=names))
+    clean = np.nan_to_num(data, nan=0.0).astype(np.float32).astype(float)
+    fit = normalize.fit_normalizer(df, names)
+    assert np.allclose(fit.mean, clean.mean(axis=0)) and np.allclose(fit.std, clean.std(axis=0) + 1e-8)
+    want = (clean - clean.mean(axis=0)) / (clean.std(axis=0) + 1e-8)
+    assert np.allclose([tuple(r) for r in normalize.apply_normalizer(df, fit).collect()], want)
+    assert np.allclose([r[0] for r in df.select(normalize.normalized_vector(df, fit)).collect()], want)
+    assert np.allclose([r[0] for r in df.select(features.feature_vector(df, names)).collect()], clean)
+    scores = np.array([tuple(r) for r in normalize.zscore(df, names).collect()], dtype=float)
+    missing = np.isnan(data)
+    plain = (data - np.nanmean(data, axis=0)) / np.nanstd(data, axis=0, ddof=1)
+    assert np.array_equal(np.isnan(scores), missing) and np.allclose(scores[~missing], plain[~missing])
