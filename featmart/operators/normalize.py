@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import quoted
 from ..workdir import constant
-from .features import cleaned_text, first_numeric, number_text
+from .features import cleaned_text, first_numeric, is_text, number_text
 
 EPSILON = 1e-8
 DIRECT_COLUMNS = 40
@@ -34,24 +34,39 @@ class Normalizer:
         return cls(tuple(r["feature"] for r in rows), tuple(r["mean"] for r in rows), tuple(r["std"] for r in rows))
 
 
-def _moments(df: DataFrame, values: Sequence[str], deviation: str) -> list[tuple[float | None, float | None]]:
-    """Mean and deviation of each SQL expression.
+# What null and NaN become: 0, or missing.
+_ZERO = "coalesce(nanvl(cast({x} as double), 0D), 0D)"
+_MISSING = "nanvl(cast({x} as double), cast(null as double))"
 
-    A few are plain aggregates. With hundreds, one row of aggregates would be too wide for generated code, so rows are
-    turned into (position, value) pairs and aggregated by position; a task then sends one row per position.
+
+def _floats(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns as float32 in SQL text, not yet cleaned."""
+    return [f"{'try_cast' if is_text(df, c) else 'cast'}({quoted(c)} as float)" for c in columns]
+
+
+def _by_position(df: DataFrame, values: Sequence[str], finish: str, deviation: str) -> DataFrame:
+    """Mean and deviation per position: rows become (position, value) pairs, and a task sends one row per position.
+
+    Values are finished after they left the row: hundreds of conditions in one row are too much code to be compiled.
     """
+    pairs = df.select(F.expr(f"posexplode(array({', '.join(values)}))").alias("pos", "raw"))
+    pairs = pairs.select("pos", F.expr(finish.format(x="raw")).alias("x"))
+    return pairs.groupBy("pos").agg(F.avg("x").alias("mean"), F.expr(f"{deviation}(x)").alias("std"))
+
+
+def _moments(df: DataFrame, values: Sequence[str], finish: str, deviation: str) -> list[tuple[float | None, float | None]]:
+    """Mean and deviation of each SQL expression. A few are plain aggregates; hundreds would be too wide for generated code."""
     if len(values) <= DIRECT_COLUMNS:
-        row = df.agg(*[F.expr(f"{function}({v})") for v in values for function in ("avg", deviation)]).first()
+        done = [finish.format(x=v) for v in values]
+        row = df.agg(*[F.expr(f"{function}({v})") for v in done for function in ("avg", deviation)]).first()
         return [(row[2 * i], row[2 * i + 1]) for i in range(len(values))]
-    pairs = df.select(F.expr(f"posexplode(array({', '.join(values)}))").alias("i", "x"))
-    rows = pairs.groupBy("i").agg(F.avg("x").alias("m"), F.expr(f"{deviation}(x)").alias("s")).collect()
-    found = {r["i"]: (r["m"], r["s"]) for r in rows}
+    found = {r["pos"]: (r["mean"], r["std"]) for r in _by_position(df, values, finish, deviation).collect()}
     return [found.get(i, (None, None)) for i in range(len(values))]
 
 
 def fit_normalizer(df: DataFrame, features: Sequence[str]) -> Normalizer:
     """Mean and population deviation + 1e-8 of every feature in one pass, null and NaN as 0."""
-    moments = _moments(df, [f"cast({cleaned_text(df, c)} as double)" for c in features], "stddev_pop")
+    moments = _moments(df, _floats(df, features), _ZERO, "stddev_pop")
     if any(m is None for m, _ in moments):
         raise ValueError("cannot fit a normalizer on no rows")
     return Normalizer(tuple(features), tuple(m for m, _ in moments), tuple(s + EPSILON for _, s in moments))
@@ -80,9 +95,7 @@ def normalizer_for(df: DataFrame, features: Sequence[str], saved: Normalizer | N
 
 def column_statistics(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """One row per feature: mean and std as `fit_normalizer` has them. A task sends one row per feature."""
-    values = ", ".join(f"cast({cleaned_text(df, c)} as double)" for c in features)
-    pairs = df.select(F.expr(f"posexplode(array({values}))").alias("pos", "x"))
-    stats = pairs.groupBy("pos").agg(F.avg("x").alias("mean"), (F.stddev_pop("x") + EPSILON).alias("std"))
+    stats = _by_position(df, _floats(df, features), _ZERO, "stddev_pop").withColumn("std", F.col("std") + EPSILON)
     return stats.select(F.get(constant(list(features), "array<string>"), F.col("pos")).alias("feature"), "mean", "std")
 
 
@@ -94,10 +107,11 @@ def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    value = {c: f"nanvl(cast({quoted(c)} as double), cast(null as double))" for c in present}
+    values = [f"cast({quoted(c)} as double)" for c in present]
     changed = {}
-    for c, (mean, std) in zip(present, _moments(df, list(value.values()), "stddev_samp")):
-        changed[c] = f"({value[c]} - {number_text(mean)}) / {number_text(std)}" if std else "cast(null as double)"
+    for c, value, (mean, std) in zip(present, values, _moments(df, values, _MISSING, "stddev_samp")):
+        missing = _MISSING.format(x=value)
+        changed[c] = f"({missing} - {number_text(mean)}) / {number_text(std)}" if std else "cast(null as double)"
     return df.selectExpr(*[f"{changed[c]} as {quoted(c)}" if c in changed else quoted(c) for c in df.columns])
 
 
