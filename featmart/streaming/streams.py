@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +35,28 @@ def push_upsert(stream: DataFrame, online: OnlineTable, checkpoint: str, name: s
     return _start(stream.writeStream.foreachBatch(merge), checkpoint, available_now)
 
 
-def deduplicated(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
-    """Rows whose key was not seen within the watermark; state for older keys is dropped."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+def deduplicated(stream: DataFrame, keys: Sequence[str], time: str, delay: str, fold: bool = True) -> DataFrame:
+    """Rows whose key was not seen within the watermark; state for older keys is dropped.
+
+    Spark sends every copy of a key to one task. With `fold` each Arrow batch first keeps one row per key, so a key that
+    is repeated very often sends a row per batch and not a row per copy.
+    """
+    folded = _fold_copies(stream, list(keys), time) if fold else stream
+    return folded.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def _fold_copies(stream: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """The copy with the newest time stays: an older one might be dropped as late."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_time = pc.sort_indices(batch.column(time), null_placement="at_start")
+            ordered = pa.table([batch.column(k).take(by_time) for k in keys], names=keys)
+            places = ordered.append_column("_fm_place", pa.array(range(batch.num_rows), pa.int64()))
+            last = places.group_by(keys).aggregate([("_fm_place", "max")])["_fm_place_max"].combine_chunks()
+            yield batch.take(by_time.take(last))
+
+    return stream.mapInArrow(fold, stream.schema)
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:

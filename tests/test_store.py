@@ -156,13 +156,23 @@ BATCHES = [
 ]
 
 
-def test_stream_deduplicates(spark, tmp_path):
+@pytest.mark.parametrize("fold", [True, False])
+def test_stream_deduplicates(spark, tmp_path, fold):
     write_files(spark, tmp_path / "in", BATCHES)
-    kept = streams.deduplicated(read_stream(spark, tmp_path / "in"), ["event_id"], "ts", "40 hours")
+    kept = streams.deduplicated(read_stream(spark, tmp_path / "in"), ["event_id"], "ts", "40 hours", fold)
     streams.run_to_end(streams.append_files(kept, str(tmp_path / "out"), str(tmp_path / "cp")))
     assert sorted(r["event_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 4, 5, 6]
 
 
+def test_copies_are_folded_before_the_shuffle(spark):
+    """Big ids stay exact, null ids are one key, and the newest copy stays."""
+    big = 2**60
+    rows = [(big, "a", T0, 1.0), (big + 1, "b", T0, 2.0), (big, "a", T0 + HOUR, 3.0), (None, "n", T0, 4.0), (None, "n", None, 5.0)]
+    df = spark.createDataFrame(rows, EVENT).coalesce(1)
+    assert sorted(r["value"] for r in streams._fold_copies(df, ["event_id"], "ts").collect()) == [2.0, 3.0, 4.0]
+    assert streams._fold_copies(df.filter("value > 9"), ["event_id"], "ts").count() == 0
+
+
 def test_stream_upsert_resumes(spark, tmp_path):
     write_files(spark, tmp_path / "in", BATCHES[:2])
     online = OnlineTable(spark, str(tmp_path / "online"), ["user_id"], "ts", ["event_id"], buckets=2)
