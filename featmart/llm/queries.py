@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalogue.base import Query, table
-from . import exact, langid, mixing, packing, pii, secrets, simhash, syncmers, urls
+from . import exact, langid, lm, mixing, packing, pii, secrets, simhash, syncmers, urls
 
 TOKENIZER = "word_bpe_49k.json"
 SHINGLE, MAX_DISTANCE = 3, 3
@@ -68,6 +68,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), langid.fold("doc_id", 7) == 2)
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -84,6 +88,7 @@ QUERIES = [
     Query("op5_language_id", op5),
     Query("op6_simhash_dedup", op6),
     Query("op7_url_filter", op7),
+    Query("op8_lm_score", op8),
     Query("op9_best_fit_packing", op9),
     Query("op10_secret_scan", op10),
 ]
