@@ -37,12 +37,14 @@ FREQUENT = (1 << 16) - 1  # with the start, an index of 16 bits
 START = FREQUENT
 END_KEY = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_TEXTS, BLOCK_BYTES = 512, 2_000_000
+TRAIN_BIT = 15  # of a text's place in its block
 STEPS_PER_OCTAVE = 16
 NOTHING = -(1 << 20)
 _KEY, _TRAIN = "_fl_key", "_fl_train"
 ARRAYS = ("ff_h", "ff_w", "ff_doc", "ff_n", "fr_h", "fr_w", "fr_doc", "fr_n", "rf_h", "rf_w", "rf_doc", "rf_n", "rr_h", "rr_w", "rr_c", "rr_doc", "rr_n")
 KINDS = {"h": "<u2", "w": "<u2", "doc": "<u2", "n": "<u4", "c": "<i8"}
-PACKED = "bucket int, texts binary, train binary, " + ", ".join(f"{a} binary" for a in ARRAYS)
+HEAD = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("texts", pa.binary())])
+PACKED = "bucket int, block long, texts binary, " + ", ".join(f"{a} binary" for a in ARRAYS)
 
 
 def kind_of(array: str) -> str:
@@ -149,19 +151,31 @@ def vocabulary(rows: DataFrame) -> tuple[DataFrame, Vocabulary]:
     return table, Vocabulary(int(whole["n"]), int(whole["v"]), keys.view(np.uint64)[order], with_start)
 
 
-def pack_rows(texts: np.ndarray, train: np.ndarray, bucket: np.ndarray, kind: np.ndarray, columns: dict[str, np.ndarray], n_buckets: int) -> pa.RecordBatch:
-    """One row per bucket; `columns` has h, w, c, doc and n of all pairs, `kind` what the pair is made of (ff, fr, rf, rr)."""
+def packed_batch(rows: list[dict]) -> pa.RecordBatch:
+    schema = pa.schema([*HEAD, *[(a, pa.binary()) for a in ARRAYS]])
+    return pa.RecordBatch.from_pylist([{a: b"" for a in ("texts", *ARRAYS)} | row for row in rows], schema)
+
+
+def pack_rows(texts: np.ndarray, bucket: np.ndarray, kind: np.ndarray, columns: dict[str, np.ndarray], n_buckets: int) -> pa.RecordBatch:
+    """One row per bucket of a block of texts, and one that lists the texts.
+
+    `columns` has h, w, doc and n of all pairs; `kind` is 0 to 2 for the pairs ff, fr and rf.
+    """
+    import xxhash
+
+    listed = texts.astype("<i8").tobytes()
+    block = xxhash.xxh64_intdigest(listed) >> 1
     order = np.lexsort((kind, bucket))
     bounds = np.searchsorted((bucket * 4 + kind)[order], np.arange(4 * n_buckets + 1))
-    data = {}
+    rows = {int(b): {"bucket": int(b), "block": block} for b in np.unique(bucket)}
     for array in ARRAYS:
         pair, what = array.split("_")
-        at = ("ff", "fr", "rf", "rr").index(pair)
-        values = columns[what][order]
-        data[array] = [values[bounds[4 * b + at] : bounds[4 * b + at + 1]].astype(kind_of(array)).tobytes() for b in range(n_buckets)]
-    used = [b for b in range(n_buckets) if bounds[4 * b] < bounds[4 * b + 4]]
-    head = {"bucket": pa.array(used, pa.int32()), "texts": pa.array([texts.astype("<i8").tobytes()] * len(used), pa.binary()), "train": pa.array([train.astype("u1").tobytes()] * len(used), pa.binary())}
-    return batch_of(**head, **{a: pa.array([data[a][b] for b in used], pa.binary()) for a in ARRAYS})
+        if pair != "rr":
+            at = ("ff", "fr", "rf").index(pair)
+            values = columns[what][order].astype(kind_of(array))
+            for b, row in rows.items():
+                row[array] = values[bounds[4 * b + at] : bounds[4 * b + at + 1]].tobytes()
+    return packed_batch([{"bucket": block % n_buckets, "block": block, "texts": listed}, *rows.values()])
 
 
 def pack_pairs(rows: DataFrame, known: Vocabulary, n_buckets: int) -> DataFrame:
@@ -170,6 +184,7 @@ def pack_pairs(rows: DataFrame, known: Vocabulary, n_buckets: int) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in blocks(batches):
             p = neighbours(texts)
+            keys, train = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             place = known.index(p.words)
             h = np.where(p.context < 0, START, place[p.context])
             w = place[p.word]
@@ -180,10 +195,9 @@ def pack_pairs(rows: DataFrame, known: Vocabulary, n_buckets: int) -> DataFrame:
             chosen = kind < 3
             columns = {
                 "h": np.where(h < 0, p.words[p.context], h.astype(np.uint64)), "w": np.where(w < 0, p.words[p.word], w.astype(np.uint64)),
-                "c": np.zeros(len(h), np.int64), "doc": p.doc, "n": p.n,
+                "doc": p.doc | train.astype(np.int64)[p.doc] << TRAIN_BIT, "n": p.n,
             }
-            keys, train = part.column(0).to_numpy(zero_copy_only=False), part.column(1).to_numpy(zero_copy_only=False)
-            yield pack_rows(keys, train, bucket[chosen], kind[chosen], {k: v[chosen] for k, v in columns.items()}, n_buckets)
+            yield pack_rows(keys, bucket[chosen], kind[chosen], {k: v[chosen] for k, v in columns.items()}, n_buckets)
 
     return rows.select(_KEY, _TRAIN, "text").mapInArrow(pack, PACKED)
 
@@ -202,9 +216,17 @@ def pack_rare_pairs(rows: DataFrame, table: DataFrame, known: Vocabulary, n_buck
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, train, h, w, n, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-            texts, first, doc = np.unique(text, return_index=True, return_inverse=True)
-            columns = {"h": h.view(np.uint64), "w": w.view(np.uint64), "c": c, "doc": doc, "n": n}
-            yield pack_rows(texts, train[first], (w.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64), np.full(len(h), 3), columns, n_buckets)
+            bucket = (w.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)
+            order, used = np.argsort(bucket, kind="stable"), np.unique(bucket)
+            made = []
+            # These pairs are few and of many texts, so each row lists only its own texts.
+            for b, at in zip(used, np.split(order, np.searchsorted(bucket[order], used[1:]))):
+                texts, first, doc = np.unique(text[at], return_index=True, return_inverse=True)
+                marked = doc | train[at][first].astype(np.int64)[doc] << TRAIN_BIT
+                values = {"h": h[at].view(np.uint64), "w": w[at].view(np.uint64), "c": c[at], "doc": marked, "n": n[at]}
+                arrays = {a: values[a[3:]].astype(kind_of(a)).tobytes() for a in ARRAYS if a.startswith("rr")}
+                made.append({"bucket": int(b), "block": -1 - int(b), "texts": texts.astype("<i8").tobytes(), **arrays})
+            yield packed_batch(made)
 
     pairs = rows.select(_KEY, _TRAIN, "text").mapInArrow(list_pairs, "text long, train boolean, h long, w long, n long")
     counted = pairs.join(table.select(F.col("word").alias("h"), F.col("n").alias("c")), "h", "left")
@@ -213,7 +235,7 @@ def pack_rare_pairs(rows: DataFrame, table: DataFrame, known: Vocabulary, n_buck
 
 @dataclass(frozen=True)
 class Counted:
-    """Pairs of one bucket with all their counts: text, uses, uses in training, c(h, w), c(h), c(w), and one of each pair."""
+    """Pairs of one bucket with all their counts: row and place of the text in it, uses, c(h, w), c(h), c(w), and one of each pair."""
 
     text: np.ndarray
     n: np.ndarray
@@ -225,52 +247,51 @@ class Counted:
 
 def count_bucket(rows: list[dict], known: Vocabulary) -> Counted:
     """Counts of a whole bucket: every use of its pairs, and of its rare words as tokens, is here."""
-    found = {a: np.concatenate([np.frombuffer(r[a], kind_of(a)) for r in rows]) for a in ARRAYS}
-    texts, trains = [np.frombuffer(r["texts"], "<i8") for r in rows], [np.frombuffer(r["train"], "u1") for r in rows]
-    doc = {p: np.concatenate([t[np.frombuffer(r[f"{p}_doc"], "<u2")] for t, r in zip(texts, rows)]) for p in ("ff", "fr", "rf", "rr")}
-    train = {p: np.concatenate([t[np.frombuffer(r[f"{p}_doc"], "<u2")] for t, r in zip(trains, rows)]).astype(np.int64) for p in doc}
-    n = {p: found[f"{p}_n"].astype(np.int64) for p in doc}
+    take = lambda a: np.concatenate([np.frombuffer(r[a], kind_of(a)) for r in rows])
+    n = {p: take(f"{p}_n") for p in ("ff", "fr", "rf", "rr")}
+    doc = {p: take(f"{p}_doc") for p in n}
+    used = {p: n[p] * (doc[p] >> TRAIN_BIT) for p in n}  # in training
     # Rare words as tokens.
-    rare, at = np.unique(np.concatenate([found["fr_w"], found["rr_w"], found["rf_h"], found["rr_h"]]), return_inverse=True)
-    ends = np.cumsum([len(found["fr_w"]), len(found["rr_w"]), len(found["rf_h"])])
-    fr_w, rr_w, rf_h, rr_h = np.split(at, ends)
-    tokens = np.concatenate([n["fr"] * train["fr"], n["rr"] * train["rr"]])
-    counts = np.bincount(np.concatenate([fr_w, rr_w]), weights=tokens, minlength=len(rare)).astype(np.int64)
-    code = {
-        "ff": found["ff_h"].astype(np.int64) << 16 | found["ff_w"],
-        "fr": fr_w << 16 | found["fr_h"].astype(np.int64),
-        "rf": rf_h << 16 | found["rf_w"].astype(np.int64),
-        "rr": rr_h << 32 | rr_w,
-    }
-    context = {"ff": known.counts[found["ff_h"]], "fr": known.counts[found["fr_h"]], "rf": counts[rf_h], "rr": found["rr_c"]}
-    word = {"ff": known.counts[found["ff_w"]], "fr": counts[fr_w], "rf": known.counts[found["rf_w"]], "rr": counts[rr_w]}
+    fr_w, rr_w, rf_h, rr_h = (take(a) for a in ("fr_w", "rr_w", "rf_h", "rr_h"))
+    rare, at = np.unique(np.concatenate([fr_w, rr_w, rf_h, rr_h]), return_inverse=True)
+    fr_w, rr_w, rf_h, rr_h = np.split(at, np.cumsum([len(fr_w), len(rr_w), len(rf_h)]))
+    counts = np.bincount(np.concatenate([fr_w, rr_w]), weights=np.concatenate([used["fr"], used["rr"]]), minlength=len(rare)).astype(np.int64)
+    ff_h, ff_w, fr_h, rf_w = (take(a).astype(np.int64) for a in ("ff_h", "ff_w", "fr_h", "rf_w"))
+    code = {"ff": ff_h << 16 | ff_w, "fr": fr_w << 16 | fr_h, "rf": rf_h << 16 | rf_w, "rr": rr_h << 32 | rr_w}
+    context = [known.counts[ff_h], known.counts[fr_h], counts[rf_h], take("rr_c")]
+    word = [known.counts[ff_w], counts[fr_w], known.counts[rf_w], counts[rr_w]]
     both, first = [], []
-    for p in doc:
-        _, where, place = np.unique(code[p], return_index=True, return_inverse=True)
-        both.append(np.bincount(place, weights=n[p] * train[p], minlength=len(where)).astype(np.int64)[place])
+    for p in n:
+        _, where, place = np.unique(code.pop(p), return_index=True, return_inverse=True)
+        both.append(np.bincount(place, weights=used[p], minlength=len(where)).astype(np.int64)[place])
         mark = np.zeros(len(place), bool)
         mark[where] = True
         first.append(mark)
-    together = lambda parts: np.concatenate([parts[p] for p in doc])
-    return Counted(together(doc), together(n), np.concatenate(both), together(context), together(word), np.concatenate(first))
+    row = np.concatenate([np.repeat(np.arange(len(rows)), [len(r[f"{p}_doc"]) // 2 for r in rows]) for p in n])
+    text = row << 16 | np.concatenate(list(doc.values())) & ((1 << TRAIN_BIT) - 1)
+    return Counted(text, np.concatenate(list(n.values())), *map(np.concatenate, (both, context, word, first)))
 
 
-def by_bucket(batches: Iterator[pa.RecordBatch], known: Vocabulary) -> Iterator[tuple[Counted, list | None]]:
-    """Sorted rows, one bucket after the other, each with the weights that came with its rows, if any."""
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], list | None]]:
+    """The rows of one bucket after the other, with the weights that came with them, if any."""
     held: list[dict] = []
+    bucket, weight = -1, None
     for batch in batches:
-        for row in batch.to_pylist():
-            if held and held[0]["bucket"] != row["bucket"]:
-                yield count_bucket(held, known), held[0].get("weights")
+        columns = {name: batch.column(name) for name in ("texts", *ARRAYS)}
+        for i, (number, block) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist())):
+            if held and bucket != number:
+                yield held, weight
                 held = []
-            held.append(row)
+            bucket = number
+            weight = batch.column("weights")[i].as_py() if not held and "weights" in batch.schema.names else weight
+            held.append({"block": block} | {name: column[i].as_buffer() for name, column in columns.items()})
     if held:
-        yield count_bucket(held, known), held[0].get("weights")
+        yield held, weight
 
 
 def frequency_bucket(counts: np.ndarray) -> np.ndarray:
     """The power of two at or below a count, 0 for counts of 0."""
-    return np.where(counts > 0, np.frexp(counts.astype(float))[1] - 1, 0)
+    return np.where(counts > 0, np.frexp(counts.astype(float))[1] - 1, 0).astype(np.int64)
 
 
 def held_out_counts(packed: DataFrame, known: Vocabulary) -> DataFrame:
@@ -278,7 +299,8 @@ def held_out_counts(packed: DataFrame, known: Vocabulary) -> DataFrame:
     of the word alone give them, on a scale of `STEPS_PER_OCTAVE` steps per factor of two; a table of bounded size."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, _ in by_bucket(batches, known):
+        for rows, _ in by_bucket(batches):
+            c = count_bucket(rows, known)
             use = c.first & (c.both > 0)
             both, context, word = c.both[use], c.context[use], c.word[use]
             alone = word / (known.tokens + known.distinct)
@@ -318,10 +340,14 @@ def weights(held_out: DataFrame) -> DataFrame:
 
 
 def score_texts(packed: DataFrame, known: Vocabulary) -> DataFrame:
-    """(text, score, base_score, n_known) summed over tokens; `packed` carries the column weights."""
+    """(text, score, base_score, n_known) summed over tokens; `packed` carries the column weights.
+
+    Sums travel as arrays too, a row per block and bucket, and meet the block's list of texts.
+    """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, pairs in by_bucket(batches, known):
+        for rows, pairs in by_bucket(batches):
+            c = count_bucket(rows, known)
             weight = np.zeros(64)
             for p in pairs or []:
                 weight[p["bucket"]] = p["weight"]
@@ -329,17 +355,41 @@ def score_texts(packed: DataFrame, known: Vocabulary) -> DataFrame:
             share = np.where(c.context > 0, weight[frequency_bucket(c.context)], 0.0)
             mixed = share * c.both / np.maximum(c.context, 1) + (1 - share) * alone
             text, at = np.unique(c.text, return_inverse=True)
-            total = lambda values: np.bincount(at, weights=values, minlength=len(text))
-            yield batch_of(text=text, score=total(c.n * np.log10(mixed)), base_score=total(c.n * np.log10(alone)), n_known=total(c.n * (c.word > 0)).astype(np.int64))
-
-    parts = packed.mapInArrow(score, "text long, score double, base_score double, n_known long")
-    return parts.groupBy("text").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base_score"), F.sum("n_known").alias("n_known"))
+            sums = [np.bincount(at, weights=c.n * x, minlength=len(text)) for x in (np.log10(mixed), np.log10(alone), c.word > 0)]
+            bounds = np.searchsorted(text >> 16, np.arange(len(rows) + 1))
+            parts = {"at": (text & 0xFFFF).astype("<u2"), "score": sums[0], "base": sums[1], "known": sums[2].astype("<u4")}
+            out = [
+                {"block": r["block"], "texts": bytes(r["texts"]), **{name: values[a:b].tobytes() for name, values in parts.items()}}
+                for r, a, b in zip(rows, bounds, bounds[1:])
+            ]
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("block", pa.int64()), *[(x, pa.binary()) for x in ("texts", "at", "score", "base", "known")]]))
+
+    def total(frame: pd.DataFrame) -> pd.DataFrame:
+        listed, found = None, []
+        for texts, at in zip(frame["texts"], frame["at"]):
+            if not at:
+                listed = np.frombuffer(texts, "<i8")
+        for texts, at, score, base, n in zip(*[frame[x] for x in ("texts", "at", "score", "base", "known")]):
+            if at:
+                keys = np.frombuffer(texts, "<i8") if texts else listed
+                found.append((keys[np.frombuffer(at, "<u2")], np.frombuffer(score), np.frombuffer(base), np.frombuffer(n, "<u4")))
+        if not found:
+            return pd.DataFrame({"text": [], "score": [], "base_score": [], "n_known": []})
+        keys, *values = (np.concatenate(x) for x in zip(*found))
+        text, at = np.unique(keys, return_inverse=True)
+        sums = [np.bincount(at, weights=v) for v in values]
+        return pd.DataFrame({"text": text, "score": sums[0], "base_score": sums[1], "n_known": sums[2].astype(np.int64)})
+
+    parts = packed.mapInArrow(score, "block long, texts binary, at binary, score binary, base binary, known binary")
+    sums = parts.groupBy("block").applyInPandas(total, "text long, score double, base_score double, n_known long")
+    return sums.groupBy("text").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base_score"), F.sum("n_known").alias("n_known"))
 
 
 def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
-    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = 3 * n_partitions  # a task counts one bucket at a time
     rows = docs.select(
         F.col(id_col).alias("_fl_id"), held_out.alias("held_out"), F.xxhash64(F.col(id_col).cast("string"), text_of(text)).alias(_KEY),
         (~held_out).alias(_TRAIN), text_of(text).alias("text"),
@@ -347,7 +397,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     table, known = vocabulary(rows)
     # Two pairs of a text that are one row here come from copies of id and text; their sums are divided again below.
     packed = pack_pairs(rows, known, n_buckets).unionByName(pack_rare_pairs(rows, table, known, n_buckets))
-    dealt = packed.repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = packed.repartition(n_partitions, "bucket").sortWithinPartitions("bucket")
     learned = weights(held_out_counts(dealt, known))
     scores = cut(score_texts(dealt.withColumn("weights", learned.scalar()), known), "scores")
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
