@@ -177,7 +177,8 @@ def mix(
     slots = schedule(docs.sparkSession, plan, block_words)
     n_blocks = constant([-(-s // block_words) for s in plan.sizes], "array<bigint>")
     used = slots.where(F.col("rank") < max_repeats * F.get(n_blocks, F.col(_INDEX)))
-    return Mix(plan, laid, blocks(laid, block_words).join(used, [_INDEX, "block"]))
+    # The planner takes the generated slots for few; they are as many as blocks and must not be broadcast.
+    return Mix(plan, laid, blocks(laid, block_words).join(used.hint("merge"), [_INDEX, "block"]))
 
 
 def taken_words(mixed: Mix) -> DataFrame:
