@@ -9,7 +9,9 @@ closing id alone. Repeated rows are packed like others. An empty table gives no
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -19,36 +21,53 @@ from pyspark.sql import functions as F
 
 from ..workdir import cut
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
-class WordIds:
-    """Token ids of a text as little-endian 32-bit integers, word by word.
+# Letters that are their own lower case and composed form, and marks that never join a letter in one token.
+LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+MARKS = b".,;:!?"
 
-    For tokenizers that lower-case, cut at white space and drop it, so that a text's ids are its words' ids in a row. Words are
-    encoded once and remembered, up to a fixed number.
+
+class WordIds(dict):
+    """Token ids of words, and so of texts, as little-endian 32-bit integers.
+
+    For tokenizers that lower-case, cut at white space and drop it, keep letters apart from other marks, and spell bytes as characters,
+    so that a text's ids are its words' ids in a row. Words are encoded once and remembered, up to a fixed number. Words of plain small
+    letters need no normalization and go straight to the tokenizer's model.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.spelling = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in LETTERS})
+        self.plain = re.compile(f"[{LETTERS}]+").fullmatch
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        import numpy as np
+    def _spell(self, word: str) -> bytes:
+        if self.plain(word):
+            ids = [t.id for t in self.model.tokenize(word.translate(self.spelling))]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(MARKS)
+        if core and core != word and (core[-1:].isalpha() or core[-1] >= 128 and core.decode()[-1].isalpha()):
+            ids = self[core] + self[word[len(core) :]]
+        else:
+            ids = self._spell(word.decode())
+        self[word] = ids
+        return ids
 
-        words = [t.lower().split() for t in texts]
-        new = list(set().union(*words).difference(self.known)) if words else []
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = list(set().union(*words))
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+    def encode(self, text: bytes) -> bytes:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.lower().split()))
 
 
 @cache
@@ -65,17 +84,16 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: s
         words = word_ids(tokenizer_path)
         step = 4 * capacity
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                taken, rows = [], []
-                for i, ids in enumerate(words.encode(part.column(1).cast(pa.binary()).to_pylist())):
-                    ids += end
-                    for k in range(0, len(ids), step):
-                        piece = ids[k : k + step]
-                        taken.append(i)
-                        rows.append((k // step, k // 4, len(piece) // 4, zlib.crc32(piece)))
-                numbers = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(taken)), *numbers], names=["id", "piece", "start", "length", "ids_crc32"])
+            taken, rows = [], []
+            for i, text in enumerate(batch.column(1).cast(pa.binary())):
+                ids = words.encode(text.as_py()) + end
+                for k in range(0, len(ids), step):
+                    piece = ids[k : k + step]
+                    taken.append(i)
+                    rows.append((k // step, k // 4, len(piece) // 4, zlib.crc32(piece)))
+            numbers = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+            if rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(taken)), *numbers], names=["id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
