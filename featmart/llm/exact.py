@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workdir import cut
+from ..workdir import cut, small_side
 from .rows import ID, KEY, text_of, without
 
 _N, _HEAD, _DIGEST, _POS = "_fl_n", "_fl_head", "_fl_digest", "_fl_pos"
@@ -30,7 +30,8 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix_c
     """
     outline = cut(docs.select(*_outline(text, prefix_chars)), "outline")
     lengths = outline.groupBy(_N).agg(F.count(F.lit(1)).alias("_fl_c")).where("_fl_c > 1").select(_N)
-    heads = outline.join(lengths, _N, "left_semi").groupBy(_N, _HEAD).agg(F.count(F.lit(1)).alias("_fl_c")).where("_fl_c > 1")
+    # Lengths are few; where they can be broadcast, a length that very many rows share is not dealt to one task.
+    heads = outline.join(small_side(cut(lengths, "lengths")), _N, "left_semi").groupBy(_N, _HEAD).agg(F.count(F.lit(1)).alias("_fl_c")).where("_fl_c > 1")
     keys = cut(heads.select(_N, _HEAD), "outline-keys")
     rows = docs.select(F.col(id_col).alias(ID), text_of(text).alias("_fl_text"), *_outline(text, prefix_chars))
     whole = [F.sha2("_fl_text", 256).alias(_DIGEST), F.xxhash64("_fl_text").alias(KEY)]
