@@ -302,8 +302,7 @@ def quantize_stats(spark, sf_dir):
 
 _QUANTIZE_SQL = f"""
 with flat as (select sample_id, unnest(range(64))::integer as pos, unnest(outputs) as x from ({A_SQL})),
-     chosen as (select vec_id as sample_id from embeddings order by md5(cast(vec_id as varchar)), vec_id limit 100),
-     fit as (select pos, greatest(abs(min(x)), abs(max(x))) / 127 as s from flat join chosen using (sample_id) group by pos),
+     fit as (select pos, greatest(abs(min(x)), abs(max(x))) / 127 as s from flat group by pos),
      q as (select pos, x, s, least(greatest(round_even(x / s, 0), -128), 127) as level from flat join fit using (pos))
 select pos, round(avg(abs(x - level * s)), 8) as mean_error, round(max(abs(x - level * s)), 8) as max_error,
        count(*) filter (level in (-128, 127)) as at_limit

@@ -106,7 +106,7 @@ def tbl_describe(spark, sf_dir):
 _DESCRIBE_SQL = " union all ".join(
     f"select '{c}' as column_name, count({c}) as count, round(avg({c}), 4) as mean, round(stddev_samp({c}), 4) as std, "
     f"cast(min({c}) as double) as min, cast(max({c}) as double) as max from lineitem"
-    for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 )
 
 

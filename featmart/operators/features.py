@@ -21,7 +21,6 @@ NOT_FEATURES = (
     "sample_id", "dataset_split", "data_source", "event_timestamp", "feature_timestamp", "_dbt_loaded_at", "_source_file",
     "_ingestion_timestamp", "label", "malware_family", "first_seen_year", "hash_value",
 )
-MAX_FEATURES = 50
 
 # Columns of the three on-demand scores and the limit of the activity flag.
 ACTIVITY_COLUMNS = ("read", "write", "open", "close", "clone", "socket", "connect")
@@ -32,9 +31,9 @@ HIGH_SYSCALL_TOTAL = 100
 
 
 def choose_features(
-    df: DataFrame, requested: Sequence[str] = (), exclude: Sequence[str] = NOT_FEATURES, limit: int = MAX_FEATURES
+    df: DataFrame, requested: Sequence[str] = (), exclude: Sequence[str] = NOT_FEATURES, limit: int | None = None
 ) -> list[str]:
-    """The requested columns that exist; if none does, the first `limit` numeric columns by name."""
+    """The requested columns that exist; if none does, all numeric columns by name, or the first `limit` of them."""
     present = [c for c in requested if c in df.columns]
     if present:
         return present
@@ -42,8 +41,8 @@ def choose_features(
     return sorted(numeric)[:limit]
 
 
-def first_numeric(df: DataFrame, limit: int = 5) -> list[str]:
-    """The first double, float, int and bigint columns in table order."""
+def first_numeric(df: DataFrame, limit: int | None = 5) -> list[str]:
+    """The first double, float, int and bigint columns in table order; all with a limit of None."""
     kinds = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)][:limit]
 

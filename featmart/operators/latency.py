@@ -15,13 +15,13 @@ PERCENTILES = (50, 95, 99)
 def latency_statistics(
     df: DataFrame, group: Sequence[str] = ("model",), latency: str = "latency_ms", percentiles: Sequence[int] = PERCENTILES
 ) -> DataFrame:
-    """Count, mean, extremes, percentiles and throughput per group of whole-millisecond latencies.
+    """Count, mean, extremes, percentiles and throughput per group, fractions of milliseconds included.
 
     Percentile p is the value at index `floor(p / 100 * (n - 1))` of the sorted latencies. Rows are first counted per
-    group and latency, so what is sorted is one row per distinct millisecond; throughput is 0 when the sum is 0.
+    group and latency, so what is sorted is one row per distinct value; throughput is 0 when the sum is 0.
     """
     group = list(group)
-    histogram = df.groupBy(*group, F.col(latency).cast("long").alias("_fm_v")).agg(F.count(F.lit(1)).alias("_fm_c"))
+    histogram = df.groupBy(*group, F.col(latency).alias("_fm_v")).agg(F.count(F.lit(1)).alias("_fm_c"))
     whole = Window.partitionBy(*group)
     upto = F.sum("_fm_c").over(whole.orderBy("_fm_v").rowsBetween(Window.unboundedPreceding, 0))
     counted = histogram.withColumn("_fm_upto", upto).withColumn("_fm_n", F.sum("_fm_c").over(whole))

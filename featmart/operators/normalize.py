@@ -116,8 +116,8 @@ def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, minimum and maximum, one row per column."""
-    columns = list(columns if columns is not None else first_numeric(df))
+    """Count, mean, sample deviation, minimum and maximum, one row per column; of all numeric columns if none are given."""
+    columns = list(columns if columns is not None else first_numeric(df, None))
     row = df.agg(
         *[
             F.struct(

@@ -30,10 +30,11 @@ def calibration_sample(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def fit_quantizer(
-    df: DataFrame, key: str, features: str = "features", n: int = DYNAMIC_SAMPLES, per_channel: bool = True, symmetric: bool = True
+    df: DataFrame, key: str, features: str = "features", n: int | None = None, per_channel: bool = True, symmetric: bool = True
 ) -> Quantizer:
-    """Scales from the smallest and largest value of each position (or of all positions) in a calibration sample."""
-    values = calibration_sample(df.select(key, features), key, n).select(F.posexplode(features).alias("pos", "x"))
+    """Scales from the smallest and largest value of each position (or of all positions), over all rows or a calibration sample of `n`."""
+    rows = df.select(key, features)
+    values = (rows if n is None else calibration_sample(rows, key, n)).select(F.posexplode(features).alias("pos", "x"))
     ends = values.groupBy("pos").agg(F.min("x").cast("double").alias("a"), F.max("x").cast("double").alias("b"))
     rows = sorted(ends.collect(), key=lambda r: r["pos"])
     pairs = [(r["a"], r["b"]) for r in rows]
@@ -78,9 +79,11 @@ def quantize(df: DataFrame, fit: Quantizer, features: str = "features") -> DataF
 
 
 def quantization_errors(df: DataFrame, fit: Quantizer, features: str = "features") -> DataFrame:
-    """Mean and largest absolute error and number of clamped values per position, over all rows."""
+    """Mean and largest absolute error and number of clamped values per position, over all rows; a vector wider than the fit is an error."""
     flat = df.select(F.posexplode(features).alias("pos", "x")).select("pos", F.col("x").cast("double").alias("x"))
-    flat = flat.withColumn("p", F.get(_parameters(fit), F.col("pos"))).filter(F.col("p").isNotNull())
+    wider = F.raise_error(F.concat(F.lit(f"the quantizer has {len(fit.scale)} positions, a vector has position "), F.col("pos").cast("string")))
+    known = F.get(_parameters(fit), F.col("pos"))
+    flat = flat.withColumn("p", F.when(F.col("pos") < len(fit.scale), known).otherwise(wider))
     levels = flat.withColumn("q", _level(F.col("x"), F.col("p")))
     error = F.abs(F.col("x") - _value(F.col("q"), F.col("p")))
     return levels.groupBy("pos").agg(

@@ -90,10 +90,10 @@ def run_table(entries: DataFrame, keys: Mapping[str, str], order: Sequence[str]
     """One row per run with a column per key: `keys` maps keys to column names.
 
     The keys are given, so no pass is needed to find them, and each column is an aggregate of its own: a run that holds
-    most entries is folded before the shuffle.
+    most entries is folded before the shuffle. A run without any of the keys has nulls.
     """
     picks = [F.max_by(F.when(F.col("key") == k, F.col("value")), F.when(F.col("key") == k, F.struct(*order))).alias(n) for k, n in keys.items()]
-    return entries.filter(F.col("key").isin(*keys)).groupBy("run_id").agg(*picks)
+    return entries.groupBy("run_id").agg(*picks)
 
 
 def latest_versions(models: DataFrame, model: str = "model", version: str | Column = "version") -> DataFrame:

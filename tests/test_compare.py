@@ -147,6 +147,22 @@ def test_quantize(spark, symmetric, per_channel):
     assert [errors[i]["at_limit"] for i in range(4)] == [int(np.isin(levels[:, i], (-128, 127)).sum()) for i in range(4)]
 
 
+def test_quantizer_sees_all_rows_and_positions(spark):
+    df = spark.createDataFrame([(i, [0.5]) for i in range(300)] + [(300, [97.5])], "id long, features array<double>")
+    fit = quantize.fit_quantizer(df, "id")
+    assert quantize.quantization_errors(df, fit).first()["max_error"] < 1
+    wider = spark.createDataFrame([(1, [0.5, 2.0])], "id long, features array<double>")
+    with pytest.raises(Exception, match="1 positions"):
+        quantize.quantization_errors(wider, fit).collect()
+
+
+def test_latency_keeps_fractions(spark):
+    df = spark.createDataFrame([("m", 0.9), ("m", 1.9)], "model string, latency_ms double")
+    r = latency.latency_statistics(df).first()
+    assert (r["avg_latency_ms"], r["max_latency_ms"], r["p99_latency_ms"]) == (pytest.approx(1.4), 1.9, 0.9)
+    assert r["throughput_samples_per_sec"] == pytest.approx(2000 / 2.8)
+
+
 def test_calibration_sample_is_repeatable(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     one = {r["k"] for r in quantize.calibration_sample(df.repartition(3), "k", 50).collect()}

@@ -120,6 +120,11 @@ def test_fit_on_nothing(spark):
         normalize.fit_normalizer(spark.createDataFrame([], "a double"), ["a"])
 
 
+def test_no_column_is_left_out_by_default(spark):
+    df = spark.createDataFrame([tuple(range(60))], ", ".join(f"c{i:02} int" for i in range(60)))
+    assert len(features.choose_features(df)) == 60 and normalize.describe(df).count() == 60
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(1, "x", 2.0), (3, "y", None)], "a int, s string, b double")
     rows = {r["column_name"]: r for r in normalize.describe(df).collect()}

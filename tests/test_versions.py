@@ -113,3 +113,8 @@ def test_latest_version_is_numeric(spark):
     assert [tuple(r) for r in lineage.latest_versions(df).collect()] == [("m", 10)]
     stages = df.withColumns({"stage": F.lit("Staging"), "run_id": F.col("version")})
     assert lineage.find_model(stages, "m", "staging").first()["version"] == "10"
+
+
+def test_runs_without_the_keys_stay(spark):
+    entries = spark.createDataFrame([("a", "x", 1.0, 1), ("b", "y", 2.0, 1)], "run_id string, key string, value double, logged_at int")
+    assert {tuple(r) for r in lineage.run_table(entries, {"x": "x_value"}).collect()} == {("a", 1.0), ("b", None)}
