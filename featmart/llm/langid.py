@@ -30,9 +30,9 @@ def fold(id_col: str, folds: int) -> Column:
 
 
 def learn_dictionaries(
-    training: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", docs_per_lang: int = 400, excerpt: int = 600, max_langs: int = 200
+    training: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", docs_per_lang: int = 400, dictionary_chars: int = 240_000, max_langs: int = 200
 ) -> dict[str, bytes]:
-    """A dictionary per language from a bounded sample: `excerpt` characters out of each of `docs_per_lang` texts.
+    """A dictionary per language from a bounded sample: `dictionary_chars` in all, evenly out of up to `docs_per_lang` texts.
 
     Texts are taken in the order of a hash of id and text. A count per language tells which hashes are low enough, so that no more than
     a few times the sample is ranked. Languages are labels, of which there may be `max_langs` (more raise an error).
@@ -44,11 +44,13 @@ def learn_dictionaries(
     if not counts:
         return {}
     share = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, 6 * docs_per_lang / n))])
+    excerpts = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, dictionary_chars // min(n, docs_per_lang))])
+    excerpt = F.element_at(excerpts, F.col(lang))
     rank = F.xxhash64(F.col(id_col).cast("string"), F.lit(3))
     low = labelled.where(F.pmod(rank, F.lit(1 << 20)) < F.element_at(share, F.col(lang)) * (1 << 20))
     order = F.xxhash64(F.col(id_col).cast("string"), text_of(text))
     start = F.pmod(order, F.greatest(F.lit(1), F.length(text) - excerpt + 1)).cast("int") + 1
-    rows = low.select(F.col(lang).alias("lang"), order.alias("order"), F.substring(F.col(text), start, F.lit(excerpt)).alias("text")).where("length(text) > 0")
+    rows = low.select(F.col(lang).alias("lang"), order.alias("order"), F.substring(F.col(text), start, excerpt).alias("text")).where("length(text) > 0")
     first = Window.partitionBy("lang").orderBy("order", "text")
     taken = rows.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= docs_per_lang).collect()
     out: dict[str, list[str]] = {}
@@ -66,10 +68,13 @@ class Classifier:
         self.min_margin = min_margin
         self.names = sorted(dictionaries, key=lambda n: [ord(c) for c in n])
         self.compressors = []
+        # One set of parameters for all, else the library picks them by each dictionary's size and sizes can't be compared.
+        largest = max(map(len, dictionaries.values()), default=0)
+        settings = zstd.ZstdCompressionParameters.from_level(LEVEL, source_size=PIECE, dict_size=largest, write_content_size=0, write_checksum=0)
         for name in self.names:
             content = zstd.ZstdCompressionDict(dictionaries[name], dict_type=zstd.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level=LEVEL)
-            self.compressors.append(zstd.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False, write_checksum=False))
+            content.precompute_compress(compression_params=settings)
+            self.compressors.append(zstd.ZstdCompressor(compression_params=settings, dict_data=content))
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         if not text or not self.names or not any(map(str.isalpha, text)):
