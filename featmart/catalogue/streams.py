@@ -37,7 +37,7 @@ def user_daily(spark, sf_dir):
     events = _stream(spark, sf_dir)
     # Windows are cut at UTC midnight, so the zone-free time is read as UTC.
     timed = events.withColumn("ts", _as_utc(F.col("ts")))
-    online = OnlineTable(spark, new_path(spark, "stream-daily"), ["user_id", "day"], "batch_id", buckets=8)
+    online = OnlineTable(spark, new_path(spark, "stream-daily"), ["user_id", "day"], "n_events", buckets=8)
     streams.run_to_end(streams.daily_upsert(timed, online, new_path(spark, "stream-checkpoint")))
     return online.read().select(
         "user_id", F.date_from_unix_date(F.floor(F.unix_seconds("day") / 86400).cast("int")).alias("day"), "n_events",

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.hashing import row_hashes
+from ..functions.hashing import quoted, row_hashes, schema_hash
 
 
 def version_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -19,11 +20,11 @@ def version_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
     """
     columns = sorted(set(old.columns) | set(new.columns))
 
-    types = {f.name: f.dataType for df in (old, new) for f in df.schema.fields}
+    types = {c: _common_type(old, new, c) for c in columns}
 
     def narrow(df: DataFrame, side: int) -> DataFrame:
-        # Both sides in the new version's types, so that equal values have equal hashes.
-        padded = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns])
+        # Both sides in one type that holds either's values, so that only equal values have equal hashes.
+        padded = df.select(*[(F.col(quoted(c)) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns])
         d, e = row_hashes(padded, columns)
         return padded.select(*keys, d.alias("_fm_d"), e.alias("_fm_e"), F.lit(side).alias("_fm_side"))
 
@@ -46,6 +47,17 @@ def version_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
     return grouped.select(*keys, change.alias("change")).filter(F.col("change").isNotNull())
 
 
+def _common_type(old: DataFrame, new: DataFrame, column: str) -> T.DataType:
+    """The type both versions of a column fit in: the one a union of them has, or text where one side is text."""
+    found = [df.select(quoted(column)) for df in (old, new) if column in df.columns]
+    kinds = [df.schema.fields[0].dataType for df in found]
+    if len(kinds) == 1 or kinds[0] == kinds[1]:
+        return kinds[-1]
+    if any(isinstance(kind, T.StringType) for kind in kinds):
+        return T.StringType()
+    return found[0].union(found[1]).schema.fields[0].dataType
+
+
 def bag_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """Without a key: rows whose number of copies differs, with that difference (new minus old).
 
@@ -57,4 +69,5 @@ def bag_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def is_changed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> bool:
-    return not version_diff(old, new, keys).isEmpty()
+    """Whether rows, columns or types differ. A new column is a change even where it is null in all rows."""
+    return schema_hash(old.schema) != schema_hash(new.schema) or not version_diff(old, new, keys).isEmpty()

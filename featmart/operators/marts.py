@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.files import INGESTION_TIME, timestamp_literal
 from .staging import DATA_SOURCE, LOADED_AT, SAMPLE_ID
@@ -89,7 +88,3 @@ def align_contract(df: DataFrame, contract: Mapping[str, tuple[str, str]] = CONT
     return df.select(
         *[F.col(c).cast(contract[c][1]).alias(contract[c][0]) if c in contract else F.col(c) for c in df.columns]
     )
-
-
-def missing_columns(df: DataFrame, wanted: T.StructType) -> list[str]:
-    return [f.name for f in wanted.fields if f.name not in df.columns]

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.diff import version_diff
+from ..operators.diff import is_changed
 from ..operators.quality import Checks, require
 from ..sinks.tables import write_parquet
 from ..sources.files import data_files, timestamp_literal
@@ -156,12 +156,12 @@ class VersionLog:
         run: str,
         metadata: Mapping[str, str] | None = None,
     ) -> Commit | None:
-        """Store a table and commit it unless it equals the branch's version row by row; then there is no commit."""
+        """Store a table and commit it unless it equals the branch's version in schema and row by row; then there is no commit."""
         head = self.head(branch)
         path = self.store(table, df, run)
         if head is not None and table in head.tables:
             old, new = self.spark.read.parquet(head.tables[table]), self.spark.read.parquet(path)
-            if version_diff(old, new, keys).isEmpty():
+            if not is_changed(old, new, keys):
                 return None
         # The head read above is the base: a commit made meanwhile has taken the version number.
         return self._append(head, branch, {table: path}, message, committed_at, metadata)

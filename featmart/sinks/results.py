@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.compare import WORST_STORED, worst_samples
+from ..functions.hashing import digest
+from ..operators.compare import worst_samples
 from ..operators.latency import latency_statistics
 from ..sources.results import benchmark_struct, sample_struct
 from ..workdir import cut, small_side
@@ -33,24 +34,27 @@ def benchmark_documents(
     """Benchmark records as JSON text, from rows `(model, sample_id, latency_ms, outputs)`.
 
     A run of more than `per_document` samples becomes several documents with the same header and metrics and about that
-    many samples each, so no task ever holds a whole run. Readers that explode the results see one run.
+    many samples each, so no task ever holds a whole run. They share a run id, a digest of the header, by which readers see
+    one run. Samples are dealt by their place, so that copies of one id spread over the documents too.
     """
     stats = latency_statistics(samples).withColumn("_fm_parts", F.ceil(F.col("total_samples") / F.lit(per_document)))
     header = cut(stats.select("model", "_fm_parts", metrics_struct().alias("metrics")), "benchmark-headers")
-    joined = samples.join(small_side(header), "model")
-    part = F.pmod(F.xxhash64("sample_id"), F.col("_fm_parts")).alias("part")
+    placed = samples.withColumn("_fm_place", F.monotonically_increasing_id())
+    joined = placed.join(small_side(header), "model")
+    part = F.pmod(F.xxhash64("_fm_place"), F.col("_fm_parts")).alias("part")
     sample = sample_struct(F.col("sample_id"), F.col("latency_ms"), F.col("outputs"))
     grouped = joined.groupBy("model", part).agg(F.first("metrics").alias("metrics"), F.collect_list(sample).alias("results"))
-    record = benchmark_struct(F.col("model"), model_path, timestamp, device, F.col("metrics"), F.col("results"))
+    run_id = digest(F.to_json(F.struct(F.col("model").alias("model"), model_path.alias("path"), timestamp.alias("time"), device.alias("device"), "metrics")))
+    record = benchmark_struct(F.col("model"), model_path, timestamp, device, F.col("metrics"), F.col("results"), run_id)
     return grouped.select("model", "part", F.to_json(record).alias("value"))
 
 
-def comparison_document(summary: DataFrame, rows: DataFrame, source_a: str, source_b: str, show_all: bool = False) -> DataFrame:
-    """A comparison as JSON: the summary and, one row each, its worst samples (20 unless all are asked for).
+def comparison_document(summary: DataFrame, rows: DataFrame, source_a: str, source_b: str, worst: int | None = None) -> DataFrame:
+    """A comparison as JSON: the summary and, one row each, its samples (only the `worst` ones, if that is given).
 
     Rows are `(kind, value)`: one of kind `summary`, the others of kind `sample`.
     """
     names = [F.lit(source_a).alias("source_a"), F.lit(source_b).alias("source_b")]
     head = summary.select(F.lit("summary").alias("kind"), F.to_json(F.struct(*names, *summary.columns)).alias("value"))
-    body = rows if show_all else worst_samples(rows, WORST_STORED)
+    body = rows if worst is None else worst_samples(rows, worst)
     return head.unionByName(body.select(F.lit("sample").alias("kind"), F.to_json(F.struct(*rows.columns)).alias("value")))

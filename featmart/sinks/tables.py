@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.files import tables_by_file, with_provenance
 
@@ -92,11 +91,3 @@ def publish_layer(frames: Mapping[str, DataFrame], as_views: bool, database: str
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).csv(path)
-
-
-def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).json(path)
-
-
-def column_types(schema: T.StructType) -> dict[str, str]:
-    return {f.name: f.dataType.simpleString() for f in schema.fields}

@@ -22,6 +22,8 @@ BENCHMARK = (
     "results array<struct<sampleId string, latencyMs bigint, outputs array<float>>>, "
     f"{METRIC_FIELDS}"
 )
+# The documents of a run that was written in several parts share this one more field.
+RUN_ID = "runId"
 EXPECTED = "array<struct<sampleId string, input array<float>, expected array<float>>>"
 
 _METRICS = [part.split()[0] for part in METRIC_FIELDS.split(", ")]
@@ -40,14 +42,21 @@ def result_rows(df: DataFrame, json: Column | str = "value", id_name: str = "sam
 
 def parse_benchmarks(df: DataFrame, json: Column | str = "value") -> DataFrame:
     """One row per benchmark document with a `run` struct. Metrics are read nested, else from the top level."""
-    return df.withColumn("run", F.from_json(as_column(json), BENCHMARK))
+    return df.withColumn("run", F.from_json(as_column(json), f"{BENCHMARK}, {RUN_ID} string"))
 
 
 def benchmark_runs(df: DataFrame, json: Column | str = "value") -> DataFrame:
-    """One row per run: model, device and metrics."""
+    """One row per run: model, device and metrics.
+
+    Documents that share a run id are parts of one run; a document without one is a run of its own. Headers are folded before
+    the shuffle, results are not parsed.
+    """
     parsed = parse_benchmarks(df, json)
     metrics = [F.coalesce(F.col(f"run.metrics.{m}"), F.col(f"run.{m}")).alias(m) for m in _METRICS]
-    return parsed.select("run.modelName", "run.modelPath", "run.timestamp", "run.deviceInfo.device", *metrics)
+    own = F.concat(F.lit("document "), F.monotonically_increasing_id())
+    key = F.coalesce(F.concat(F.lit("run "), F.col(f"run.{RUN_ID}")), own).alias("_fm_run")
+    headers = parsed.select(key, "run.modelName", "run.modelPath", "run.timestamp", "run.deviceInfo.device", *metrics)
+    return headers.distinct().drop("_fm_run")
 
 
 def benchmark_samples(df: DataFrame, json: Column | str = "value") -> DataFrame:
@@ -68,7 +77,7 @@ def expected_rows(df: DataFrame, json: Column | str = "value") -> DataFrame:
     )
 
 
-def benchmark_struct(model: Column, path: Column, timestamp: Column, device: Column, metrics: Column, results: Column) -> Column:
+def benchmark_struct(model: Column, path: Column, timestamp: Column, device: Column, metrics: Column, results: Column, run_id: Column) -> Column:
     """The nested benchmark record, ready for `to_json`."""
     return F.struct(
         model.alias("modelName"),
@@ -77,6 +86,7 @@ def benchmark_struct(model: Column, path: Column, timestamp: Column, device: Col
         device.alias("deviceInfo"),
         metrics.alias("metrics"),
         results.alias("results"),
+        run_id.alias(RUN_ID),
     )
 
 

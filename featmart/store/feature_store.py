@@ -123,7 +123,9 @@ class FeatureStore:
 
 
 def _text(moment: str | datetime) -> str:
-    return moment if isinstance(moment, str) else moment.strftime("%Y-%m-%d %H:%M:%S.%f")
+    """One form for all moments, whose order as text is their order in time."""
+    parsed = datetime.fromisoformat(moment.strip()) if isinstance(moment, str) else moment
+    return parsed.strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
 def backfill(

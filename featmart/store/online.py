@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,13 +64,13 @@ class OnlineTable:
         return rows
 
     def upsert(self, newest: DataFrame, until: str | None = None, name: str | None = None) -> int:
-        """Add rows, one per key. A repeated call with the same name replaces its batch."""
-        return self._write(newest, name or f"batch-{len(self._entries()):08d}", "delta", until=until)
+        """Add rows, one per key. A repeated call with the same name replaces its batch; without one the batch is a new one."""
+        return self._write(newest, name or f"batch-{uuid.uuid4().hex}", "delta", until=until)
 
     def compact(self) -> int:
         """Fold all batches into one."""
         done = self.batches()
-        return self._write(self.read(), f"base-{len(self._entries()):08d}", "base", covers=done)
+        return self._write(self.read(), f"base-{uuid.uuid4().hex}", "base", covers=done)
 
     def read(self) -> DataFrame:
         """The merged table."""

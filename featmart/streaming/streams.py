@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import Future
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.latest import latest_per_key
 from ..store.online import OnlineTable
@@ -25,14 +27,29 @@ def file_stream(spark: SparkSession, directory: str, schema: T.StructType, patte
 def push_upsert(stream: DataFrame, online: OnlineTable, checkpoint: str, name: str = "push", available_now: bool = True) -> StreamingQuery:
     """Keep the newest row per key of a stream in an online table.
 
-    Each micro-batch is folded to one row per key and added under the batch's own name, so a batch that is retried after
-    a failure replaces what it wrote before.
+    Each micro-batch is folded to one row per key and added under the names of the query and the batch, so a batch that is
+    retried after a failure replaces what it wrote before, and several streams can feed one table.
     """
 
+    def newest(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, online.keys, online.timestamp, online.tie)
+
+    return _upsert_batches(stream.writeStream, newest, online, name, checkpoint, available_now)
+
+
+def _upsert_batches(
+    writer: DataStreamWriter, fold: Callable[[DataFrame], DataFrame], online: OnlineTable, name: str, checkpoint: str, available_now: bool
+) -> StreamingQuery:
+    """Upsert every micro-batch under its own name. A query's id lies in its checkpoint: a restart keeps it, and a new
+    checkpoint, whose batches count from 0 again, has another one."""
+    query_id: Future[str] = Future()
+
     def merge(rows: DataFrame, batch_id: int) -> None:
-        online.upsert(latest_per_key(rows, online.keys, online.timestamp, online.tie), name=f"{name}-{batch_id:08d}")
+        online.upsert(fold(rows), name=f"{name}-{query_id.result()}-{batch_id:08d}")
 
-    return _start(stream.writeStream.foreachBatch(merge), checkpoint, available_now)
+    query = _start(writer.foreachBatch(merge), checkpoint, available_now)
+    query_id.set_result(str(query.id))
+    return query
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], time: str, delay: str, fold: bool = True) -> DataFrame:
@@ -52,7 +69,7 @@ def _fold_copies(stream: DataFrame, keys: list[str], time: str) -> DataFrame:
         for batch in batches:
             by_time = pc.sort_indices(batch.column(time), null_placement="at_start")
             ordered = pa.table([batch.column(k).take(by_time) for k in keys], names=keys)
-            places = ordered.append_column("_fm_place", pa.array(range(batch.num_rows), pa.int64()))
+            places = ordered.append_column("_fm_place", pa.array(np.arange(batch.num_rows)))
             last = places.group_by(keys).aggregate([("_fm_place", "max")])["_fm_place_max"].combine_chunks()
             yield batch.take(by_time.take(last))
 
@@ -82,14 +99,14 @@ def daily_upsert(stream: DataFrame, online: OnlineTable, checkpoint: str, time:
 
     Update mode emits a day whenever it changes, also the days still open at the end of the input. Rows that come later
     than the watermark allows are dropped.
+
+    The online table's time column must be `n_events`: a day's count only grows, so between batches the fullest state wins,
+    also when a query starts over with a new checkpoint.
     """
+    if online.timestamp != "n_events":
+        raise ValueError("the online table of daily features must be ordered by n_events")
     daily = daily_user_features(stream.withWatermark(time, delay), time)
-
-    def merge(rows: DataFrame, batch_id: int) -> None:
-        # Within a batch a day occurs once; between batches the later one wins.
-        online.upsert(rows.withColumn("batch_id", F.lit(batch_id).cast("long")), name=f"daily-{batch_id:08d}")
-
-    return _start(daily.writeStream.outputMode("update").foreachBatch(merge), checkpoint, available_now)
+    return _upsert_batches(daily.writeStream.outputMode("update"), lambda rows: rows, online, "daily", checkpoint, available_now)
 
 
 def _start(writer, checkpoint: str, available_now: bool) -> StreamingQuery:

@@ -212,7 +212,21 @@ def test_benchmark_documents_round_trip(spark, per_document):
     assert documents.count() == (2 if per_document > 100 else documents.count()) and (per_document > 100 or documents.count() > 10)
     back = results.benchmark_samples(documents)
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in samples.collect())
-    assert {(r["modelName"], r["totalSamples"]) for r in results.benchmark_runs(documents).collect()} == {("m1", 70), ("m2", 30)}
+    assert sorted((r["modelName"], r["totalSamples"]) for r in results.benchmark_runs(documents).collect()) == [("m1", 70), ("m2", 30)]
+
+
+def test_copies_of_a_sample_spread_over_documents(spark):
+    samples = spark.range(1000).selectExpr("'m' as model", "'s' as sample_id", "5L as latency_ms", "array(1f) as outputs")
+    documents = benchmark_documents(samples, F.struct(F.lit("d").alias("device")), F.lit(1).cast("long"), F.lit("p"), 10)
+    parsed = results.parse_benchmarks(documents).select(F.size("run.results").alias("n")).collect()
+    assert sum(r["n"] for r in parsed) == 1000 and max(r["n"] for r in parsed) < 40
+    assert [r["totalSamples"] for r in results.benchmark_runs(documents).collect()] == [1000]
+
+
+def test_runs_of_equal_figures_stay_apart(spark):
+    record = {"modelName": "m", "timestamp": 1, "metrics": {"totalSamples": 3}}
+    files = spark.createDataFrame([(json.dumps(record),)] * 2, "value string")
+    assert [r["totalSamples"] for r in results.benchmark_runs(files).collect()] == [3, 3]
 
 
 def test_comparison_document(a, b):

@@ -122,6 +122,21 @@ def test_views_and_on_demand(spark, store):
         OnlineTable(spark, store.path + "/none", ["k"], "t").read()
 
 
+def test_unnamed_batches_keep_apart(spark, tmp_path):
+    """Two writers that began with the same log."""
+    first, second = (OnlineTable(spark, str(tmp_path / "online"), ["k"], "t", buckets=2) for _ in range(2))
+    first.upsert(spark.createDataFrame([(1, 1)], "k int, t int"))
+    second.upsert(spark.createDataFrame([(2, 1)], "k int, t int"))
+    assert len(set(first.batches())) == 2 and sorted(r["k"] for r in second.read().collect()) == [1, 2]
+
+
+def test_incremental_ends_are_compared_as_times(store):
+    assert store.materialize("spend", "2023-12-31", "2024-01-01T00:30:00") == 1
+    assert store.online("spend").last_end() == "2024-01-01 00:30:00.000000"
+    assert store.materialize_incremental("spend", "2024-01-01 20:00:00") == 2
+    assert store.materialize_incremental("spend", "2024-01-01T19:00:00") == 0
+
+
 def test_backfill_replaces_only_its_days(spark, tmp_path):
     events = spark.range(96).select((F.timestamp_add("HOUR", F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz"))).alias("ts"))
 
@@ -189,7 +204,7 @@ def test_stream_daily_drops_late_rows(spark, tmp_path):
     last file's row of that day is late."""
     batches = [*BATCHES[:2], [(7, "b", T0 + 32 * HOUR, 1.0)], BATCHES[2]]
     write_files(spark, tmp_path / "in", batches)
-    online = OnlineTable(spark, str(tmp_path / "online"), ["user_id", "day"], "batch_id", buckets=2)
+    online = OnlineTable(spark, str(tmp_path / "online"), ["user_id", "day"], "n_events", buckets=2)
     streams.run_to_end(streams.daily_upsert(read_stream(spark, tmp_path / "in"), online, str(tmp_path / "cp"), delay="1 hour"))
     got = {(r["user_id"], r["day"]): (r["n_events"], r["total_value"], r["max_value"]) for r in online.read().collect()}
     batch = streams.daily_user_features(spark.createDataFrame(sum(batches, []), EVENT)).collect()
@@ -197,3 +212,26 @@ def test_stream_daily_drops_late_rows(spark, tmp_path):
     late = ("a", T0)
     assert got.keys() == want.keys() and {k: v for k, v in got.items() if k != late} == {k: v for k, v in want.items() if k != late}
     assert want[late] == (5, 11.0, 5.0) and got[late] == (4, 6.0, 2.0)
+
+
+def test_streams_share_an_online_table(spark, tmp_path):
+    """Two streams, and one that starts over with a new checkpoint, keep each other's rows."""
+    online = OnlineTable(spark, str(tmp_path / "online"), ["user_id"], "ts", ["event_id"], buckets=2)
+    for i, user in enumerate(("a", "b", "c")):
+        write_files(spark, tmp_path / user, [[(i, user, T0 + i * HOUR, 1.0)]])
+        streams.run_to_end(streams.push_upsert(read_stream(spark, tmp_path / user), online, str(tmp_path / f"cp-{user}")))
+    assert {r["user_id"] for r in online.read().collect()} == {"a", "b", "c"} and len(online.batches()) == 3
+
+
+def test_daily_features_start_over(spark, tmp_path):
+    """A new checkpoint counts its batches from 0 again; the fullest state of a day stays."""
+    write_files(spark, tmp_path / "in", BATCHES)
+    online = OnlineTable(spark, str(tmp_path / "online"), ["user_id", "day"], "n_events", buckets=2)
+    for checkpoint in ("cp-1", "cp-2"):
+        stream = read_stream(spark, tmp_path / "in")
+        streams.run_to_end(streams.daily_upsert(stream, online, str(tmp_path / checkpoint), delay="40 hours"))
+    got = {(r["user_id"], r["day"]): r["n_events"] for r in online.read().collect()}
+    batch = streams.daily_user_features(spark.createDataFrame(sum(BATCHES, []), EVENT))
+    assert got == {(r["user_id"], r["day"]): r["n_events"] for r in batch.collect()}
+    with pytest.raises(ValueError, match="n_events"):
+        streams.daily_upsert(stream, OnlineTable(spark, str(tmp_path / "other"), ["user_id"], "ts"), str(tmp_path / "cp-3"))

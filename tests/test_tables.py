@@ -149,6 +149,10 @@ def test_version_diff(spark):
     assert version_diff(old, old.withColumn("d", F.col("d").cast("int")), ["d"]).count() == 0
     with pytest.raises(Exception, match="twice"):
         version_diff(old.union(old), new, ["d"]).collect()
+    assert is_changed(old, old.withColumn("r", F.lit(None).cast("int")), ["d"])
+    real = old.select("d", F.lit(1.5).alias("x"))
+    assert version_diff(real, real.withColumn("x", F.col("x").cast("int")), ["d"]).count() == old.count()
+    assert version_diff(real, real.withColumn("x", F.col("x").cast("string")), ["d"]).count() == 0
     nested = spark.createDataFrame([(1, [None, 1], {"a": 1})], "k long, a array<int>, m map<string,int>")
     assert version_diff(nested, nested.withColumn("a", F.array(F.lit(1), F.lit(None))), ["k"]).count() == 1
 
