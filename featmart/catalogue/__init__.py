@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import comparing, features, staging, storing, streams, versioning
+from . import comparing, features, staging, storing, streams, versioning, workflows
 from .base import Query
 
-_MODULES = (staging, features, storing, comparing, versioning, streams)
+_MODULES = (staging, features, storing, comparing, versioning, streams, workflows)
 
 
 def all_queries() -> dict[str, Query]:

@@ -6,13 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import padded_id
 from ..operators import compare, latency, model, quantize, recon
-from ..operators.normalize import fit_normalizer
-from ..plans.evaluate import vectors
 from ..sinks.results import benchmark_documents
 from ..sources import results
 from ..workdir import cut
 from .base import (
-    A_SQL, B_SQL, DIFFS_SQL, FEATURES, LAT_SQL, Query, feat, latencies, results_a, results_b, rounded, scored, table,
+    A_SQL, B_SQL, DIFFS_SQL, FEAT_SQL, LAT_SQL, Query, feat, latencies, results_a, results_b, rounded, scored, table,
 )
 
 # Result files: a document holds the samples of a hundred ids, so documents grow in number and not in size.
@@ -207,7 +205,7 @@ def recon_top_features(spark, sf_dir):
 
 
 def error_hist(spark, sf_dir):
-    rows = recon.histogram(recon.recon_rows(scored(spark, sf_dir)), "mse")
+    rows = recon.histogram(cut(recon.recon_rows(scored(spark, sf_dir)).select("mse"), "sample-errors"), "mse")
     return rows.select("bin", rounded("lower", 9).alias("lower"), rounded("upper", 9).alias("upper"), "count")
 
 
@@ -270,8 +268,9 @@ def _list_sql(values) -> str:
     return f"[{', '.join(repr(float(v)) for v in values)}]::double[]"
 
 
-def _net_sql(net: model.Autoencoder) -> str:
-    text, name = A_SQL.replace("as outputs", "as x0"), "x0"
+def net_sql(net: model.Autoencoder, vectors: str) -> str:
+    """`vectors` selects x0; each layer adds the next x."""
+    text, name = vectors, "x0"
     for i, layer in enumerate([*net.encoder, *net.decoder], 1):
         text = f"select *, {_layer_sql(layer, name)} as x{i} from ({text})"
         name = f"x{i}"
@@ -282,15 +281,27 @@ _AE_SQL = f"""
 select sample_id, {', '.join(f'round(x2[{i + 1}], 6) as z_{i}' for i in range(4))},
        round(list_avg([(x0[i] - x4[i]) * (x0[i] - x4[i]) for i in range(1, 65)]), 6) as mse,
        round(list_avg([abs(x0[i] - x4[i]) for i in range(1, 65)]), 6) as mae
-from ({_net_sql(_NET)})"""
+from ({net_sql(_NET, A_SQL.replace("as outputs", "as x0"))})"""
 
 
 def pca_recon(spark, sf_dir):
-    """A linear bottleneck fitted on normalized features, and each sample's error."""
-    rows = cut(feat(spark, sf_dir), "features")
-    normalized = vectors(rows, fit_normalizer(rows, FEATURES))
-    net = model.linear_autoencoder(normalized, 4)
-    return recon.recon_rows(model.score_autoencoder(normalized, net))
+    """A linear bottleneck of width 1 fitted on two features, and each sample's error."""
+    pair = F.array(*[F.col(c).cast("double") / 10 for c in ("clone", "bind")])
+    rows = cut(feat(spark, sf_dir).select("sample_id", pair.alias("features")), "features")
+    net = model.linear_autoencoder(rows, 1)
+    errors = recon.recon_rows(model.score_autoencoder(rows, net))
+    return errors.select("sample_id", rounded("mse", 5).alias("mse"), rounded("mae", 5).alias("mae"))
+
+
+# Of a 2 x 2 covariance matrix the main axis has a closed form; what is left is the distance to it.
+_PCA_SQL = f"""
+with f as (select sample_id, clone / 10.0::double as x, bind / 10.0::double as y from ({FEAT_SQL})),
+     s as (select avg(x) as mx, avg(y) as my, var_samp(x) as a, var_samp(y) as c, covar_samp(x, y) as b from f),
+     e as (select *, (a + c) / 2 + sqrt(((a - c) / 2) ** 2 + b * b) as l from s),
+     v as (select *, b / sqrt(b * b + (l - a) ** 2) as vx, (l - a) / sqrt(b * b + (l - a) ** 2) as vy from e),
+     d as (select sample_id, vx, vy, x - mx as dx, y - my as dy, (x - mx) * vx + (y - my) * vy as z from f, v)
+select sample_id, round(((dx - z * vx) ** 2 + (dy - z * vy) ** 2) / 2, 5) as mse, round((abs(dx - z * vx) + abs(dy - z * vy)) / 2, 5) as mae
+from d"""
 
 
 def quantize_stats(spark, sf_dir):
@@ -358,6 +369,6 @@ from ({_STATS_SQL})""",
     Query("error_hist", error_hist, _HIST_SQL),
     Query("metric_drift", metric_drift, _DRIFT_SQL),
     Query("ae_score", ae_score, _AE_SQL),
-    Query("pca_recon", pca_recon),
+    Query("pca_recon", pca_recon, _PCA_SQL),
     Query("quantize_stats", quantize_stats, _QUANTIZE_SQL),
 ]

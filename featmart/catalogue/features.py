@@ -89,7 +89,7 @@ _Z = ["clone", "bind"]
 
 
 def feat_zscore(spark, sf_dir):
-    rows = normalize.zscore(gaps(spark, sf_dir), [*_Z, "absent_column"])
+    rows = normalize.zscore(cut(gaps(spark, sf_dir).select("sample_id", *_Z), "features"), [*_Z, "absent_column"])
     return rows.select("sample_id", *[rounded(c).alias(c) for c in _Z])
 
 
@@ -125,7 +125,7 @@ _D = 6
 
 def synth_corr(spark, sf_dir):
     """One synthetic row per document, z-scored with population statistics."""
-    rows = correlated_features(table(spark, sf_dir, "documents"), "doc_id", _D, 42)
+    rows = cut(correlated_features(table(spark, sf_dir, "documents"), "doc_id", _D, 42), "synthetic")
     names = [f"f_{i}" for i in range(_D)]
     stats = rows.agg(*[F.avg(c).alias(f"m_{c}") for c in names], *[F.stddev_pop(c).alias(f"s_{c}") for c in names]).first()
     return rows.select("doc_id", *[rounded((F.col(c) - stats[f"m_{c}"]) / (stats[f"s_{c}"] + 1e-8), 5).alias(c) for c in names])

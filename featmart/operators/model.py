@@ -142,9 +142,11 @@ def fit_reconstruction(df: DataFrame, k: int = 16, features: str = "features") -
 def linear_autoencoder(df: DataFrame, k: int = 16, features: str = "features") -> Autoencoder:
     """The fitted components as a model without hidden layers; encoding centres on the mean of the rows."""
     components = fit_reconstruction(df, k, features).pc.toArray()
-    width = components.shape[0]
-    row = df.agg(*[F.avg(F.col(features)[i].cast("double")).alias(f"m_{i}") for i in range(width)]).first()
-    mean = np.array([row[i] for i in range(width)])
+    # By position: a task sends a row per feature, and no row is wider than generated code can take.
+    places = df.select(F.posexplode(doubles(F.col(features))).alias("pos", "x")).groupBy("pos").agg(F.avg("x").alias("mean"))
+    mean = np.zeros(components.shape[0])
+    for row in places.collect():
+        mean[row["pos"]] = row["mean"]
     return Autoencoder((Layer(components.T, -components.T @ mean),), (Layer(components, mean),))
 
 

@@ -28,7 +28,11 @@ def recon_rows(df: DataFrame, key: str = "sample_id", x: str = "features", y: st
 
 def feature_errors(df: DataFrame, names: Sequence[str] | None = None, x: str = "features", y: str = "reconstructed") -> DataFrame:
     """Mean squared error of each feature over all rows. Tasks send one row per feature."""
-    diff = df.select(F.posexplode(abs_differences(x, y)).alias("pos", "d"))
+    return _feature_errors(df.select(abs_differences(x, y).alias("_fm_d")), names)
+
+
+def _feature_errors(differences: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    diff = differences.select(F.posexplode("_fm_d").alias("pos", "d"))
     errors = diff.groupBy("pos").agg(F.avg(F.col("d") * F.col("d")).alias("mean_squared_error"))
     name = F.col("pos").cast("string") if names is None else F.element_at(F.array(*[F.lit(n) for n in names]), F.col("pos") + 1)
     return errors.select("pos", name.alias("feature_name"), "mean_squared_error")
@@ -42,9 +46,11 @@ def error_summary(df: DataFrame, key: str = "sample_id", x: str = "features", y:
     """One row: mean, sample deviation, extremes, lower median, 95th and 99th percentile of the samples' errors, and the
     largest and smallest feature error.
 
-    The samples' errors are written once, two numbers per row; quantiles are then found by counting.
+    The differences and each sample's errors are written once, so that `df` is computed once; later passes read the two
+    numbers per row, one pass the differences. Quantiles are found by counting.
     """
-    errors = cut(recon_rows(df, key, x, y).select("mse", "mae"), "sample-errors")
+    differences = df.select(abs_differences(x, y).alias("_fm_d")).filter(F.col("_fm_d").isNotNull())
+    errors = cut(differences.select("_fm_d", mean_square(F.col("_fm_d")).alias("mse"), array_mean("_fm_d").alias("mae")), "sample-errors")
     sums = errors.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("mse").alias("test_mse"),
@@ -60,12 +66,12 @@ def error_summary(df: DataFrame, key: str = "sample_id", x: str = "features", y:
     for p in (95, 99):
         low, high, _ = quantile_ranks(n, p / 100)
         wanted |= {f"p{p}_lo": (None, low), f"p{p}_hi": (None, high)}
-    at = order_statistics(errors, "mse", wanted, finish_rows=finish_rows)
+    at = order_statistics(errors.select("mse"), "mse", wanted, finish_rows=finish_rows)
     quantile = {}
     for p in (95, 99):
         _, _, weight = quantile_ranks(n, p / 100)
         quantile[p] = at[f"p{p}_lo"] + (at[f"p{p}_hi"] - at[f"p{p}_lo"]) * weight
-    ends = feature_errors(df, x=x, y=y).agg(
+    ends = _feature_errors(errors).agg(
         F.max("mean_squared_error").alias("test_max_feature_error"), F.min("mean_squared_error").alias("test_min_feature_error")
     )
     known = {
@@ -90,7 +96,8 @@ def error_summary(df: DataFrame, key: str = "sample_id", x: str = "features", y:
 def histogram(df: DataFrame, value: str, bins: int = BINS) -> DataFrame:
     """Counts in `bins` equal-width bins from minimum to maximum, empty bins included; the last bin has its right end.
 
-    When all values are equal the range is half a unit to either side.
+    When all values are equal the range is half a unit to either side. `df` is read twice: cut it first when it is expensive
+    to compute.
     """
     ends = df.agg(F.min(value).alias("a"), F.max(value).alias("b")).first()
     low, high = ends["a"], ends["b"]

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from ..sources.files import tables_by_file, with_provenance
 
 
-def ensure_databases(spark: SparkSession, databases: Iterable[str], catalog: str | None = None) -> None:
+def ensure_databases(spark: SparkSession, databases: Iterable[str], catalog: str | None = None, location: str | None = None) -> None:
+    """Create databases that do not exist, each in its own folder below `location` if that is given."""
     for name in databases:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {f'{catalog}.' if catalog else ''}{name}")
+        place = f" LOCATION '{location}/{name}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {f'{catalog}.' if catalog else ''}{name}{place}")
 
 
 def observed(df: DataFrame) -> tuple[DataFrame, Observation]:

@@ -103,7 +103,7 @@ def read_raw(
 
 def has_files(spark: SparkSession, path: str, pattern: str) -> bool:
     """Whether an existing folder has files of that name. The listing is read, not the files."""
-    return bool(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).inputFiles())
+    return not spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path").isEmpty()
 
 
 def data_files(df: DataFrame) -> DataFrame:

@@ -46,9 +46,11 @@ class FeatureStore:
     ) -> DataFrame:
         """Point-in-time features for every entity row. Views with the same keys share one shuffle.
 
-        `full_names` prefixes columns with their view, which is needed when two views have fields of one name.
+        `full_names` prefixes columns with their view, which is needed when two views have fields of one name. References may
+        name on-demand views; what these read is retrieved too, and dropped again unless it was asked for.
         """
-        wanted = self.registry.resolve(references)
+        stored, derived = self.registry.split(references)
+        wanted = self.registry.resolve([*stored, *self._inputs(derived)])
         by_keys: dict[tuple[str, ...], list[FeatureRows]] = {}
         taken = set(entities.columns)
         for name, columns in wanted.items():
@@ -63,7 +65,30 @@ class FeatureStore:
         result = entities
         for keys, views in by_keys.items():
             result = asof_join(result, keys, timestamp, views, **options)
-        return result
+        return self._with_derived(result, entities.columns, stored, derived, full_names)
+
+    def _inputs(self, derived: Mapping[str, Sequence[str]]) -> list[str]:
+        return [reference for name in derived for reference in self.registry.on_demand[name].inputs]
+
+    def _with_derived(
+        self, found: DataFrame, kept: Sequence[str], stored: Sequence[str], derived: Mapping[str, Sequence[str]], full_names: bool = False
+    ) -> DataFrame:
+        """Append the asked fields of on-demand views and drop inputs that were not asked for."""
+
+        def label(view: str, column: str) -> str:
+            return f"{view}__{column}" if full_names else column
+
+        result = [*kept, *[label(v, c) for v, columns in self.registry.resolve(stored).items() for c in columns]]
+        for name, fields in derived.items():
+            view = self.registry.on_demand[name]
+            # The function sees its inputs under their own names.
+            short = {label(v, c): c for v, columns in self.registry.resolve(view.inputs).items() for c in columns}
+            made = view.function(found.withColumnsRenamed(short))
+            kinds = dict(view.fields)
+            new = [F.col(f).cast(kinds[f]).alias(label(name, f)) for f in fields]
+            found = made.select(*[F.col(short.get(c, c)).alias(c) for c in found.columns], *new)
+            result += [label(name, f) for f in fields]
+        return found.select(*result)
 
     def get_batch_view(self, view_name: str) -> DataFrame:
         """A view's keys, timestamp and fields as a plain frame."""
@@ -100,15 +125,17 @@ class FeatureStore:
         return self.materialize(view_name, start, end)
 
     def get_online_features(self, references: Sequence[str], keys: DataFrame | Sequence[Mapping]) -> DataFrame:
-        """The online table's features for the given keys; unknown keys have null features."""
-        result = None
-        for name, columns in self.registry.resolve(references).items():
-            view = self.registry.view(name)
-            found = self.online(name).lookup(keys if result is None else result, columns)
-            result = found
-        if result is None:
+        """The online table's features for the given keys; unknown keys have null features. Fields of on-demand views are
+        computed from them."""
+        stored, derived = self.registry.split(references)
+        wanted = self.registry.resolve([*stored, *self._inputs(derived)])
+        if not wanted:
             raise ValueError("no feature was asked for")
-        return result
+        result = keys
+        for name, columns in wanted.items():
+            result = self.online(name).lookup(result, columns)
+        kept = [c for c in result.columns if c not in {c for columns in wanted.values() for c in columns}]
+        return self._with_derived(result, kept, stored, derived)
 
     def with_on_demand(self, df: DataFrame, function: Callable[[DataFrame], DataFrame] = with_on_demand_scores) -> DataFrame:
         """Derived features, computed on what a retrieval returned."""

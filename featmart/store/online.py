@@ -40,18 +40,14 @@ class OnlineTable:
         """One row per finished batch: `(name, kind, covers, until, rows)`."""
         return self.spark.read.schema(f"{_LOG}, name string").json(f"{self.path}/log")
 
-    def _entries(self) -> list:
-        return self.log().collect()
-
     def batches(self) -> list[str]:
-        """Names of the batches that make up the table: those that no compacted batch covers."""
-        entries = self._entries()
-        covered = {name for e in entries for name in e["covers"] or ()}
-        return sorted(e["name"] for e in entries if e["name"] not in covered)
+        """Names of the batches that make up the table: those that no compacted batch covers. `compact` keeps them few."""
+        covered = self.log().select(F.explode("covers").alias("name"))
+        return sorted(r["name"] for r in self.log().select("name").join(covered, "name", "left_anti").collect())
 
     def last_end(self) -> str | None:
         """The end of the last materialized range."""
-        return max((e["until"] for e in self._entries() if e["until"] is not None), default=None)
+        return self.log().agg(F.max("until").alias("until")).first()["until"]
 
     def _write(self, df: DataFrame, name: str, kind: str, covers: Sequence[str] = (), until: str | None = None) -> int:
         bucketed = df.withColumn("bucket", self._bucket())

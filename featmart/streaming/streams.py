@@ -17,11 +17,17 @@ from ..operators.latest import latest_per_key
 from ..store.online import OnlineTable
 
 
-def file_stream(spark: SparkSession, directory: str, schema: T.StructType, pattern: str = "*.parquet", max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(directory)
+BATCH_BYTES = 64 << 30
+COMPACT_EVERY = 50
+
+
+def file_stream(
+    spark: SparkSession, directory: str, schema: T.StructType, pattern: str = "*.parquet", max_files: int | None = None, max_bytes: int = BATCH_BYTES
+) -> DataFrame:
+    """New files of a directory. A micro-batch takes about `max_bytes`, or `max_files` files if that is given: the watermark
+    moves between batches, so a long backlog does not become one batch whose state is never dropped."""
+    limit = ("maxBytesPerTrigger", str(max_bytes)) if max_files is None else ("maxFilesPerTrigger", max_files)
+    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option(*limit).parquet(directory)
 
 
 def push_upsert(stream: DataFrame, online: OnlineTable, checkpoint: str, name: str = "push", available_now: bool = True) -> StreamingQuery:
@@ -46,6 +52,9 @@ def _upsert_batches(
 
     def merge(rows: DataFrame, batch_id: int) -> None:
         online.upsert(fold(rows), name=f"{name}-{query_id.result()}-{batch_id:08d}")
+        # What a read merges stays bounded. Merging is idempotent, so a retried batch that is folded already does no harm.
+        if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            online.compact()
 
     query = _start(writer.foreachBatch(merge), checkpoint, available_now)
     query_id.set_result(str(query.id))

@@ -234,3 +234,10 @@ def test_comparison_document(a, b):
     summary = [json.loads(r["value"]) for r in rows if r["kind"] == "summary"]
     assert len(summary) == 1 and summary[0]["source_a"] == "A" and summary[0]["matched_samples"] == 3
     assert {json.loads(r["value"])["sample_id"] for r in rows if r["kind"] == "sample"} == {"s1", "s4"}
+
+
+def test_repeated_id_on_the_right_is_an_error(spark):
+    a = spark.createDataFrame([("s", [1.0])], "sample_id string, outputs array<double>")
+    assert compare.compare_summary(a, a).first()["total_samples"] == 1
+    with pytest.raises(Exception, match="occurs twice"):
+        compare.compare_summary(a, a.union(a)).collect()

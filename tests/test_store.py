@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featmart.operators.features import with_on_demand_scores
-from featmart.store.definitions import sample_registry
+from featmart.store.definitions import SCORE_FIELDS, sample_registry
 from featmart.store.feature_store import FeatureStore, backfill, write_daily
 from featmart.store.online import OnlineTable
-from featmart.store.registry import Entity, FeatureView, Registry, RegistryError
+from featmart.store.registry import Entity, FeatureView, OnDemandView, Registry, RegistryError
 from featmart.streaming import streams
 
 T0 = datetime(2024, 1, 1)
@@ -32,8 +32,8 @@ def store(spark, tmp_path):
 
 def test_registry_names():
     registry = sample_registry()
-    assert registry.list_views() == ["malware_batch_features", "malware_sample_features"]
-    assert registry.list_entities() == ["device", "malware_family", "malware_sample", "user"]
+    assert registry.list_views() == ["malware_batch_features", "malware_family_features", "malware_sample_features"]
+    assert registry.list_entities() == ["device", "family_statistics", "malware_family", "malware_sample", "user"]
     view = registry.view("malware_sample_features")
     assert registry.join_keys(view) == ["sample_id"] and len(view.fields) == 33 and view.ttl == "365 days"
     assert registry.resolve(["malware_sample_features:read", "malware_batch_features:*"]) == {
@@ -235,3 +235,59 @@ def test_daily_features_start_over(spark, tmp_path):
     assert got == {(r["user_id"], r["day"]): r["n_events"] for r in batch.collect()}
     with pytest.raises(ValueError, match="n_events"):
         streams.daily_upsert(stream, OnlineTable(spark, str(tmp_path / "other"), ["user_id"], "ts"), str(tmp_path / "cp-3"))
+
+
+def test_on_demand_references(spark, store):
+    """Derived fields by reference: their inputs are retrieved, and dropped again unless asked for."""
+    double = OnDemandView(
+        "doubled", ("spend:amount", "spend:n"), (("twice", T.DoubleType()), ("both", T.LongType())),
+        lambda df: df.withColumns({"twice": F.col("amount") * 2, "both": F.col("amount") + F.col("n")}),
+    )
+    store.registry.add_on_demand(double)
+    entities = spark.createDataFrame([("a", T0 + HOUR), ("z", T0)], "user_id string, event_timestamp timestamp_ntz")
+    found = store.get_historical_features(entities, ["doubled:*"])
+    assert found.columns == ["user_id", "event_timestamp", "twice", "both"]
+    assert {r["user_id"]: (r["twice"], r["both"]) for r in found.collect()} == {"a": (6.0, 6), "z": (None, None)}
+    assert dict(found.dtypes)["both"] == "bigint"
+    named = store.get_historical_features(entities, ["doubled:twice", "spend:n", "visits:n"], full_names=True)
+    assert named.columns == ["user_id", "event_timestamp", "spend__n", "visits__n", "doubled__twice"]
+    store.materialize("spend", T0, T0 + 9 * HOUR)
+    keys = [{"user_id": "b"}, {"user_id": "z"}]
+    online = store.get_online_features(["spend:n", "doubled:twice"], keys)
+    assert sorted(map(tuple, online.collect())) == [("b", 9, 18.0), ("z", None, None)]
+    for bad in ("doubled:thrice", "doubled"):
+        with pytest.raises(RegistryError):
+            store.get_historical_features(entities, [bad])
+    with pytest.raises(RegistryError):
+        store.registry.add_on_demand(OnDemandView("spend", ("visits:n",), (), lambda df: df))
+
+
+def test_published_views():
+    registry = sample_registry()
+    stored, derived = registry.split(["malware_sample_features:read", "malware_derived_features:*"])
+    assert stored == ["malware_sample_features:read"] and derived == {"malware_derived_features": list(SCORE_FIELDS)}
+    family = registry.view("malware_family_features")
+    assert registry.join_keys(family) == ["family_id"] and len(family.fields) == 9
+
+
+def test_state_of_many_batches_shrinks(spark, tmp_path):
+    """One file a batch: ids that the watermark has passed leave the state, and every id is kept once."""
+    for day in range(6):
+        rows = [(day * 10 + i, T0 + day * 24 * HOUR) for i in range(10)] * 2
+        spark.createDataFrame(rows, "id long, t timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = streams.file_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, max_files=1)
+    query = streams.append_files(streams.deduplicated(stream, ["id"], "t", "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    streams.run_to_end(query)
+    state = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    assert len(query.recentProgress) >= 6 and sum(s["numRowsRemoved"] for s in state) >= 40 and max(s["numRowsTotal"] for s in state) <= 30
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(60))
+
+
+def test_streams_compact_the_online_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "COMPACT_EVERY", 3)
+    for i in range(7):
+        spark.createDataFrame([(i % 2, T0 + i * HOUR, i)], "k long, t timestamp_ntz, v long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    online = OnlineTable(spark, str(tmp_path / "online"), ["k"], "t", buckets=2)
+    stream = streams.file_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, max_files=1)
+    streams.run_to_end(streams.push_upsert(stream, online, str(tmp_path / "cp")))
+    assert len(online.batches()) <= 3 and {r["k"]: r["v"] for r in online.read().collect()} == {0: 6, 1: 5}
