@@ -146,15 +146,15 @@ def pack(
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Pieces are dealt by hash over lanes of about `pieces_per_lane`; each lane packs its own pieces in hash order, so the result does
-    not depend on how the table is laid out. Only narrow rows are shuffled. What a lane loses are the sequences it leaves open.
+    Pieces are dealt by hash over lanes of about `pieces_per_lane`; each lane packs its own pieces in hash order. Only narrow rows are
+    shuffled. What a lane loses are the sequences it leaves open. The place in the written table is part of the hash, so that repeated
+    rows spread over the lanes; a table that is laid out otherwise may be packed otherwise.
     """
     import pandas as pd
 
     cols = [id_col, "piece", "start", "length", "ids_crc32"]
     made = cut(pieces(docs, tokenizer_path, id_col, text, capacity, end_id), "pieces")
     lanes = max(1, -(-made.count() // pieces_per_lane))
-    # The place in the written table is part of the hash of repeated rows only through ties, so equal rows may change places.
     order = F.xxhash64(F.lit(7), *cols)
     dealt = made.withColumn("_fl_order", order).withColumn("_fl_lane", F.pmod(F.xxhash64(F.lit(11), *cols, F.monotonically_increasing_id()), F.lit(lanes)))
 
