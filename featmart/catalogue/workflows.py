@@ -83,11 +83,16 @@ _SMALL_NET = model.Autoencoder.random(_POSITIONS, 2, (3,), seed=7)
 _FIGURES = ("eval_samples", "test_loss", "test_mse", "test_mae", "test_mse_min", "test_mse_max", "test_max_feature_error", "test_min_feature_error")
 
 
-def evaluate_report(spark, sf_dir):
-    """A model without a saved normalizer on the test split: figures, errors per feature and per sample as (kind, name, value)."""
+def _evaluation(spark, sf_dir):
+    """A model without a saved normalizer on the test split."""
     columns = [F.col("embedding")[i].alias(f"e_{i}") for i in range(_POSITIONS)]
     rows = hash_split(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("sample_id"), *columns), "sample_id")
-    result = evaluate(rows, [f"e_{i}" for i in range(_POSITIONS)], _SMALL_NET)
+    return evaluate(rows, [f"e_{i}" for i in range(_POSITIONS)], _SMALL_NET)
+
+
+def evaluate_report(spark, sf_dir):
+    """Figures, errors per feature and errors per sample as (kind, name, value)."""
+    result = _evaluation(spark, sf_dir)
     figures = result.summary.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in _FIGURES])).alias("f"))
     parts = [
         figures.select(F.lit("figure").alias("kind"), "f.name", "f.value"),
@@ -97,6 +102,16 @@ def evaluate_report(spark, sf_dir):
     return parts[0].union(parts[1]).union(parts[2]).withColumn("value", rounded("value", 7))
 
 
+def evaluate_export(spark, sf_dir):
+    """The errors per sample and per feature, exported as CSV and read again."""
+    path = new_path(spark, "export")
+    _evaluation(spark, sf_dir).export(path)
+    read = spark.read.option("header", True)
+    samples = read.schema("sample_id string, value double").csv(f"{path}/error_distribution", enforceSchema=True)
+    features = read.schema("feature_name string, value double").csv(f"{path}/feature_errors", enforceSchema=True)
+    return samples.toDF("name", "value").union(features).withColumn("value", rounded("value", 7))
+
+
 def _evaluate_sql() -> str:
     columns = [f"e_{i}" for i in range(_POSITIONS)]
     values = ", ".join(f"cast(embedding[{i + 1}] as double) as {c}" for i, c in enumerate(columns))
@@ -286,6 +301,7 @@ QUERIES = [
     Query("store_online", store_online, _ONLINE_SQL),
     Query("store_batch_view", store_batch_view, _WIDE_SQL),
     Query("evaluate_report", evaluate_report, _evaluate_sql()),
+    Query("evaluate_export", evaluate_export, f"select name, value from ({_evaluate_sql()}) where kind <> 'figure'"),
     Query("build_gate", build_gate, _GATE_SQL),
     Query("run_log", run_log, _RUN_LOG_SQL),
     Query("model_find", model_find, _FIND_SQL),
