@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.marts import fact_samples, source_dimension
-from ..operators.quality import Checks
+from ..operators.quality import Checks, require
 from ..operators.splits import SPLIT, SPLITS, hash_split
 from ..operators.staging import DATA_SOURCE, SAMPLE_ID, add_sample_ids, tag_source, union_by_name
 from ..sources.files import read_raw
@@ -26,7 +26,8 @@ SOURCES = ("emulator", "real_device")
 
 @dataclass(frozen=True)
 class TransformConfig:
-    """`raw_tables` maps a data source to its raw table below `raw_base`; times and limits are arguments, not clocks."""
+    """`raw_tables` maps a data source to its raw table below `raw_base`; times and limits are arguments, not clocks.
+    `source_checks` names what a source must satisfy before it is put together with the others."""
 
     raw_base: str
     raw_tables: Mapping[str, str]
@@ -36,6 +37,7 @@ class TransformConfig:
     limit_order: Sequence[str] = ()
     schemas: Mapping[str, T.StructType] = field(default_factory=dict)
     target: str = MAIN
+    source_checks: Mapping[str, Checks] = field(default_factory=dict)
 
 
 def stage(frames: Mapping[str, DataFrame], run_ts: datetime) -> DataFrame:
@@ -49,6 +51,11 @@ def run_transform(spark: SparkSession, log: VersionLog, config: TransformConfig)
         source: read_raw(spark, f"{config.raw_base}/{table}", config.schemas.get(source), limit=config.limit, order_by=config.limit_order)
         for source, table in config.raw_tables.items()
     }
+    unknown = sorted(set(config.source_checks) - set(raw))
+    if unknown:
+        raise ValueError(f"checks for unknown sources: {', '.join(unknown)}")
+    for source, checks in config.source_checks.items():
+        require(raw[source], checks, source)
     run = log.begin(config.run_id, config.target)
     # A limited read is sorted, so its rows have been shuffled.
     numbered = add_sample_ids(stage(raw, config.run_ts), stable_input=config.limit <= 0)

@@ -237,6 +237,20 @@ def test_transform(spark, tmp_path):
     assert log.read(FCT_TRAINING).count() == 20
 
 
+def test_source_checks(spark, tmp_path):
+    """A source that fails its checks stops the run before anything is written."""
+    raw_tables(spark, tmp_path)
+    log = VersionLog(spark, str(tmp_path / "versions"))
+    names = {"emulator": "emu", "real_device": "real"}
+    good = quality.Checks(not_null=["key"], unique=["key"], accepted={"family": ["fam"]})
+    with pytest.raises(quality.QualityError, match="emulator: accepted_values"):
+        bad = quality.Checks(accepted={"family": ["other"]})
+        run_transform(spark, log, TransformConfig(str(tmp_path), names, "run-1", RUN_TS, source_checks={"emulator": bad}))
+    with pytest.raises(ValueError, match="unknown sources"):
+        run_transform(spark, log, TransformConfig(str(tmp_path), names, "run-2", RUN_TS, source_checks={"phone": good}))
+    assert run_transform(spark, log, TransformConfig(str(tmp_path), names, "run-3", RUN_TS, source_checks={"emulator": good})).version == 0
+
+
 def test_stage(spark):
     df = stage({"emulator": spark.range(2), "real_device": spark.range(1)}, RUN_TS)
     assert data(df.groupBy("data_source").count()) == [("emulator", 2), ("real_device", 1)]
