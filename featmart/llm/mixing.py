@@ -5,7 +5,8 @@ a target stops at `max_repeats` times its source's words, and the excess is shar
 its documents in a seeded shuffle one after another, are cut into blocks of `block_words`. The schedule is a row of slots: slot i
 takes the golden-ratio point of i, the point picks a source through the cumulative targets, and the slot's rank among those
 of its source names the block it takes, from the first again after the last. Every run of slots then holds the sources
-nearly in proportion.
+nearly in proportion. A source takes its target, to the nearest word: slots beyond it are left out, the slot that reaches it takes the
+beginning of its block, and slots that the schedule does not give it, as to sources of a few words, are put in evenly along the row.
 
 A null text has no words. Documents without words are in no block and are taken 0 times; a source without words has target 0.
 Documents that repeat id, source and size are interchangeable. An empty table gives no rows.
@@ -98,34 +99,56 @@ def blocks(laid: DataFrame, block_words: int) -> DataFrame:
     )
 
 
-def schedule(spark, plan: MixPlan, block_words: int) -> DataFrame:
-    """One row per slot: slot, source index, rank within the source, block.
+def slot_count(plan: MixPlan, block_words: int) -> int:
+    return round(sum(plan.targets) / block_words)
 
-    Slots are computed chunk by chunk; what is shuffled is one count per chunk and source. Points lie on a lattice of 2^31, so
-    the products are exact; after that many slots the points come again, as evenly as before.
-    """
+
+def slot_sources(plan: MixPlan, block_words: int):
+    """A function from a chunk's number to its slots and the source index of each."""
     import numpy as np
-    import pandas as pd
 
-    total = sum(plan.targets)
-    slots = round(total / block_words) if total else 0
-    n_blocks = np.array([-(-s // block_words) for s in plan.sizes], dtype=np.int64)
+    total, slots = sum(plan.targets), slot_count(plan, block_words)
     bounds = np.floor(np.cumsum(plan.targets) / total * LATTICE).astype(np.int64) if total else np.zeros(0, np.int64)
     if total:
         bounds[np.flatnonzero(np.array(plan.targets) > 0)[-1] :] = LATTICE
-    n_sources = len(plan.sources)
 
     def of_chunk(chunk: int) -> tuple[np.ndarray, np.ndarray]:
         slot = np.arange(chunk * CHUNK, min((chunk + 1) * CHUNK, slots), dtype=np.int64)
         point = (slot + 1) % LATTICE * GOLDEN % LATTICE
         return slot, np.searchsorted(bounds, point, side="right")
 
+    return of_chunk
+
+
+def chunk_counts(spark, plan: MixPlan, block_words: int) -> DataFrame:
+    """One row per chunk and source: chunk, index and n, the slots of the source in the chunk."""
+    import numpy as np
+    import pandas as pd
+
+    of_chunk, n_sources = slot_sources(plan, block_words), len(plan.sources)
+
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for chunk in frame["chunk"]:
                 counts = np.bincount(of_chunk(chunk)[1], minlength=n_sources)
                 yield pd.DataFrame({"chunk": chunk, "index": np.arange(n_sources), "n": counts})
 
+    chunks = spark.range(0, -(-slot_count(plan, block_words) // CHUNK)).withColumnRenamed("id", "chunk")
+    return chunks.mapInPandas(count, "chunk long, index int, n long")
+
+
+def schedule(spark, plan: MixPlan, block_words: int) -> DataFrame:
+    """One row per slot: slot, source index, rank within the source, block.
+
+    Slots are computed chunk by chunk; what is shuffled is one count per chunk and source. Points lie on a lattice of 2^31, so
+    the products are exact; after that many slots the points come again, as evenly as before.
+    """
+    import numpy as np
+    import pandas as pd
+
+    of_chunk, n_sources = slot_sources(plan, block_words), len(plan.sources)
+    n_blocks = np.array([-(-s // block_words) for s in plan.sizes], dtype=np.int64)
+
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for chunk, pairs in zip(frame["chunk"], frame["before"]):
@@ -140,8 +163,7 @@ def schedule(spark, plan: MixPlan, block_words: int) -> DataFrame:
                 rank += before[source]
                 yield pd.DataFrame({"slot": slot, _INDEX: source.astype(np.int32), "rank": rank, "block": rank % np.maximum(1, n_blocks[source])})
 
-    chunks = spark.range(0, -(-slots // CHUNK)).withColumnRenamed("id", "chunk")
-    counts = chunks.mapInPandas(count, "chunk long, index int, n long")
+    counts = chunk_counts(spark, plan, block_words)
     earlier = Window.partitionBy("index").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     running = counts.withColumn("n", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     # A list per chunk is as long as there are sources.
@@ -149,9 +171,47 @@ def schedule(spark, plan: MixPlan, block_words: int) -> DataFrame:
     return offsets.mapInPandas(fill, f"slot long, {_INDEX} int, rank long, block long")
 
 
+def quotas(plan: MixPlan, block_words: int) -> tuple[list[int], list[int]]:
+    """Per source: the slots that reach its target, and the words that the last of them takes at most."""
+    slots, lasts = [], []
+    for size, target in zip(plan.sizes, plan.targets):
+        passes, rest = divmod(round(target), size) if size else (0, 0)
+        slots.append(passes * -(-size // block_words) + -(-rest // block_words))
+        lasts.append((rest - 1) % block_words + 1 if rest else block_words)
+    return slots, lasts
+
+
+def taken_slots(spark, plan: MixPlan, block_words: int) -> DataFrame:
+    """The slots in use: slot, source index, rank, block, `at` (the place in the row) and `most` (the words it takes at most).
+
+    Ranks of a source that the schedule does not reach get slots numbered on behind it, at even distances along the row.
+    """
+    needed, lasts = quotas(plan, block_words)
+    n_slots = slot_count(plan, block_words)
+    numbers, number = [], n_slots
+    for n in needed:
+        numbers.append(number)
+        number += n
+    sources = [(i, n, -(-plan.sizes[i] // block_words), numbers[i], (i + 1) * GOLDEN % LATTICE / LATTICE) for i, n in enumerate(needed)]
+    sources = spark.createDataFrame(sources, f"{_INDEX} int, needed long, blocks long, number long, phase double")
+    have = chunk_counts(spark, plan, block_words).groupBy(F.col("index").alias(_INDEX)).agg(F.sum("n").alias("have"))
+    short = sources.join(have, _INDEX, "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < needed")
+    added = short.withColumn("rank", F.explode(F.sequence(F.col("have"), F.col("needed") - 1))).select(
+        (F.col("number") + F.col("rank")).alias("slot"),
+        _INDEX,
+        "rank",
+        (F.col("rank") % F.col("blocks")).alias("block"),
+        ((F.col("rank") - F.col("have") + F.col("phase")) / (F.col("needed") - F.col("have")) * n_slots).alias("at"),
+    )
+    last = F.get(constant(needed, "array<bigint>"), F.col(_INDEX)) - 1
+    given = schedule(spark, plan, block_words).where(F.col("rank") <= last).withColumn("at", F.col("slot").cast("double"))
+    most = F.when(F.col("rank") == last, F.get(constant(lasts, "array<bigint>"), F.col(_INDEX))).otherwise(F.lit(block_words))
+    return given.unionByName(added).withColumn("most", most.cast("long"))
+
+
 @dataclass(frozen=True)
 class Mix:
-    """`documents`: every document with its source's figures; `pieces`: what each slot takes, in the order slot, place."""
+    """`documents`: every document with its source's figures; `pieces`: what each slot takes, in the order at, slot, place."""
 
     plan: MixPlan
     documents: DataFrame
@@ -174,11 +234,10 @@ def mix(
     sized = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), text_key(text).alias(_KEY), word_count(text).alias(_SIZE)), "sized")
     plan = plan_mix(sized, weights, total_share, max_repeats, max_sources)
     laid = cut(lay_out(sized, plan, seed), "laid-out")
-    slots = schedule(docs.sparkSession, plan, block_words)
-    n_blocks = constant([-(-s // block_words) for s in plan.sizes], "array<bigint>")
-    used = slots.where(F.col("rank") < max_repeats * F.get(n_blocks, F.col(_INDEX)))
+    used = taken_slots(docs.sparkSession, plan, block_words)
     # The planner takes the generated slots for few; they are as many as blocks and must not be broadcast.
-    return Mix(plan, laid, blocks(laid, block_words).join(used.hint("merge"), [_INDEX, "block"]))
+    pieces = blocks(laid, block_words).join(used.hint("merge"), [_INDEX, "block"]).where("place < most")
+    return Mix(plan, laid, pieces.withColumn("words", F.least("words", F.col("most") - F.col("place"))).drop("most"))
 
 
 def taken_words(mixed: Mix) -> DataFrame:

@@ -78,6 +78,31 @@ def test_pieces_cover_blocks_once_per_slot(docs):
     assert sum(r["sum(words)"] == 64 for r in pieces) > 0.8 * len(pieces)
 
 
+def test_short_sources_reach_their_targets(spark):
+    """Sources far shorter than a block, and of a block and a bit, beside large ones."""
+    sizes = {f"big{i}": 8000 for i in range(3)}
+    sizes |= {f"s{n:04}_{i:03}": n for n in (1, 10, 30, 65, 100, 1000) for i in range(20)}
+    data = []
+    for s, n in sizes.items():
+        step = max(1, n // 5)
+        data += [(len(data) + j, "w " * min(step, n - at), s) for j, at in enumerate(range(0, n, step))]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    mixed = mixing.mix(df, block_words=64)
+    taken, want = Counter(), {}
+    for r in mixing.taken_words(mixed).collect():
+        taken[r["source"]] += r["taken"]
+        want[r["source"]] = r["target"]
+        assert r["taken"] <= 2 * r["size"]
+    assert any(t == 20 for t in want.values())
+    assert all(taken[s] == round(t) for s, t in want.items())
+    # No part of the row is without the short sources that the schedule leaves out.
+    added = [r["at"] for r in mixed.pieces.where("source like 's0010%'").collect()]
+    slots = mixing.slot_count(mixed.plan, 64)
+    assert all(any(slots * k / 4 <= at < slots * (k + 1) / 4 for at in added) for k in range(4))
+    copies = Counter(r["source"] for r in mixing.mixed_documents(df, block_words=64).collect())
+    assert all(copies[s] for s in sizes if want[s] >= sizes[s])
+
+
 def test_mixed_documents(docs, odd, none):
     for df, block in ((docs, 64), (odd, 4)):
         out = mixing.mixed_documents(df, block_words=block)
