@@ -1,9 +1,11 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text is its words (runs without ASCII white space). A k-mer is k words in a row; it is a closed syncmer when the smallest hash among
+A text is its words (runs without ASCII white space). A word of more than LONGEST characters, or with characters of a script that is
+written without spaces, counts as its characters. A k-mer is k of these in a row; it is a closed syncmer when the smallest hash among
 its inner s-mers lies at its first or last s-mer. Whether it is one depends on its own words alone, so the same passage gives the same
-anchors wherever it stands, in the same order and at the same distances, up to k - 1 words from its edges. A text of fewer than k words
-has one anchor, its whole sequence; a text without words has none. A null text counts as empty.
+anchors wherever it stands, in the same order and at the same distances, up to k - 1 words from its edges. Where no k-mer is one, the
+k-mer with the smallest hash is the anchor; fewer than k words have one anchor, their whole sequence. Only a text without words has
+none. A text of at most SHORT characters has too few words to tell a small change from another text, so the anchors of its characters follow those of its words. A null text counts as empty.
 
 Two fingerprints are as like as the share of anchors they have in common: twice the common ones by all, 1 when both have none.
 Equal texts have equal fingerprints; rows may repeat; an empty table gives no rows.
@@ -20,8 +22,11 @@ from pyspark.sql import functions as F
 from ..workdir import constant
 from .rows import text_of
 
-K, S = 12, 5
+K, S = 4, 2
 WHITE = r"[\x20\x09-\x0D]+"
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+LONGEST = 32
+SHORT = 132
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -34,8 +39,25 @@ def run_of(values: Column, start: Column, n: int) -> list[Column]:
     return [F.get(values, start + j) for j in range(n)]
 
 
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """The anchors in order as longs: the place, counted in words, above a hash of 32 bits."""
+def words_of(text: Column) -> Column:
+    # Leading and trailing white space leave empty words, which go.
+    return F.array_remove(F.split(text, WHITE), "")
+
+
+def characters_of(words: Column) -> Column:
+    return F.flatten(F.transform(words, lambda w: F.split(w, "")))
+
+
+def units(text: Column) -> Column:
+    """The words, or the characters of those that are no words."""
+    fine = lambda w: F.when((F.length(w) > LONGEST) | w.rlike(UNSPACED), F.split(w, "")).otherwise(F.array(w))
+    # Most texts have no such word: one look at the whole text saves an array per word.
+    some = text.rlike(rf"{UNSPACED}|[^\x20\x09-\x0D]{{{LONGEST + 1}}}")
+    return F.when(some, F.flatten(F.transform(words_of(text), fine))).otherwise(words_of(text))
+
+
+def anchors(text: Column, k: int = K, s: int = S, parts: Callable[[Column], Column] = words_of) -> Column:
+    """The anchors in order as longs: the place, counted in `parts` of the text, above a hash of 32 bits."""
     width = k - s + 1
     none = F.array().cast("array<int>")
 
@@ -53,15 +75,22 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
         n = F.size(words)
         mers = F.transform(upto(n - s + 1), lambda i: F.xxhash64(*run_of(words, i, s)))
         chosen = let(mers, lambda m: F.filter(upto(n - k + 1), lambda i: closed(m, i)))
-        long = F.transform(chosen, lambda i: packed(i, F.xxhash64(*run_of(words, i, k))))
+        digest = lambda i: F.xxhash64(*run_of(words, i, k))
+        least = let(F.transform(upto(n - k + 1), digest), lambda m: F.array(packed(F.array_position(m, F.array_min(m)) - 1, F.array_min(m))))
+        long = let(chosen, lambda c: F.when(F.size(c) > 0, F.transform(c, lambda i: packed(i, digest(i)))).otherwise(least))
         short = F.when(n > 0, F.array(packed(F.lit(0), F.xxhash64(words)))).otherwise(F.array().cast("array<bigint>"))
         return F.when(n >= k, long).otherwise(short)
 
-    # Leading and trailing white space leave empty words, which go.
-    hashed = F.transform(F.array_remove(F.split(text, WHITE), ""), lambda w: F.xxhash64(w))
+    hashed = F.transform(parts(text), lambda w: F.xxhash64(w))
     return let(hashed, of_words)
 
 
+def all_anchors(text: Column, k: int = K, s: int = S) -> Column:
+    """The anchors of the units, and of a short text those of its characters after them."""
+    small = lambda t: characters_of(words_of(t))
+    return let(anchors(text, k, s, units), lambda a: F.when(F.length(text) <= SHORT, F.array_union(a, anchors(text, k, s, small))).otherwise(a))
+
+
 def hashes(found: Column) -> Column:
     return F.transform(found, lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF)))
 
@@ -126,13 +155,14 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     base = docs.select(F.col(id_col), text_of(text).alias("text"))
     # Only texts are shuffled; a text's anchors are made after that, and the next row's are read from it.
     pairs = beside_next(base, id_col, ["text"], "text")
+    of = lambda column: all_anchors(F.col(column), k, s)
     rows = pairs.select(
         id_col,
         F.length("text").cast("long").alias("n_chars"),
-        anchors(F.col("text"), k, s).alias("own"),
-        anchors(F.col("next_text"), k, s).alias("following"),
+        of("text").alias("own"),
+        of("next_text").alias("following"),
         F.expr("concat(substring(text, 1, length(text) - length(text) div 4), substring(next_text, 1, cast(length(text) div 4 as int)))").alias("edited"),
-    ).withColumn("changed", anchors(F.col("edited"), k, s))
+    ).withColumn("changed", of("edited"))
     return rows.select(
         id_col,
         "n_chars",

@@ -162,6 +162,25 @@ def test_anchors_against_definition(spark):
             assert [a & 0xFFFFFFFF for a in r["a"]] == [hashes[w] & 0xFFFFFFFF for _, w in want]
 
 
+def test_short_and_unspaced_texts_have_anchors(spark):
+    """Unrelated texts of every length are told apart, and those that keep three quarters stay alike."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 9)))
+    chars = lambda first, n: "".join(chr(first + c) for c in rng.integers(0, 40, n))
+    kinds = {f"{n} words": [" ".join(word() for _ in range(n)) for _ in range(40)] for n in (2, 3, 4, 5, 6, 8, 11, 12, 13, 14, 15, 16, 17, 30)}
+    kinds |= {"han": [chars(0x4E00, 200) for _ in range(40)], "thai": [chars(0x0E01, 200) for _ in range(40)], "no space": [chars(0x61, 300) for _ in range(40)]}
+    kinds["han in lines"] = [" ".join(chars(0x4E00, 20) for _ in range(10)) for _ in range(40)]
+    data = [(i, k, t) for i, (k, t) in enumerate((k, t) for k, texts in kinds.items() for t in texts)]
+    df = spark.createDataFrame(data, "doc_id long, kind string, text string")
+    rows = syncmers.fingerprint_edits(df).join(df.select("doc_id", "kind"), "doc_id").collect()
+    assert all(r["fingerprint"] and r["edited_fingerprint"] for r in rows)
+    assert len({r["fingerprint"] for r in rows}) == len(rows)
+    by_kind = {k: [(r["near_edited"], r["near_next"]) for r in rows if r["kind"] == k] for k in kinds}
+    means = {k: tuple(np.mean(v, axis=0)) for k, v in by_kind.items()}
+    assert all(next_ < 0.05 for _, next_ in means.values()), means
+    assert all(near > 0.5 for k, (near, _) in means.items()), means
+
+
 @pytest.mark.parametrize("which", ["docs", "odd"])
 @pytest.mark.parametrize("partitions", ["4", "40"])
 def test_edited_texts(spark, request, which, partitions):
