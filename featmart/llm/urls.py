@@ -2,8 +2,8 @@
 
 A rule holds for its host and all subdomains where the path begins with the rule's path; of several the longest wins, of equally
 long ones the first as text. URLs that a rule decides are the labelled ones. The trees learn from all of them: lengths, depth, share of
-digits, entropy, numbers of parameters, and how often URLs with the same host suffix are blocked. Suffixes are counted in a fixed
-number of hash buckets, so what the tasks look them up in has one size whatever the number of hosts.
+digits, entropy, numbers of parameters, and how often URLs with the same host suffix are blocked. Each suffix
+is counted by itself; the counts are a table that is joined by suffix, broadcast only where a count shows it to be small.
 
 A null URL or one without `://` has an empty host and path; its features are those of its text (null: of empty text). Without labels of
 both kinds there is nothing to learn, and the verdict is that of the labels there are, `allow` if there are none. Repeated rows get the same
@@ -17,17 +17,16 @@ from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workdir import cut
+from ..workdir import cut, small_side
 
 ALLOW, BLOCK = "allow", "block"
-SUFFIX_BUCKETS = 4096
+FEW_SUFFIXES = 100_000
 PRIOR_WEIGHT = 20.0
 FEATURES = (
     "url_length", "host_length", "path_length", "query_length", "depth", "host_labels", "digit_ratio", "host_digit_ratio", "upper_ratio",
@@ -87,31 +86,34 @@ def suffixes() -> tuple[Column, Column]:
     return F.substring_index("host", ".", -1), F.substring_index("host", ".", -2)
 
 
-def suffix_buckets() -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(level), suffix), F.lit(SUFFIX_BUCKETS)).cast("int").alias(f"bucket_{level}") for level, suffix in enumerate(suffixes())]
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """Blocked and all labelled URLs per level and suffix."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), c.alias("suffix")) for level, c in enumerate(suffixes())]))
+    return labelled.select("label", pairs.alias("at")).groupBy("at.level", "at.suffix").agg(F.sum("label").alias("blocked"), F.count(F.lit(1)).alias("n"))
 
 
-def suffix_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Blocked and all labelled URLs per level and bucket; the driver sees at most 2 x SUFFIX_BUCKETS rows."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), c.alias("bucket")) for level, c in enumerate(suffix_buckets())]))
-    rows = labelled.select("label", pairs.alias("at")).groupBy("at").agg(F.sum("label").alias("blocked"), F.count(F.lit(1)).alias("n")).collect()
-    blocked, n = np.zeros((2, SUFFIX_BUCKETS)), np.zeros((2, SUFFIX_BUCKETS))
-    for r in rows:
-        blocked[r["at"]["level"], r["at"]["bucket"]], n[r["at"]["level"], r["at"]["bucket"]] = r["blocked"], r["n"]
-    return blocked, n
+def with_suffix_counts(rows: DataFrame, counts: DataFrame, share: float) -> DataFrame:
+    """Add `rate_0`, `rate_1` (the share of blocked URLs with the same suffix, drawn to `share`) and `n_0`, `n_1`; `counts` is cut.
 
+    A suffix is in `counts` once, so a hot one is split as a skewed join; suffixes without labels have the count 0.
+    """
+    for level, suffix in enumerate(suffixes()):
+        side = counts.where(F.col("level") == level).select(F.col("suffix").alias("_fl_suffix"), F.col("blocked").alias("_fl_blocked"), F.col("n").alias("_fl_n"))
+        n, blocked = F.coalesce("_fl_n", F.lit(0)), F.coalesce("_fl_blocked", F.lit(0.0))
+        rows = rows.join(small_side(side, FEW_SUFFIXES), suffix == F.col("_fl_suffix"), "left")
+        rows = rows.withColumns({f"rate_{level}": (blocked + PRIOR_WEIGHT * share) / (n + PRIOR_WEIGHT), f"n_{level}": n}).drop("_fl_suffix", "_fl_blocked", "_fl_n")
+    return rows
 
-def features(blocked: np.ndarray, n: np.ndarray) -> Column:
-    """The feature vector of the columns url, host, path."""
-    share = blocked[0].sum() / max(1.0, n[0].sum())
-    rates = (blocked + PRIOR_WEIGHT * share) / (n + PRIOR_WEIGHT)
+
+def features() -> Column:
+    """The feature vector of the columns url, host, path and those of with_suffix_counts."""
 
     @F.pandas_udf("array<double>")
-    def vectors(url: pd.Series, host: pd.Series, path: pd.Series, top: pd.Series, domain: pd.Series) -> pd.Series:
-        rows = [[*map(float, _lexical(u, h, p)), rates[0, t], rates[1, d], math.log1p(n[1, d])] for u, h, p, t, d in zip(url, host, path, top, domain)]
+    def vectors(url: pd.Series, host: pd.Series, path: pd.Series, top: pd.Series, domain: pd.Series, n: pd.Series) -> pd.Series:
+        rows = [[*map(float, _lexical(u, h, p)), t, d, math.log1p(k)] for u, h, p, t, d, k in zip(url, host, path, top, domain, n)]
         return pd.Series(rows, dtype=object)
 
-    return array_to_vector(vectors("url", "host", "path", *suffix_buckets()))
+    return array_to_vector(vectors("url", "host", "path", "rate_0", "rate_1", "n_1"))
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url: str = "url", trees: int = 12, depth: int = 4, seed: int = 5) -> DataFrame:
@@ -120,12 +122,12 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url:
     rows = pages.select(F.col(id_col).alias("_fl_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
     rows = rows.withColumns({"rule": decided(rules, "prefix"), "by_rule": decided(rules, "verdict")})
     labelled = cut(rows.where("rule is not null").select("url", "host", "path", (F.col("by_rule") == BLOCK).cast("double").alias("label")), "labelled")
-    blocked, n = suffix_counts(labelled)
-    total, ones = n[0].sum(), blocked[0].sum()
+    total, ones = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if 0 < ones < total:
-        training = cut(labelled.select(features(blocked, n).alias("features"), "label"), "url-features")
+        counts, share = cut(suffix_counts(labelled), "suffixes"), ones / total
+        training = cut(with_suffix_counts(labelled, counts, share).select(features().alias("features"), "label"), "url-features")
         model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed).fit(training)
-        scored = model.transform(rows.withColumn("features", features(blocked, n)))
+        scored = model.transform(with_suffix_counts(rows, counts, share).withColumn("features", features()))
         scored = scored.withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
     else:
         scored = rows.withColumn("score", F.lit(float(total > 0 and ones == total)))

@@ -154,6 +154,19 @@ def test_url_trees_learn(spark):
     assert sum((r["score"] >= 0.5) == (r["verdict"] == "block") for r in rows) / len(rows) > 0.95
 
 
+def test_url_statistics_are_exact_for_many_domains(spark, monkeypatch):
+    """Far more domains than 4,096: each has its own rate, which alone tells what its other URLs are."""
+    rules = (urls.Rule("block", "com/b/"), urls.Rule("allow", "com/a/"))
+    domain = lambda i: hashlib.sha256(str(i).encode()).hexdigest()[:12] + ".com"
+    data = [(10 * i + j, f"http://{domain(i)}/{'ab'[i % 2] if j else 'c'}/{j}") for i in range(9000) for j in range(5)]
+    pages = spark.createDataFrame(data, "page_id long, url string")
+    for few in (100_000, 10):  # broadcast and shuffled
+        monkeypatch.setattr(urls, "FEW_SUFFIXES", few)
+        rows = [r for r in urls.judge(pages, rules).collect() if r["rule"] is None]
+        assert len(rows) == 9000
+        assert all(r["verdict"] == ("block" if r["page_id"] // 10 % 2 else "allow") for r in rows)
+
+
 def test_urls_without_labels(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert urls.judge(none, RULES).collect() == []
