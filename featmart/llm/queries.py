@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalogue.base import Query, table
-from . import exact, langid, lm, mixing, packing, pii, secrets, simhash, syncmers, urls
+from . import exact, langid, lm, mixing, packing, pii, secrets, simhash, suffixes, syncmers, urls
 
 TOKENIZER = "word_bpe_49k.json"
 SHINGLE, MAX_DISTANCE = 3, 3
@@ -80,6 +80,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents")).select("doc_id", *digest(secrets.BASE_KINDS, by_start=True))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = [
     Query("op1_pii", op1),
     Query("op2_exact_dedup", op2, OP2_SQL),
@@ -91,4 +97,5 @@ QUERIES = [
     Query("op8_lm_score", op8),
     Query("op9_best_fit_packing", op9),
     Query("op10_secret_scan", op10),
+    Query("op11_suffix_dedup", op11),
 ]
