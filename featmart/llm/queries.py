@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalogue.base import Query, table
-from . import exact, langid, lm, mixing, packing, pii, secrets, simhash, suffixes, syncmers, urls
+from ..workdir import cut
+from . import exact, langid, lm, mixing, packing, pii, repair, secrets, simhash, suffixes, syncmers, trie, urls
 
 TOKENIZER = "word_bpe_49k.json"
 SHINGLE, MAX_DISTANCE = 3, 3
@@ -86,6 +87,54 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP11_SQL = """
+with texts as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+sized as (select doc_id, h, (length(h) // 2)::bigint as n from texts),
+windows as (select doc_id, i, md5(substr(h, (2 * i + 1)::bigint, 400)) as w from sized, unnest(range(0, n - 199)) as t(i)),
+twice as (select doc_id, i from windows qualify count(*) over (partition by w) > 1),
+steps as (select doc_id, i, lag(i) over (partition by doc_id order by i) as prev from twice),
+marked as (select doc_id, i, sum(case when prev is null or i > prev + 200 then 1 else 0 end) over (partition by doc_id order by i) as g from steps),
+spans as (select doc_id, g, min(i) as a, max(i) + 200 as b from marked group by all),
+gaps as (select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as f, a as t from spans
+  union all select doc_id, coalesce(max(b), 0), max(n) from (select doc_id, n, b from sized left join spans using (doc_id)) group by doc_id),
+kept as (select doc_id, string_agg(substr(h, (2 * f + 1)::bigint, (2 * (t - f))::bigint), '' order by f, t) as k from gaps join sized using (doc_id) group by doc_id)
+select doc_id, n as n_bytes, n - (length(k) // 2)::bigint as n_removed, coalesce(c, 0)::bigint as n_spans, sha256(unhex(k)) as kept_sha256
+from sized join kept using (doc_id) left join (select doc_id, count(*) as c from spans group by doc_id) using (doc_id)"""
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = cut(trie.sequences(table(spark, sf_dir, "conversations")), "conversations")
+    return trie.prefix_trie(trie.with_common_beginnings(made))
+
+
+# DuckDB has no CRC-32: bytes are folded in, eight shifts each.
+CRC32 = "xor(list_reduce([4294967295] || list_transform(string_split({text}, ''), lambda ch: ord(ch)::bigint), lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+
+OP12_SQL = f"""
+with rows as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations where conv_id is not null),
+own as (select conv_id, list({{'r': role, 't': text}} order by turn nulls first, role, text) as turns from rows group by conv_id),
+heads as (select conv_id, ({CRC32.format(text="conv_id::varchar")} % 6)::bigint as h from own),
+built as (
+  select o.conv_id, list_concat(coalesce(b.turns, [])[1:h], o.turns[h + 1:]) as turns
+  from own o join heads using (conv_id) left join own b on b.conv_id = o.conv_id - o.conv_id % 100),
+members as (select conv_id, d, turns[1:d] as path, len(turns) = d as last from built, unnest(range(0, len(turns) + 1)) as t(d)),
+nodes as (
+  select path, d, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (last), '')) as ends_sha256
+  from members group by path, d),
+kids as (select path[1:d - 1] as path, d - 1 as d, count(*) as n from nodes where d > 0 group by all),
+own_sums as (select n.*, coalesce(k.n, 0) as n_children, case when d = 0 then 0 else (n_convs - 1) * length(path[d].t) end as saved from nodes n left join kids k using (path, d)),
+below as (
+  select path[1:u] as path, u as d, sum(case when n_children = 0 then 1 else 0 end) as n_leaves, sum(saved) as saved_tokens
+  from own_sums, unnest(range(0, d + 1)) as t(u) group by all)
+select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, b.n_leaves::bigint as n_leaves, b.saved_tokens::bigint as saved_tokens, n.ends_sha256
+from own_sums n join below b using (path, d) left join nodes p on p.d = n.d - 1 and p.path = n.path[1:n.d - 1]"""
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
+
+
 QUERIES = [
     Query("op1_pii", op1),
     Query("op2_exact_dedup", op2, OP2_SQL),
@@ -97,5 +146,7 @@ QUERIES = [
     Query("op8_lm_score", op8),
     Query("op9_best_fit_packing", op9),
     Query("op10_secret_scan", op10),
-    Query("op11_suffix_dedup", op11),
+    Query("op11_suffix_dedup", op11, OP11_SQL),
+    Query("op12_prefix_trie", op12, OP12_SQL),
+    Query("op13_structure_repair", op13),
 ]
