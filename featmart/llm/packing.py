@@ -35,7 +35,8 @@ class WordIds(dict):
 
     For tokenizers that lower-case, cut at white space and drop it, keep letters apart from other marks, and spell bytes as characters,
     so that a text's ids are its words' ids in a row. Words are encoded once and remembered, up to a fixed number. Words of plain small
-    letters need no normalization and go straight to the tokenizer's model.
+    letters need no normalization and go straight to the tokenizer's model. Words are looked up in small letters, but for those that hold
+    an added token in any case: such tokens are found in the text as it is written.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,6 +48,8 @@ class WordIds(dict):
         self.model = self.tokenizer.model
         self.spelling = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in LETTERS})
         self.plain = re.compile(f"[{LETTERS}]+").fullmatch
+        added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.has_added = re.compile(b"|".join(map(re.escape, added)) or b"(?!)").search
 
     def _spell(self, word: str) -> bytes:
         if self.plain(word):
@@ -67,7 +70,10 @@ class WordIds(dict):
     def encode(self, text: bytes) -> bytes:
         if len(self) > CACHED_WORDS:
             self.clear()
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        small = text.lower()
+        if self.has_added(small):
+            return b"".join(self[w if self.has_added(w.lower()) else w.lower()] for w in text.split())
+        return b"".join(map(self.__getitem__, small.split()))
 
 
 @cache

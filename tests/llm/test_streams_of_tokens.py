@@ -3,6 +3,7 @@
 import binascii
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -319,6 +320,19 @@ def test_words_give_the_ids_of_texts(rows):
         assert np.frombuffer(ids.encode(text.encode()), "<u4").tolist() == e.ids
 
 
+def test_added_tokens_in_any_case_give_the_ids_of_texts():
+    ids = packing.word_ids(queries.tokenizer_path())
+    rng = random.Random(12)
+    added = [t.content for t in ids.tokenizer.get_added_tokens_decoder().values()]
+    assert added
+    in_case = lambda t: rng.choice([str, str.upper, str.title, lambda x: "".join(rng.choice([c, c.upper()]) for c in x)])(t)
+    bits = ["a", "B", "été", "É", " ", "\n", ".", "'s", "<|", "|>", "12", "漢", "Word.", "<|endoftext", "\x85"]
+    texts = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", *("".join(in_case(rng.choice(added)) if rng.random() < 0.4 else rng.choice(bits) for _ in range(rng.randint(1, 8))) for _ in range(10_000))]
+    assert ids.tokenizer.encode("a <|ENDOFTEXT|> b", add_special_tokens=False).ids == [320, 27, 347, 40786, 4160, 91, 285, 321]
+    wrong = [t for t, e in zip(texts, ids.tokenizer.encode_batch(texts, add_special_tokens=False)) if np.frombuffer(ids.encode(t.encode()), "<u4").tolist() != e.ids]
+    assert not wrong, wrong[:3]
+
+
 def test_best_fit_bounds_open_bins():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 101, 5000).tolist()
