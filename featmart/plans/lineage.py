@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import schema_hash
+from ..operators.latest import latest_per_key, newest_of_all
 from ..sources.files import timestamp_literal
 from ..workdir import append_entry, make_folder, text_map
 
@@ -83,17 +84,21 @@ class RunLog:
 
 def newest_values(entries: DataFrame, order: Sequence[str] = ("logged_at",)) -> DataFrame:
     """The newest value of each run's key."""
-    return entries.groupBy("run_id", "key").agg(F.max_by("value", F.struct(*order)).alias("value"))
+    return latest_per_key(entries, ["run_id", "key"], order[0], order[1:]).select("run_id", "key", "value")
 
 
 def run_table(entries: DataFrame, keys: Mapping[str, str], order: Sequence[str] = ("logged_at",)) -> DataFrame:
     """One row per run with a column per key: `keys` maps keys to column names.
 
-    The keys are given, so no pass is needed to find them, and each column is an aggregate of its own: a run that holds
-    most entries is folded before the shuffle. A run without any of the keys has nulls.
+    Entries are reduced to the newest one per run and wanted key without sorting them, and these few are put side by side.
+    A run without any of the keys has nulls.
     """
-    picks = [F.max_by(F.when(F.col("key") == k, F.col("value")), F.when(F.col("key") == k, F.struct(*order))).alias(n) for k, n in keys.items()]
-    return entries.groupBy("run_id").agg(*picks)
+    # Other keys count as one, so that every run stays.
+    wanted = F.when(F.col("key").isin(list(keys)), F.col("key"))
+    newest = latest_per_key(entries.withColumn("key", wanted), ["run_id", "key"], order[0], order[1:])
+    pairs = F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "value")))
+    found = newest.groupBy("run_id").agg(F.map_from_entries(pairs).alias("_fm_values"))
+    return found.select("run_id", *[F.col("_fm_values")[k].alias(n) for k, n in keys.items()])
 
 
 def latest_versions(models: DataFrame, model: str = "model", version: str | Column = "version") -> DataFrame:
@@ -111,6 +116,6 @@ def find_model(models: DataFrame, model: str, version: str) -> DataFrame:
     mine = models.filter(F.col("model") == model)
     if version.lower() in STAGES:
         in_stage = mine.filter(F.lower("stage") == version.lower())
-        newest = F.max_by(F.struct(*mine.columns), F.col("version").try_cast("int")).alias("r")
-        return in_stage.agg(newest).filter(F.col("r").isNotNull()).select("r.*")
+        numbered = in_stage.withColumn("_fm_version", F.col("version").try_cast("int")).filter(F.col("_fm_version").isNotNull())
+        return newest_of_all(numbered, ["_fm_version"]).drop("_fm_version")
     return mine.filter(F.col("version") == version)

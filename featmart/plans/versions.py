@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.diff import is_changed
+from ..operators.latest import latest_per_key
 from ..operators.quality import Checks, require
 from ..sinks.tables import write_parquet
 from ..sources.files import data_files, timestamp_literal
@@ -215,11 +216,8 @@ class Run:
 # The same questions asked of ledger tables
 
 def latest_snapshot(commits: DataFrame, group: Sequence[str] = (), time: str = "committed_at", version: str = "version") -> DataFrame:
-    """The newest commit, of each group if there are any. One row per task and group is shuffled."""
-    rest = [c for c in commits.columns if c not in group]
-    newest = F.max_by(F.struct(*rest), F.struct(time, version)).alias("r")
-    grouped = commits.groupBy(*group).agg(newest) if group else commits.agg(newest)
-    return grouped.filter(F.col("r").isNotNull()).select(*group, "r.*").select(*commits.columns)
+    """The newest commit, of each group if there are any."""
+    return latest_per_key(commits, list(group), time, [version])
 
 
 def resolve_refs(refs: DataFrame, commits: DataFrame, tags: DataFrame) -> DataFrame:
