@@ -45,6 +45,10 @@ def latest_per_key(
         df = df.filter(F.col(timestamp) >= start)
     if end is not None:
         df = df.filter(F.col(timestamp) < end)
+    if "_metadata" in df.columns:
+        # Spark's own column of that name holds the places.
+        renamed = latest_per_key(df.withColumnRenamed("_metadata", "_fm_metadata"), keys, timestamp, tie, max_winners=max_winners)
+        return renamed.withColumnRenamed("_fm_metadata", "_metadata")
     if not _has_places(df):
         df = cut(df, "latest-input")
     winners = cut(newest_places(df, keys, timestamp, tie), "newest-places")
