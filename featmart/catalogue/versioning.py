@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..operators.diff import bag_diff, version_diff
+from ..operators.digest_tree import store_version, stored_diff
 from ..plans import lineage, versions
 from ..workdir import new_path
 from .base import V1_SQL, V2_SQL, Query, table, version_1, version_2
@@ -22,9 +23,23 @@ from ({V1_SQL}) a full join ({V2_SQL}) b on a.o_orderkey = b.o_orderkey
 where a.o_orderkey is null or b.o_orderkey is null or a.o_totalprice <> b.o_totalprice"""
 
 
+def diff_types(spark, sf_dir):
+    """Order keys beyond 2^53 as whole numbers and as doubles, which every second key is not."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") + F.lit(2**53)).alias("number"))
+    return version_diff(orders, orders.withColumn("number", F.col("number").cast("double")), ["o_orderkey"])
+
+
+def diff_stored(spark, sf_dir):
+    """The same two versions, stored with their digest trees: only buckets that differ are read."""
+    old, new = new_path(spark, "old-version"), new_path(spark, "new-version")
+    store_version(version_1(spark, sf_dir), old, ["o_orderkey"], buckets=64)
+    store_version(version_2(spark, sf_dir), new, ["o_orderkey"], buckets=64)
+    return stored_diff(spark, old, new, ["o_orderkey"], buckets=64)
+
+
 def diff_bags(spark, sf_dir):
-    """Line items of two orders versions, without a key."""
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag")
+    """Line items of two orders versions, without a key, by all their columns."""
+    lines = table(spark, sf_dir, "lineitem")
     return bag_diff(lines.filter(F.col("l_returnflag") != "A"), lines.filter(F.col("l_returnflag") != "N"))
 
 
@@ -153,9 +168,14 @@ QUERIES = [
     Query(
         "bag_diff", diff_bags,
         """
-select l_partkey, l_suppkey, l_returnflag, cast(sum(case when l_returnflag = 'A' then 1 else -1 end) as bigint) as copies
-from lineitem where l_returnflag in ('A', 'N') group by l_partkey, l_suppkey, l_returnflag""",
+select *, cast(sum(case when l_returnflag = 'A' then 1 else -1 end) as bigint) as copies
+from lineitem where l_returnflag in ('A', 'N') group by all""",
+    ),
+    Query(
+        "version_diff_types", diff_types,
+        "select o_orderkey, 'changed' as change from orders where cast(cast(o_orderkey + 9007199254740992 as double) as hugeint) <> o_orderkey + 9007199254740992",
     ),
+    Query("version_diff_stored", diff_stored, _DIFF_SQL),
     Query("snapshot_latest", snapshot_latest, _LATEST_SQL),
     Query("ref_resolve", ref_resolve, _RESOLVE_SQL),
     Query("as_of_read", as_of_read, V1_SQL),

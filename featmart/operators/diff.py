@@ -20,15 +20,13 @@ def version_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
     """
     columns = sorted(set(old.columns) | set(new.columns))
 
-    types = {c: _common_type(old, new, c) for c in columns}
-
-    def narrow(df: DataFrame, side: int) -> DataFrame:
-        # Both sides in one type that holds either's values, so that only equal values have equal hashes.
-        padded = df.select(*[(F.col(quoted(c)) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns])
+    def narrow(df: DataFrame, other: DataFrame, side: int) -> DataFrame:
+        # Both sides in one form that holds either's values, so that only equal values have equal hashes.
+        padded = df.select(*[_comparable(df, other, c).alias(c) for c in columns])
         d, e = row_hashes(padded, columns)
         return padded.select(*keys, d.alias("_fm_d"), e.alias("_fm_e"), F.lit(side).alias("_fm_side"))
 
-    both = narrow(old, 0).unionByName(narrow(new, 1))
+    both = narrow(old, new, 0).unionByName(narrow(new, old, 1))
 
     def side(value: int, aggregate, column: str) -> Column:
         return aggregate(F.when(F.col("_fm_side") == value, F.col(column)))
@@ -47,15 +45,36 @@ def version_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
     return grouped.select(*keys, change.alias("change")).filter(F.col("change").isNotNull())
 
 
-def _common_type(old: DataFrame, new: DataFrame, column: str) -> T.DataType:
-    """The type both versions of a column fit in: the one a union of them has, or text where one side is text."""
-    found = [df.select(quoted(column)) for df in (old, new) if column in df.columns]
-    kinds = [df.schema.fields[0].dataType for df in found]
-    if len(kinds) == 1 or kinds[0] == kinds[1]:
-        return kinds[-1]
-    if any(isinstance(kind, T.StringType) for kind in kinds):
-        return T.StringType()
-    return found[0].union(found[1]).schema.fields[0].dataType
+def _comparable(df: DataFrame, other: DataFrame, column: str) -> Column:
+    """A column of one version in a form in which it equals the other version's where the values are equal.
+
+    That is the type a union of both has, or text where one side is text. Whole numbers and decimals beside floating-point numbers
+    have no such type without loss: they are compared as doubles, together with the text of those that are no double.
+    """
+    if column not in df.columns:
+        return F.lit(None).cast(other.schema[column].dataType)
+    x, kind = F.col(quoted(column)), df.schema[column].dataType
+    if column not in other.columns or kind == (other_kind := other.schema[column].dataType):
+        return x
+    if isinstance(kind, T.StringType) or isinstance(other_kind, T.StringType):
+        return x.cast("string")
+    if _is_exact(kind) and _is_floating(other_kind) or _is_floating(kind) and _is_exact(other_kind):
+        if _is_floating(kind):
+            return F.struct(x.cast("double").alias("d"), F.lit(None).cast("string").alias("rest"))
+        own = kind.simpleString() if isinstance(kind, T.DecimalType) else "long"
+        is_double = F.coalesce(x.cast("double").try_cast(own) == x.cast(own), F.lit(False))
+        return F.when(x.isNotNull(), F.struct(x.cast("double").alias("d"), F.when(~is_double, x.cast("string")).alias("rest"))).otherwise(
+            F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast("string").alias("rest"))
+        )
+    return x.cast(df.select(quoted(column)).union(other.select(quoted(column))).schema.fields[0].dataType)
+
+
+def _is_exact(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.IntegralType, T.DecimalType))
+
+
+def _is_floating(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.FloatType, T.DoubleType))
 
 
 def bag_diff(old: DataFrame, new: DataFrame) -> DataFrame:
