@@ -18,7 +18,7 @@ def _stream(spark, sf_dir):
 def stream_latest(spark, sf_dir):
     events = _stream(spark, sf_dir)
     online = OnlineTable(spark, new_path(spark, "stream-online"), ["user_id"], "ts", ["event_id"], buckets=8)
-    streams.run_to_end(streams.push_upsert(events.drop("props"), online, new_path(spark, "stream-checkpoint")))
+    streams.run_to_end(streams.push_upsert(events, online, new_path(spark, "stream-checkpoint")))
     return online.read()
 
 
@@ -54,7 +54,7 @@ QUERIES = [
     Query(
         "stream_latest", stream_latest,
         """
-select event_id, ts, user_id, event_type, value from events
+select * from events
 qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
     ),
     Query("stream_dedup", stream_dedup, "select * from events"),

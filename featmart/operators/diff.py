@@ -62,7 +62,9 @@ def _comparable(df: DataFrame, other: DataFrame, column: str) -> Column:
         if _is_floating(kind):
             return F.struct(x.cast("double").alias("d"), F.lit(None).cast("string").alias("rest"))
         own = kind.simpleString() if isinstance(kind, T.DecimalType) else "long"
-        is_double = F.coalesce(x.cast("double").try_cast(own) == x.cast(own), F.lit(False))
+        # 2^63 as a double would be taken for the largest whole number.
+        fits = F.lit(True) if isinstance(kind, T.DecimalType) else x.cast("double") < F.lit(2.0**63)
+        is_double = F.coalesce(fits & (x.cast("double").try_cast(own) == x.cast(own)), F.lit(False))
         return F.when(x.isNotNull(), F.struct(x.cast("double").alias("d"), F.when(~is_double, x.cast("string")).alias("rest"))).otherwise(
             F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast("string").alias("rest"))
         )

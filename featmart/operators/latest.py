@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from decimal import Decimal
 
@@ -17,9 +18,12 @@ _PLACE, _ORDER = "_fm_place", "_fm_order"
 MAX_WINNERS = 1_000_000
 FILTER_BITS, _MAP_SHIFT = 26, 15  # Spark's bitmaps have 2^15 bits
 
-# Decimal digits that hold every value of a type, shifted to be positive. Times are years 1 to 9999 in microseconds.
-_DIGITS = {T.TimestampType: 18, T.TimestampNTZType: 18, T.DateType: 7, T.LongType: 20, T.IntegerType: 10, T.ShortType: 5, T.ByteType: 3, T.BooleanType: 1}
-_MOST_DIGITS = 38
+# How many values a type has, null included; times are those of the years 1 to 9999 in microseconds.
+_VALUES = {
+    T.TimestampType: 320 * 10**15, T.TimestampNTZType: 320 * 10**15, T.DateType: 4 * 10**6,
+    T.LongType: 2**64 + 1, T.IntegerType: 2**32 + 1, T.ShortType: 2**16 + 1, T.ByteType: 2**8 + 1, T.BooleanType: 3,
+}
+_LARGEST = 10**38
 
 
 def latest_per_key(
@@ -65,7 +69,7 @@ def latest_per_key(
 def newest_places(df: DataFrame, keys: Sequence[str], timestamp: str, tie: Sequence[str] = ()) -> DataFrame:
     """The place of each key's newest row in a scan of Parquet files.
 
-    Times and whole numbers that fit 38 digits together become one number, which aggregates by hash. Other orders, such as text,
+    Times and whole numbers that together fit 38 digits become one number, which aggregates by hash. Other orders, such as text,
     are compared as they are, on narrow rows.
     """
     order = _as_number(df, [timestamp, *tie])
@@ -90,16 +94,15 @@ def _place() -> Column:
 
 
 def _as_number(df: DataFrame, columns: Sequence[str]) -> Column | None:
-    """One number in the order of the columns, or None where it would be too long or a type has no such number."""
+    """One number in the order of the columns, or None where it would be too large or a type has no such number."""
     kinds = [df.schema[c].dataType for c in columns]
-    digits = [next((d for kind, d in _DIGITS.items() if isinstance(k, kind)), None) for k in kinds]
-    if None in digits or sum(digits) > _MOST_DIGITS:
+    values = [next((n for kind, n in _VALUES.items() if isinstance(k, kind)), None) for k in kinds]
+    if None in values or math.prod(values) >= _LARGEST:
         return None
     total = F.lit(Decimal(0)).cast("decimal(38,0)")
-    left = sum(digits)
-    for c, kind, d in zip(columns, kinds, digits):
-        left -= d
-        weighted = _whole(F.col(quoted(c)), kind).cast(f"decimal({d},0)") * F.lit(Decimal(10**left))
+    for i, (c, kind) in enumerate(zip(columns, kinds)):
+        weight = math.prod(values[i + 1 :])
+        weighted = _whole(F.col(quoted(c)), kind).cast("decimal(20,0)") * F.lit(Decimal(weight))
         total = (total + F.coalesce(weighted.cast("decimal(38,0)"), F.lit(Decimal(0)))).cast("decimal(38,0)")
     return total
 

@@ -66,6 +66,14 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     return watch.get["rows"]
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[str]) -> None:
+    """Remove partitions of a table of files, as `ALTER TABLE DROP PARTITION` does for a catalog table; absent ones are skipped."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for value in values:
+        folder = hadoop.Path(f"{path.rstrip('/')}/{column}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def load_raw(spark: SparkSession, directory: str, target: str, run_ts: str | datetime) -> dict[str, int]:
     """Every file below a directory to its own raw Parquet table with provenance columns, replacing an earlier load."""
     return {

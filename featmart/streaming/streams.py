@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from concurrent.futures import Future
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators.latest import latest_per_key
 from ..store.online import OnlineTable
 
 
 BATCH_BYTES = 64 << 30
-COMPACT_EVERY = 50
 
 
 def file_stream(
@@ -30,35 +27,20 @@ def file_stream(
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option(*limit).parquet(directory)
 
 
-def push_upsert(stream: DataFrame, online: OnlineTable, checkpoint: str, name: str = "push", available_now: bool = True) -> StreamingQuery:
+def push_upsert(stream: DataFrame, online: OnlineTable, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Keep the newest row per key of a stream in an online table.
 
-    Each micro-batch is folded to one row per key and added under the names of the query and the batch, so a batch that is
-    retried after a failure replaces what it wrote before, and several streams can feed one table.
+    Each micro-batch is merged into the buckets it touches. Merging is idempotent, so a batch that is retried after a failure changes
+    nothing. Streams that feed one table must take turns.
     """
+    return _upsert_batches(stream.writeStream, online, checkpoint, available_now)
 
-    def newest(rows: DataFrame) -> DataFrame:
-        return latest_per_key(rows, online.keys, online.timestamp, online.tie)
 
-    return _upsert_batches(stream.writeStream, newest, online, name, checkpoint, available_now)
+def _upsert_batches(writer: DataStreamWriter, online: OnlineTable, checkpoint: str, available_now: bool) -> StreamingQuery:
+    def merge(rows: DataFrame, _: int) -> None:
+        online.upsert(rows)
 
-
-def _upsert_batches(
-    writer: DataStreamWriter, fold: Callable[[DataFrame], DataFrame], online: OnlineTable, name: str, checkpoint: str, available_now: bool
-) -> StreamingQuery:
-    """Upsert every micro-batch under its own name. A query's id lies in its checkpoint: a restart keeps it, and a new
-    checkpoint, whose batches count from 0 again, has another one."""
-    query_id: Future[str] = Future()
-
-    def merge(rows: DataFrame, batch_id: int) -> None:
-        online.upsert(fold(rows), name=f"{name}-{query_id.result()}-{batch_id:08d}")
-        # What a read merges stays bounded. Merging is idempotent, so a retried batch that is folded already does no harm.
-        if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-            online.compact()
-
-    query = _start(writer.foreachBatch(merge), checkpoint, available_now)
-    query_id.set_result(str(query.id))
-    return query
+    return _start(writer.foreachBatch(merge), checkpoint, available_now)
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], time: str, delay: str, fold: bool = True) -> DataFrame:
@@ -115,7 +97,7 @@ def daily_upsert(stream: DataFrame, online: OnlineTable, checkpoint: str, time:
     if online.timestamp != "n_events":
         raise ValueError("the online table of daily features must be ordered by n_events")
     daily = daily_user_features(stream.withWatermark(time, delay), time)
-    return _upsert_batches(daily.writeStream.outputMode("update"), lambda rows: rows, online, "daily", checkpoint, available_now)
+    return _upsert_batches(daily.writeStream.outputMode("update"), online, checkpoint, available_now)
 
 
 def _start(writer, checkpoint: str, available_now: bool) -> StreamingQuery:

@@ -12,6 +12,7 @@ from featmart.store.feature_store import FeatureStore, backfill, write_daily
 from featmart.store.online import OnlineTable
 from featmart.store.registry import Entity, FeatureView, OnDemandView, Registry, RegistryError
 from featmart.streaming import streams
+from tests.plans import collect_and_count, static_plans
 
 T0 = datetime(2024, 1, 1)
 HOUR = timedelta(hours=1)
@@ -93,22 +94,21 @@ def test_end_is_exclusive_and_start_inclusive(store):
 
 def test_push(spark, store):
     schema = "user_id string, ts timestamp_ntz, seq int, amount double, n long"
-    store.push("spend", spark.createDataFrame([("a", T0 + 9 * HOUR, 1, 5.0, 5), ("a", T0, 1, 4.0, 4)], schema), batch="p-1")
-    store.push("spend", spark.createDataFrame([("a", T0, 1, 6.0, 6), ("b", T0, 1, 7.0, 7)], schema), batch="p-2")
+    store.push("spend", spark.createDataFrame([("a", T0 + 9 * HOUR, 1, 5.0, 5), ("a", T0, 1, 4.0, 4)], schema))
+    second = spark.createDataFrame([("a", T0, 1, 6.0, 6), ("b", T0, 1, 7.0, 7)], schema)
     online = store.online("spend")
 
     def now():
         return {r["user_id"]: r["amount"] for r in online.read().collect()}
 
-    assert now() == {"a": 5.0, "b": 7.0}
-    store.push("spend", spark.createDataFrame([("b", T0, 1, 8.0, 8)], schema), batch="p-2")
-    assert now() == {"a": 5.0, "b": 8.0} and len(online.batches()) == 2
-    assert online.compact() == 2
-    assert now() == {"a": 5.0, "b": 8.0} and len(online.batches()) == 1
-    # A retried batch that the compacted one covers changes nothing; a later one does.
-    store.push("spend", spark.createDataFrame([("b", T0, 1, 1.0, 8)], schema), batch="p-2")
-    store.push("spend", spark.createDataFrame([("c", T0, 1, 2.0, 2)], schema), batch="p-3")
+    for _ in range(2):
+        # A repeated push changes nothing.
+        assert store.push("spend", second) == 2
+        assert now() == {"a": 5.0, "b": 7.0}
+    # Of one time and tie the row that comes last stays.
+    store.push("spend", spark.createDataFrame([("b", T0, 1, 8.0, 8), ("c", T0, 1, 2.0, 2)], schema))
     assert now() == {"a": 5.0, "b": 8.0, "c": 2.0}
+    assert store.push("spend", second.limit(0)) == 0 and now() == {"a": 5.0, "b": 8.0, "c": 2.0}
     with pytest.raises(RegistryError):
         store.push("spend", spark.range(1))
 
@@ -122,12 +122,53 @@ def test_views_and_on_demand(spark, store):
         OnlineTable(spark, store.path + "/none", ["k"], "t").read()
 
 
-def test_unnamed_batches_keep_apart(spark, tmp_path):
-    """Two writers that began with the same log."""
-    first, second = (OnlineTable(spark, str(tmp_path / "online"), ["k"], "t", buckets=2) for _ in range(2))
-    first.upsert(spark.createDataFrame([(1, 1)], "k int, t int"))
-    second.upsert(spark.createDataFrame([(2, 1)], "k int, t int"))
-    assert len(set(first.batches())) == 2 and sorted(r["k"] for r in second.read().collect()) == [1, 2]
+def test_upserts_touch_their_buckets_only(spark, tmp_path):
+    online = OnlineTable(spark, str(tmp_path / "online"), ["k"], "t", buckets=16)
+    online.upsert(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("t")))
+    before = set(spark.read.parquet(f"{online.path}/data").inputFiles())
+    OnlineTable(spark, online.path, ["k"], "t", buckets=16).upsert(spark.createDataFrame([(7, 2)], "k long, t int"))
+    after = set(spark.read.parquet(f"{online.path}/data").inputFiles())
+    assert len({f.split("/")[-2] for f in before ^ after}) == 1
+    assert online.read().filter("t = 2").first()["k"] == 7 and online.read().count() == 100
+
+
+def test_lookups_read_the_pages_of_their_keys(spark, tmp_path):
+    """Ten keys of 200,000: sorted pages and Bloom filters leave a sliver of the rows to read."""
+    online = OnlineTable(spark, str(tmp_path / "online"), ["user", "part"], "t", buckets=4)
+    pad = F.concat(*[F.md5(F.concat(F.col("id"), F.lit(i))) for i in range(4)]).alias("pad")
+    online.upsert(spark.range(200_000).select((F.col("id") * 2).alias("user"), (F.col("id") % 3).cast("string").alias("part"), F.lit(1).alias("t"), pad))
+    keys = [{"user": 2 * i, "part": str(i % 3)} for i in range(0, 200_000, 22_222)] + [{"user": 1, "part": "0"}, {"user": 4, "part": "0"}]
+    with static_plans(spark):
+        rows, scanned = collect_and_count(online.lookup(keys, ["pad"]))
+    assert len(rows) == 12 and sum(r["pad"] is None for r in rows) == 2
+    assert len(keys) - 2 <= scanned <= 20_000
+
+
+def test_online_retrieval_of_one_name_in_two_views(spark, store):
+    store.materialize("spend", T0, T0 + 9 * HOUR)
+    store.materialize("visits", T0, T0 + 9 * HOUR)
+    for keys in ([{"user_id": "a"}], spark.createDataFrame([("a",)], "user_id string")):
+        with pytest.raises(ValueError, match="full_names"):
+            store.get_online_features(["spend:n", "visits:n"], keys)
+        both = store.get_online_features(["spend:n", "visits:n"], keys, full_names=True)
+        assert both.columns == ["user_id", "spend__n", "visits__n"] and [tuple(r) for r in both.collect()] == [("a", 3, 70)]
+
+
+def test_fields_have_their_registered_types(spark, tmp_path):
+    """A field of type long stays one where the table has int."""
+    source = spark.createDataFrame([("a", T0, 1, 2.5, 3)], "user_id string, ts timestamp_ntz, seq int, amount float, n int")
+    store = FeatureStore(spark, Registry([USER], [VIEW]), str(tmp_path / "store"), {"spend_table": source}, buckets=2)
+    entities = spark.createDataFrame([("a", T0)], "user_id string, event_timestamp timestamp_ntz")
+    store.materialize("spend", T0, T0 + HOUR)
+    for frame in (store.get_batch_view("spend"), store.get_historical_features(entities, ["spend:*"]), store.get_online_features(["spend:*"], [{"user_id": "a"}])):
+        kinds = dict(frame.dtypes)
+        assert (kinds["amount"], kinds["n"]) == ("double", "bigint") and (frame.first()["amount"], frame.first()["n"]) == (2.5, 3)
+
+
+def test_ends_with_an_offset_are_utc(store):
+    assert store.materialize("spend", "2024-01-01T01:00:00+01:00", "2024-01-01T02:30:00+02:00") == 1
+    assert store.online("spend").last_end() == "2024-01-01 00:30:00.000000"
+    assert store.materialize_incremental("spend", "2024-01-01T03:01:00+02:00") == 1
 
 
 def test_incremental_ends_are_compared_as_times(store):
@@ -149,6 +190,27 @@ def test_backfill_replaces_only_its_days(spark, tmp_path):
     assert [r["n"] for r in spark.read.parquet(path).orderBy("day").collect()] == [24, 240, 240, 24]
 
 
+def test_backfill_of_a_part_of_a_day_and_of_emptied_days(spark, tmp_path):
+    """From noon to noon both days are recomputed whole; a day whose rows are gone at the source loses its partition."""
+    events = spark.range(96).select((F.timestamp_add("HOUR", F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz"))).alias("ts"))
+
+    def daily(d):
+        return d.groupBy(F.col("ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+    def table():
+        return {str(r["day"]): r["n"] for r in spark.read.parquet(path).collect()}
+
+    path = str(tmp_path / "daily")
+    write_daily(events, daily, path)
+    backfill(events, daily, path, "ts", "2024-01-02 12:00:00", "2024-01-03 12:00:00")
+    assert table() == {"2024-01-01": 24, "2024-01-02": 24, "2024-01-03": 24, "2024-01-04": 24}
+    left = events.filter("ts < '2024-01-02' or ts >= '2024-01-03 20:00:00'")
+    assert backfill(left, daily, path, "ts", "2024-01-02 12:00:00", "2024-01-03 00:00:01") == 1
+    assert table() == {"2024-01-01": 24, "2024-01-03": 4, "2024-01-04": 24}
+    assert backfill(left, daily, path, "ts", F.lit("2024-01-01"), F.lit("2024-01-01")) == 0
+    assert backfill(events.limit(0), daily, path, "ts", "2024-01-01", "2024-01-02") == 0 and "2024-01-01" not in table()
+
+
 # Streams
 
 EVENT = "event_id long, user_id string, ts timestamp, value double"
@@ -196,7 +258,6 @@ def test_stream_upsert_resumes(spark, tmp_path):
     spark.createDataFrame(BATCHES[2], EVENT).coalesce(1).write.parquet(str(tmp_path / "in" / "2"))
     streams.run_to_end(streams.push_upsert(read_stream(spark, tmp_path / "in"), online, str(tmp_path / "cp")))
     assert {r["user_id"]: r["event_id"] for r in online.read().collect()} == {"a": 4, "b": 6}
-    assert all(n.startswith("push-") for n in online.batches())
 
 
 def test_stream_daily_drops_late_rows(spark, tmp_path):
@@ -220,7 +281,7 @@ def test_streams_share_an_online_table(spark, tmp_path):
     for i, user in enumerate(("a", "b", "c")):
         write_files(spark, tmp_path / user, [[(i, user, T0 + i * HOUR, 1.0)]])
         streams.run_to_end(streams.push_upsert(read_stream(spark, tmp_path / user), online, str(tmp_path / f"cp-{user}")))
-    assert {r["user_id"] for r in online.read().collect()} == {"a", "b", "c"} and len(online.batches()) == 3
+    assert {r["user_id"] for r in online.read().collect()} == {"a", "b", "c"}
 
 
 def test_daily_features_start_over(spark, tmp_path):
@@ -281,13 +342,3 @@ def test_state_of_many_batches_shrinks(spark, tmp_path):
     state = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
     assert len(query.recentProgress) >= 6 and sum(s["numRowsRemoved"] for s in state) >= 40 and max(s["numRowsTotal"] for s in state) <= 30
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(60))
-
-
-def test_streams_compact_the_online_table(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(streams, "COMPACT_EVERY", 3)
-    for i in range(7):
-        spark.createDataFrame([(i % 2, T0 + i * HOUR, i)], "k long, t timestamp_ntz, v long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    online = OnlineTable(spark, str(tmp_path / "online"), ["k"], "t", buckets=2)
-    stream = streams.file_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, max_files=1)
-    streams.run_to_end(streams.push_upsert(stream, online, str(tmp_path / "cp")))
-    assert len(online.batches()) <= 3 and {r["k"]: r["v"] for r in online.read().collect()} == {0: 6, 1: 5}
