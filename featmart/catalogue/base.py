@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.hashing import digest
 from ..functions.vectors import doubles
 from ..operators.staging import add_sample_ids, tag_source, union_by_name
+from ..sinks.tables import ensure_databases
 from ..sources.files import INGESTION_TIME, timestamp_literal
+from ..workdir import new_path
 
 RUN_TS = "2024-02-01 00:00:00"
 EMULATOR_TS = "2024-01-01 00:00:00"
@@ -29,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_database(spark: SparkSession) -> str:
+    """A new database in the work folder."""
+    name = f"featmart_{uuid.uuid4().hex}"
+    ensure_databases(spark, [name], location=new_path(spark, "database"))
+    return name
+
+
 def rounded(col: Column | str, digits: int = 6) -> Column:
     return F.round(F.col(col) if isinstance(col, str) else col, digits)
 
@@ -162,18 +172,18 @@ DIFFS_SQL = f"""
 select sample_id, [abs(features[i] - reconstructed[i]) for i in range(1, len(features) + 1)] as d from ({SCORED_SQL})"""
 
 
-# Latencies: whole milliseconds per event type.
+# Latencies: milliseconds with fractions per event type.
 
 def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("model"),
         F.col("event_id").cast("string").alias("sample_id"),
-        F.floor("value").alias("latency_ms"),
+        F.col("value").alias("latency_ms"),
         F.array(F.col("value").cast("float")).alias("outputs"),
     )
 
 
-LAT_SQL = "select event_type as model, cast(event_id as varchar) as sample_id, cast(floor(value) as bigint) as latency_ms, value from events"
+LAT_SQL = "select event_type as model, cast(event_id as varchar) as sample_id, value as latency_ms, value from events"
 
 
 # Two versions of the orders: each lacks some orders of the other, and some prices changed.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import padded_id
 from ..operators import compare, latency, model, quantize, recon
-from ..sinks.results import benchmark_documents
+from ..sinks.results import benchmark_documents, comparison_document
 from ..sources import results
 from ..workdir import cut
 from .base import (
@@ -38,14 +38,22 @@ _FLAT_SQL = "select vec_id, unnest(range(len(embedding))) as pos, unnest(embeddi
 def expected_rows(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").withColumn("chunk", _chunk())
     entry = F.struct(
-        padded_id("vec_id").alias("sampleId"), F.slice("embedding", 1, 4).alias("input"), F.slice("embedding", 5, 2).alias("expected")
+        padded_id("vec_id").alias("sampleId"), F.slice("embedding", 1, 48).alias("input"), F.slice("embedding", 49, 16).alias("expected")
     )
     documents = rows.groupBy("chunk").agg(F.to_json(F.collect_list(entry)).alias("value"))
     parsed = results.expected_rows(documents)
     return parsed.select(
-        "sample_id", F.size("input").alias("n_input"), rounded(F.col("input")[0].cast("double"), 5).alias("first_input"),
-        rounded(F.col("expected")[1].cast("double"), 5).alias("second_expected"),
-    )
+        "sample_id", F.size("input").alias("n_input"), F.size("expected").alias("n_expected"), F.posexplode(F.concat("input", "expected")).alias("pos", "x")
+    ).withColumn("x", rounded(F.col("x").cast("double"), 5))
+
+
+def cmp_document(spark, sf_dir):
+    """The comparison as a JSON document, read again: the summary's figures and every sample's differences."""
+    a, b = results_a(spark, sf_dir), results_b(spark, sf_dir)
+    document = comparison_document(compare.compare_summary(a, b), compare.compare_rows(a, b), "emulator", "device")
+    fields = "source_a string, source_b string, total_samples long, matched_samples long, sample_id long, max_diff double, mean_diff double, within_tolerance string, passed boolean"
+    parsed = document.select("kind", F.from_json("value", fields).alias("r")).select("kind", "r.*")
+    return parsed.withColumns({c: rounded(c) for c in ("max_diff", "mean_diff")})
 
 
 def _benchmarks(spark, sf_dir):
@@ -305,18 +313,22 @@ from d"""
 
 
 def quantize_stats(spark, sf_dir):
-    rows = results_a(spark, sf_dir)
+    """Every tenth sample's first value is NaN, which counts as missing."""
+    gap = (F.col("sample_id") % 10 == 0) & F.lit(True)
+    with_gaps = F.transform("outputs", lambda x, i: F.when(gap & (i == 0), F.lit(float("nan"))).otherwise(x))
+    rows = results_a(spark, sf_dir).withColumn("outputs", with_gaps)
     fit = quantize.fit_quantizer(rows, "sample_id", "outputs")
     errors = quantize.quantization_errors(rows, fit, "outputs")
     return errors.withColumns({c: rounded(c, 8) for c in ("mean_error", "max_error")})
 
 
 _QUANTIZE_SQL = f"""
-with flat as (select sample_id, unnest(range(64))::integer as pos, unnest(outputs) as x from ({A_SQL})),
+with flat as (select sample_id, pos, case when pos = 0 and sample_id % 10 = 0 then null else x end as x
+              from (select sample_id, unnest(range(64))::integer as pos, unnest(outputs) as x from ({A_SQL}))),
      fit as (select pos, greatest(abs(min(x)), abs(max(x))) / 127 as s from flat group by pos),
-     q as (select pos, x, s, least(greatest(round_even(x / s, 0), -128), 127) as level from flat join fit using (pos))
+     q as (select pos, x, s, case when x is not null then least(greatest(round_even(x / s, 0), -128), 127) end as level from flat join fit using (pos))
 select pos, round(avg(abs(x - level * s)), 8) as mean_error, round(max(abs(x - level * s)), 8) as max_error,
-       count(*) filter (level in (-128, 127)) as at_limit
+       count(*) filter (level in (-128, 127)) as at_limit, count(*) filter (x is null) as missing
 from q group by pos"""
 
 
@@ -328,9 +340,17 @@ QUERIES = [
     Query(
         "expected_rows", expected_rows,
         """
-select 'sample_' || lpad(cast(vec_id as varchar), cast(greatest(4, length(cast(vec_id as varchar))) as integer), '0') as sample_id, 4 as n_input,
-       round(cast(embedding[1] as double), 5) as first_input, round(cast(embedding[6] as double), 5) as second_expected
+select 'sample_' || lpad(cast(vec_id as varchar), cast(greatest(4, length(cast(vec_id as varchar))) as integer), '0') as sample_id, 48 as n_input,
+       16 as n_expected, unnest(range(64))::integer as pos, round(unnest(embedding)::double, 5) as x
 from embeddings""",
+    ),
+    Query(
+        "cmp_document", cmp_document,
+        f"""
+select 'summary' as kind, 'emulator' as source_a, 'device' as source_b, total_samples, matched_samples, null::bigint as sample_id, max_diff, null::double as mean_diff,
+       within_tolerance::varchar as within_tolerance, passed from ({_SUMMARY_SQL})
+union all select 'sample', null, null, null, null, sample_id, max_diff, mean_diff, within_tolerance::varchar, null
+from (select sample_id, {_measures('d')} from ({DIFFS_SQL}))""",
     ),
     Query(
         "bench_parse", bench_parse,

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.asof import FeatureRows, asof_join
 from ..operators.latest import latest_per_key
+from ..sinks import tables
 from ..sources.files import timestamp_literal
 from ..store.feature_store import FeatureStore, backfill, write_daily
 from ..store.registry import Entity, FeatureView, Registry
 from ..workdir import new_path
-from .base import Query, table
+from .base import Query, scratch_database, table
 
 MID, END = "2024-01-16 00:00:00", "2024-01-31 00:00:00"
 START = "2024-01-01 00:00:00"
@@ -49,6 +52,14 @@ def pit_hot_keys(spark, sf_dir):
     return asof_join(_entities(spark, sf_dir), ["user_id"], "event_timestamp", views, hot_rows=10)
 
 
+def pit_join_bucketed(spark, sf_dir):
+    """The same join with the clicks as a table that is bucketed by user: the entities go to its buckets."""
+    name = f"{scratch_database(spark)}.clicks"
+    view = _view(spark, sf_dir, "click")
+    tables.write_bucketed(view.df, name, ["user_id"], ["ts"], 8)
+    return asof_join(_entities(spark, sf_dir), ["user_id"], "event_timestamp", [replace(view, df=spark.table(name), buckets=8)])
+
+
 def _asof_sql(kind: str, ttl: str | None = None, left: str = "") -> str:
     left = left or "(select event_id, user_id, ts as event_timestamp from events where event_type = 'purchase')"
     valid = f"f.ts >= e.event_timestamp - interval '{ttl}'" if ttl else "true"
@@ -120,6 +131,7 @@ def backfill_range(spark, sf_dir):
 
 QUERIES = [
     Query("pit_join", pit_join, _asof_sql("click")),
+    Query("pit_join_bucketed", pit_join_bucketed, _asof_sql("click")),
     Query("pit_join_ttl", pit_join_ttl, _asof_sql("click", "6 hours")),
     Query("pit_two_views", pit_two_views, _TWO_SQL),
     Query("pit_hot_keys", pit_hot_keys, _TWO_SQL),

@@ -17,12 +17,12 @@ from ..plans.evaluate import evaluate
 from ..plans.lineage import RunLog, find_model, newest_values
 from ..session import substitute
 from ..sinks import tables
-from ..sources.files import INGESTION_TIME, read_table, run_query
+from ..sources.files import INGESTION_TIME, SOURCE_FILE, read_table, run_query
 from ..store.definitions import on_demand_scores
 from ..store.feature_store import FeatureStore
 from ..store.registry import Entity, FeatureView, Registry
 from ..workdir import new_path
-from .base import COMBINED_SQL, FEATURES, GAPS_SQL, RUN_TS, Query, combined, feat, gaps, rounded, split_sql, table
+from .base import COMBINED_SQL, FEATURES, GAPS_SQL, RUN_TS, Query, combined, feat, gaps, rounded, scratch_database, split_sql, table
 from .comparing import net_sql
 
 _N = len(FEATURES)
@@ -78,7 +78,7 @@ def store_batch_view(spark, sf_dir):
 
 # Evaluation
 
-_POSITIONS = 4
+_POSITIONS = 64
 _SMALL_NET = model.Autoencoder.random(_POSITIONS, 2, (3,), seed=7)
 _FIGURES = ("eval_samples", "test_loss", "test_mse", "test_mae", "test_mse_min", "test_mse_max", "test_max_feature_error", "test_min_feature_error")
 
@@ -245,15 +245,9 @@ from (select sample_id, {', '.join(f"cast(coalesce({f}, 0) as double){' + 1' if
 # Tables
 
 
-def _database(spark) -> str:
-    name = f"featmart_{uuid.uuid4().hex}"
-    tables.ensure_databases(spark, [name], location=new_path(spark, "database"))
-    return name
-
-
 def table_roundtrip(spark, sf_dir):
     """Orders written as a partitioned table, then appended to, with the rows that each write reported."""
-    name = f"{_database(spark)}.orders"
+    name = f"{scratch_database(spark)}.orders"
     orders = table(spark, sf_dir, "orders")
     first = tables.write_table(orders.filter(F.col("o_orderstatus") != "P"), name, partition_by=["o_orderstatus"])
     second = tables.write_table(orders.filter(F.col("o_orderstatus") == "P"), name, mode="append", partition_by=["o_orderstatus"])
@@ -268,7 +262,7 @@ _LAYER = ("orders", "customer", "lineitem")
 
 def catalog_counts(spark, sf_dir):
     """A layer published as tables, and what the catalog then lists."""
-    database = _database(spark)
+    database = scratch_database(spark)
     tables.publish_layer({n: table(spark, sf_dir, n) for n in _LAYER}, as_views=False, database=database)
     return spark.createDataFrame(catalog.table_counts(spark, database), "table_name string, rows long")
 
@@ -280,20 +274,39 @@ def view_query(spark, sf_dir):
     return run_query(spark, f"select o_custkey, count(*) as n_orders from {name} where o_totalprice >= :least group by o_custkey", least=1000.0)
 
 
+_CSV_TABLES = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey"}
+
+
+def _csv_folders(spark, sf_dir) -> str:
+    """Three tables as folders of CSV parts."""
+    source = new_path(spark, "csv")
+    for name in _CSV_TABLES:
+        tables.write_csv(table(spark, sf_dir, name).repartition(3), f"{source}/{name}")
+    return source
+
+
+def _side_by_side(spark, target):
+    """All columns of the three tables below each other, as (table, key, row)."""
+    rows = [spark.read.parquet(f"{target}/{name}").select(F.lit(name).alias("table_name"), F.col(key).cast("long").alias("key"), "*") for name, key in _CSV_TABLES.items()]
+    return rows[0].unionByName(rows[1], allowMissingColumns=True).unionByName(rows[2], allowMissingColumns=True)
+
+
 def csv_parquet(spark, sf_dir):
-    """Customers as CSV files, and these as Parquet tables."""
-    source, target = new_path(spark, "csv"), new_path(spark, "parquet")
-    tables.write_csv(table(spark, sf_dir, "customer"), source)
-    tables.csv_to_parquet(spark, source, target)
-    return spark.read.parquet(f"{target}/*")
+    """CSV parts of three tables as Parquet tables."""
+    target = new_path(spark, "parquet")
+    tables.csv_to_parquet(spark, _csv_folders(spark, sf_dir), target)
+    return _side_by_side(spark, target)
 
 
 def raw_load(spark, sf_dir):
-    """Customers as CSV files, loaded as raw tables with provenance."""
-    source, target = new_path(spark, "csv"), new_path(spark, "raw")
-    tables.write_csv(table(spark, sf_dir, "customer"), source)
-    tables.load_raw(spark, source, target, RUN_TS)
-    return spark.read.parquet(f"{target}/*").select("c_custkey", "c_name", "c_acctbal", INGESTION_TIME)
+    """CSV parts of three tables, loaded as raw tables with provenance; the parts' own names differ from run to run."""
+    target = new_path(spark, "raw")
+    tables.load_raw(spark, _csv_folders(spark, sf_dir), target, RUN_TS)
+    rows = _side_by_side(spark, target)
+    return rows.withColumn(SOURCE_FILE, F.regexp_extract(SOURCE_FILE, "^(part)-.*(csv)$", 1))
+
+
+_CSV_SQL = " union all by name ".join(f"select '{name}' as table_name, {key} as key, * from {name}" for name, key in _CSV_TABLES.items())
 
 
 QUERIES = [
@@ -310,6 +323,6 @@ QUERIES = [
     Query("table_roundtrip", table_roundtrip, _ROUNDTRIP_SQL),
     Query("catalog_counts", catalog_counts, "\nunion all ".join(f"select '{n}' as table_name, count(*) as rows from {n}" for n in _LAYER)),
     Query("view_query", view_query, "select o_custkey, count(*) as n_orders from orders where o_totalprice >= 1000 group by o_custkey"),
-    Query("csv_parquet", csv_parquet, "select * from customer"),
-    Query("raw_load", raw_load, f"select c_custkey, c_name, c_acctbal, timestamp '{RUN_TS}' as _ingestion_timestamp from customer"),
+    Query("csv_parquet", csv_parquet, _CSV_SQL),
+    Query("raw_load", raw_load, f"select *, 'part' as _source_file, timestamp '{RUN_TS}' as _ingestion_timestamp from ({_CSV_SQL})"),
 ]

@@ -22,7 +22,8 @@ COUNTED_ROWS = 10_000
 class FeatureRows:
     """One side of the join: a frame, its time column, the columns to fetch and how long a row stays valid.
 
-    `names` renames fetched columns in the result; `tie` orders rows of one key and time, the last one wins.
+    `names` renames fetched columns in the result; `tie` orders rows of one key and time, the last one wins. `buckets` says that the
+    frame is a table that is bucketed by the join's keys into that many buckets, see `write_bucketed`.
     """
 
     df: DataFrame
@@ -32,6 +33,7 @@ class FeatureRows:
     tie: Sequence[str] = ()
     names: Sequence[str] = ()
     timestamp_name: str | None = None
+    buckets: int = 0
 
     def result_names(self) -> list[str]:
         return list(self.names or self.features)
@@ -51,6 +53,9 @@ def asof_join(
     `hot_rows` rows would make one long task, so such keys, found by counting, take a second way: their rows are
     range-partitioned by key and time, which splits a key at any point, and the last feature row of each partition is
     handed on to the partitions after it.
+
+    Views with `buckets` are not shuffled: their files are dealt by key already, and the entities, with the views that have other
+    buckets or none, are dealt the same way.
     """
     keys = list(keys)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, timestamp]])
@@ -58,11 +63,12 @@ def asof_join(
     spans = _spans(present, keys, timestamp)
     rows = _stack(present, keys, timestamp, _needed(spans, keys, views))
     hot = _hot_keys(present, keys, timestamp, views, spans, hot_rows)
+    names = _key_names(keys)
     if hot is None:
-        matched = _forward_fill(rows, keys, views)
+        matched = _forward_fill(rows, names, views)
     else:
-        cold = _forward_fill(rows.join(hot, keys, "left_anti"), keys, views)
-        matched = cold.unionByName(_forward_fill_ranges(rows.join(hot, keys, "left_semi"), keys, views))
+        cold = _forward_fill(rows.join(hot, names, "left_anti"), names, views)
+        matched = cold.unionByName(_forward_fill_ranges(rows.join(hot, names, "left_semi"), names, views))
     result = matched.select("_fm_entity.*", *_fetch(views))
     unknown = entities.filter(~known)
     return result.unionByName(unknown, allowMissingColumns=True)
@@ -123,10 +129,11 @@ def _hot_keys(
     def some(df: DataFrame) -> DataFrame:
         return df if share == 1.0 else df.sample(share, seed=0)
 
-    counted_views = _needed(spans, keys, [replace(v, df=some(v.df)) for v in views])
+    counted_views = _needed(spans, keys, [replace(v, df=some(v.df), buckets=0) for v in views])
     rows = _stack(some(entities), keys, timestamp, counted_views)
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm_n"))
-    hot = cut(counted.filter(F.col("_fm_n") > hot_rows * share).select(*keys), "hot-keys")
+    names = _key_names(keys)
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_fm_n"))
+    hot = cut(counted.filter(F.col("_fm_n") > hot_rows * share).select(*names), "hot-keys")
     # At most rows / hot_rows keys.
     return None if hot.isEmpty() else small_side(hot)
 
@@ -141,10 +148,19 @@ def _as_moment(value, kind: T.DataType) -> Column:
 
 
 def _stack(entities: DataFrame, keys: Sequence[str], timestamp: str, views: Sequence[FeatureRows]) -> DataFrame:
-    """Entities and views below each other: keys, time, side, ties, entity struct, one struct per view."""
+    """Entities and views below each other: keys, time, side, ties, entity struct, one struct per view.
+
+    Keys get names of their own. Where views have buckets, all parts are partitioned alike, and a union of parts that are partitioned
+    by columns of one name and type is so too.
+    """
+    buckets = max((v.buckets for v in views), default=0)
+    named = [F.col(k).alias(n) for k, n in zip(keys, _key_names(keys))]
+    if buckets:
+        entities = entities.repartition(buckets, *keys)
+        views = [v if v.buckets == buckets else replace(v, df=v.df.repartition(buckets, *keys)) for v in views]
     parts = [
         entities.select(
-            *keys,
+            *named,
             F.col(timestamp).alias("_fm_ts"),
             F.lit(1).alias("_fm_side"),
             F.struct(*entities.columns).alias("_fm_entity"),
@@ -155,7 +171,7 @@ def _stack(entities: DataFrame, keys: Sequence[str], timestamp: str, views: Sequ
         body = [F.col(view.timestamp).alias("ts"), *[F.col(f).alias(n) for f, n in zip(view.features, view.result_names())]]
         parts.append(
             view.df.filter(known).select(
-                *keys,
+                *named,
                 F.col(view.timestamp).alias("_fm_ts"),
                 F.lit(0).alias("_fm_side"),
                 *[F.col(c).alias(n) for c, n in zip(view.tie, _tie_names(i, view))],
@@ -165,6 +181,10 @@ def _stack(entities: DataFrame, keys: Sequence[str], timestamp: str, views: Sequ
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _key_names(keys: Sequence[str]) -> list[str]:
+    return [f"_fm_key_{i}" for i in range(len(keys))]
+
+
 def _order(views: Sequence[FeatureRows]) -> list[Column]:
     """Features before entities, so a feature row of the very same time is known; then each view's own tie columns."""
     return [F.col("_fm_ts"), F.col("_fm_side"), *[F.col(n) for i, v in enumerate(views) for n in _tie_names(i, v)]]

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
 from ..workdir import constant
-from .features import cleaned_text, first_numeric, is_text, number_text
+from .features import cleaned_text, is_text, number_text
 
 EPSILON = 1e-8
 DIRECT_COLUMNS = 40
@@ -116,19 +117,19 @@ def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, minimum and maximum, one row per column; of all numeric columns if none are given."""
-    columns = list(columns if columns is not None else first_numeric(df, None))
-    row = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(c).alias("count"),
-                F.avg(c).cast("double").alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-            ).alias(f"c_{i}")
-            for i, c in enumerate(columns)
-        ]
+    """Count, mean, sample deviation, minimum and maximum, one row per column; of all numeric columns, decimals included, if none are given.
+
+    Values go by their position, so the plan does not grow with the columns; a task sends one row per column.
+    """
+    if columns is None:
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    columns = list(columns)
+    values = df.selectExpr(f"posexplode(array({', '.join(f'cast({quoted(c)} as double)' for c in columns)})) as (pos, x)") if columns else None
+    if values is None:
+        return df.sparkSession.createDataFrame([], "column_name string, count long, mean double, std double, min double, max double")
+    found = values.groupBy("pos").agg(
+        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max")
     )
-    return row.select(F.explode(F.array(*row.columns)).alias("r")).select("r.*")
+    # One row per column, also of a table without rows.
+    names = df.sparkSession.range(1).select(F.posexplode(constant(columns, "array<string>")).alias("pos", "column_name"))
+    return names.join(F.broadcast(found), "pos", "left").select("column_name", F.coalesce("count", F.lit(0).cast("long")).alias("count"), "mean", "std", "min", "max")

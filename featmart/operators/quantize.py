@@ -32,10 +32,14 @@ def calibration_sample(df: DataFrame, key: str, n: int) -> DataFrame:
 def fit_quantizer(
     df: DataFrame, key: str, features: str = "features", n: int | None = None, per_channel: bool = True, symmetric: bool = True
 ) -> Quantizer:
-    """Scales from the smallest and largest value of each position (or of all positions), over all rows or a calibration sample of `n`."""
+    """Scales from the smallest and largest value of each position (or of all positions), over all rows or a calibration sample of `n`.
+
+    NaN counts as missing. A position without any value gets scale 1.
+    """
     rows = df.select(key, features)
     values = (rows if n is None else calibration_sample(rows, key, n)).select(F.posexplode(features).alias("pos", "x"))
-    ends = values.groupBy("pos").agg(F.min("x").cast("double").alias("a"), F.max("x").cast("double").alias("b"))
+    known = _known(F.col("x").cast("double"))
+    ends = values.groupBy("pos").agg(F.coalesce(F.min(known), F.lit(0.0)).alias("a"), F.coalesce(F.max(known), F.lit(0.0)).alias("b"))
     rows = sorted(ends.collect(), key=lambda r: r["pos"])
     pairs = [(r["a"], r["b"]) for r in rows]
     if not per_channel:
@@ -53,10 +57,16 @@ def _parameters(fit: Quantizer) -> Column:
     return F.array(*[F.struct(F.lit(s).alias("scale"), F.lit(z).alias("zero")) for s, z in zip(fit.scale, fit.zero)])
 
 
+def _known(x: Column) -> Column:
+    """A value, NaN as null."""
+    return F.when(~F.isnan(x), x)
+
+
 def _level(x: Column, p: Column) -> Column:
-    """`round(x / scale) + zero`, half to even, clamped to the int8 range."""
+    """`round(x / scale) + zero`, half to even, clamped to the int8 range; null for a missing value."""
     level = F.rint(x / p["scale"]) + p["zero"]
-    return F.least(F.greatest(level, F.lit(float(LOWEST))), F.lit(float(HIGHEST))).cast("tinyint")
+    clamped = F.least(F.greatest(level, F.lit(float(LOWEST))), F.lit(float(HIGHEST))).cast("tinyint")
+    return F.when(_known(x).isNotNull(), clamped)
 
 
 def _value(q: Column, p: Column) -> Column:
@@ -64,30 +74,34 @@ def _value(q: Column, p: Column) -> Column:
 
 
 def quantized(features: Column, fit: Quantizer) -> Column:
-    return F.zip_with(doubles(features), _parameters(fit), _level)
+    """The int8 vector; a vector wider than the fit is an error."""
+    wider = F.raise_error(F.concat(F.lit(f"the quantizer has {len(fit.scale)} positions, a vector has "), F.size(features).cast("string")))
+    checked = F.when(F.coalesce(F.size(features), F.lit(0)) > len(fit.scale), wider).otherwise(doubles(features))
+    return F.zip_with(checked, F.slice(_parameters(fit), 1, F.greatest(F.size(features), F.lit(0))), _level)
 
 
 def restored(levels: Column, fit: Quantizer) -> Column:
-    return F.zip_with(levels, _parameters(fit), _value)
+    return F.zip_with(levels, F.slice(_parameters(fit), 1, F.greatest(F.size(levels), F.lit(0))), _value)
 
 
 def quantize(df: DataFrame, fit: Quantizer, features: str = "features") -> DataFrame:
-    """Append the int8 vector, the restored vector and the sample's mean absolute error."""
+    """Append the int8 vector, the restored vector and the sample's mean absolute error over the values that are not missing."""
     made = df.withColumn("quantized", quantized(F.col(features), fit)).withColumn("restored", restored(F.col("quantized"), fit))
     error = F.zip_with(doubles(F.col(features)), F.col("restored"), lambda x, y: F.abs(x - y))
-    return made.withColumn("quantization_error", array_mean(error))
+    return made.withColumn("quantization_error", array_mean(F.filter(error, lambda e: e.isNotNull() & ~F.isnan(e))))
 
 
 def quantization_errors(df: DataFrame, fit: Quantizer, features: str = "features") -> DataFrame:
-    """Mean and largest absolute error and number of clamped values per position, over all rows; a vector wider than the fit is an error."""
+    """Mean and largest absolute error and numbers of clamped and of missing values per position, over all rows; a vector wider than the fit is an error."""
     flat = df.select(F.posexplode(features).alias("pos", "x")).select("pos", F.col("x").cast("double").alias("x"))
     wider = F.raise_error(F.concat(F.lit(f"the quantizer has {len(fit.scale)} positions, a vector has position "), F.col("pos").cast("string")))
     known = F.get(_parameters(fit), F.col("pos"))
     flat = flat.withColumn("p", F.when(F.col("pos") < len(fit.scale), known).otherwise(wider))
     levels = flat.withColumn("q", _level(F.col("x"), F.col("p")))
-    error = F.abs(F.col("x") - _value(F.col("q"), F.col("p")))
+    error = F.abs(_known(F.col("x")) - _value(F.col("q"), F.col("p")))
     return levels.groupBy("pos").agg(
         F.avg(error).alias("mean_error"),
         F.max(error).alias("max_error"),
         F.count_if(F.col("q").isin(LOWEST, HIGHEST)).alias("at_limit"),
+        F.count_if(_known(F.col("x")).isNull()).alias("missing"),
     )

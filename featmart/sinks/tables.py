@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -47,6 +48,17 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
     return watch.get["rows"]
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequence[str], buckets: int) -> int:
+    """Write a catalog table whose files are dealt by key into buckets, sorted by key and `order_by` inside them; the number of rows.
+
+    Joins and windows by these keys read it without a shuffle. One task writes a bucket, so their number is the number of tasks later.
+    """
+    counted, watch = observed(df.repartition(buckets, *keys))
+    ordered = [*keys, *order_by]
+    counted.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*ordered).saveAsTable(name)
+    return watch.get["rows"]
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> int:
     """Write Parquet files and return the number of rows."""
     if partition_by:
@@ -74,20 +86,25 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+WRITES_AT_A_TIME = 4
+
+
+def write_side_by_side(frames: Mapping[str, DataFrame], target: str) -> dict[str, int]:
+    """Every frame to its own folder, replacing an earlier one; some are written at the same time, so that small tables do not wait for each
+    other's last task. The rows per table; the first failure is raised when the others are done."""
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        jobs = {name: pool.submit(write_parquet, df, f"{target.rstrip('/')}/{name}", "overwrite") for name, df in frames.items()}
+    return {name: job.result() for name, job in jobs.items()}
+
+
 def load_raw(spark: SparkSession, directory: str, target: str, run_ts: str | datetime) -> dict[str, int]:
-    """Every file below a directory to its own raw Parquet table with provenance columns, replacing an earlier load."""
-    return {
-        name: write_parquet(with_provenance(df, run_ts), f"{target.rstrip('/')}/{name}", mode="overwrite")
-        for name, df in tables_by_file(spark, directory).items()
-    }
+    """Every table below a directory as a raw Parquet table with provenance columns, replacing an earlier load."""
+    return write_side_by_side({name: with_provenance(df, run_ts) for name, df in tables_by_file(spark, directory).items()}, target)
 
 
 def csv_to_parquet(spark: SparkSession, directory: str, target: str) -> dict[str, int]:
-    """One Parquet file set per CSV file."""
-    return {
-        name: write_parquet(df, f"{target.rstrip('/')}/{name}", mode="overwrite")
-        for name, df in tables_by_file(spark, directory, formats=("csv",)).items()
-    }
+    """One Parquet file set per CSV file or folder of CSV parts."""
+    return write_side_by_side(tables_by_file(spark, directory, formats=("csv",)), target)
 
 
 def publish_layer(frames: Mapping[str, DataFrame], as_views: bool, database: str | None = None) -> None:

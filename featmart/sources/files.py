@@ -58,21 +58,36 @@ def inventory_summary(spark: SparkSession, directory: str, pattern: str = "*") -
     )
 
 
+PARTS = r"/part-[^/]*$"
+
+
 def tables_by_file(spark: SparkSession, directory: str, formats: Iterable[str] = ("parquet", "csv")) -> dict[str, DataFrame]:
-    """One frame per file, named after the file, Parquet before CSV. Only file names reach the driver."""
+    """One frame per table, Parquet before CSV. A table is a file, named after it, or a folder of part files, named after the folder.
+
+    One listing finds the tables of a format, and only their names and places reach the driver. The files of a table are one scan, with
+    the columns of all of them: Parquet schemas are merged from the footers, in tasks.
+    """
     tables: dict[str, DataFrame] = {}
     for fmt in formats:
-        names = list_files(spark, directory, f"*.{fmt}").select("path", table_name("path").alias("name"))
-        for row in names.orderBy("path").toLocalIterator():
+        place = F.when(F.col("path").rlike(PARTS), F.regexp_replace("path", PARTS, "")).otherwise(F.col("path"))
+        places = list_files(spark, directory, f"*.{fmt}").select(place.alias("path")).distinct()
+        for row in places.select("path", table_name("path").alias("name")).orderBy("path").toLocalIterator():
             if row["name"] in tables:
                 raise ValueError(f"two files give the table name {row['name']}: {row['path']}")
-            reader = spark.read.format(fmt)
+            reader = spark.read.format(fmt).option("pathGlobFilter", f"*.{fmt}")
             if fmt == "csv":
-                reader = reader.option("header", True).option("inferSchema", True)
+                reader = reader.option("header", True).option("inferSchema", True).option("enforceSchema", False)
+            else:
+                reader = reader.option("mergeSchema", True)
             tables[row["name"]] = reader.load(row["path"])
     return tables
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def with_provenance(df: DataFrame, run_ts: str | datetime) -> DataFrame:
     """Add the source file's name and the run's timestamp. `df` must come straight from a file scan."""
     return df.withColumns({SOURCE_FILE: F.col("_metadata.file_name"), INGESTION_TIME: timestamp_literal(run_ts)})

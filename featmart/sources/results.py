@@ -10,16 +10,16 @@ from ..functions.text import padded_id
 
 RESULT_SET = "map<string,array<double>>"
 
-# Field names and types of a benchmark file and of an expected-output file.
+# Field names and types of a benchmark file and of an expected-output file. Latencies may be whole or have fractions.
 METRIC_FIELDS = (
-    "totalSamples int, avgLatencyMs double, minLatencyMs bigint, maxLatencyMs bigint, p50LatencyMs bigint, "
-    "p95LatencyMs bigint, p99LatencyMs bigint, throughputSamplesPerSec double"
+    "totalSamples int, avgLatencyMs double, minLatencyMs double, maxLatencyMs double, p50LatencyMs double, "
+    "p95LatencyMs double, p99LatencyMs double, throughputSamplesPerSec double"
 )
 BENCHMARK = (
     "modelName string, modelPath string, timestamp bigint, "
     "deviceInfo struct<device string, manufacturer string, model string, sdk int, abi string, cpuCores int, totalMemoryMb bigint>, "
     f"metrics struct<{METRIC_FIELDS}>, "
-    "results array<struct<sampleId string, latencyMs bigint, outputs array<float>>>, "
+    "results array<struct<sampleId string, latencyMs double, outputs array<float>>>, "
     f"{METRIC_FIELDS}"
 )
 # The documents of a run that was written in several parts share this one more field.

@@ -60,7 +60,7 @@ class FeatureStore:
             if clash:
                 raise ValueError(f"column names occur twice: {', '.join(sorted(clash))}; use full_names")
             taken.update(names)
-            rows = FeatureRows(self._typed_fields(view, self.source(view)), view.timestamp_field, columns, view.ttl, view.tie, names)
+            rows = FeatureRows(self._typed_fields(view, self.source(view)), view.timestamp_field, columns, view.ttl, view.tie, names, buckets=view.buckets)
             by_keys.setdefault(tuple(self.registry.join_keys(view)), []).append(rows)
         result = entities
         for keys, views in by_keys.items():

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import quoted
 from ..operators.latest import latest_per_key
 from ..sinks.tables import observed
+from ..sources.files import path_exists
 from ..workdir import append_entry, cut, make_folder
 
 BUCKETS = 64
@@ -72,12 +72,7 @@ class OnlineTable:
         writer.parquet(f"{self.path}/data")
 
     def _stored(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.path}/data")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        return self.spark.read.parquet(f"{self.path}/data") if path_exists(self.spark, f"{self.path}/data") else None
 
     def read(self) -> DataFrame:
         """The table."""

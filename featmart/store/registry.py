@@ -23,7 +23,10 @@ class Entity:
 
 @dataclass(frozen=True)
 class FeatureView:
-    """Typed fields of a table that are keyed by entities and valid for `ttl` (interval text) after their timestamp."""
+    """Typed fields of a table that are keyed by entities and valid for `ttl` (interval text) after their timestamp.
+
+    `buckets` says that the table is bucketed by the join keys; retrieval then leaves it where it is.
+    """
 
     name: str
     entities: tuple[str, ...]
@@ -33,6 +36,7 @@ class FeatureView:
     ttl: str | None = None
     tie: tuple[str, ...] = ()
     online: bool = False
+    buckets: int = 0
 
     def field_names(self) -> list[str]:
         return [name for name, _ in self.fields]

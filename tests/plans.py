@@ -25,3 +25,15 @@ def collect_and_count(df) -> tuple[list, int]:
     leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
     scans = [leaves.apply(i) for i in range(leaves.size())]
     return rows, sum(s.metrics().get("numOutputRows").get().value() for s in scans if s.nodeName().startswith("Scan"))
+
+
+def nodes_above(plan: str, marker: str) -> list[str]:
+    """The plan's lines from the root down to the line that has `marker`, by indentation."""
+    path: list[tuple[int, str]] = []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        path = [(d, text) for d, text in path if d < depth]
+        if marker in line:
+            return [text for _, text in path]
+        path.append((depth, line))
+    raise AssertionError(f"no {marker} in the plan")

@@ -4,7 +4,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from featmart.operators import asof
 from featmart.operators.asof import FeatureRows, asof_join
+from featmart.sinks.tables import write_bucketed
+from tests.plans import nodes_above, plan_of
 
 T0 = datetime(2024, 1, 1)
 SECOND = timedelta(seconds=1)
@@ -93,3 +96,34 @@ def test_no_entities_and_no_features(spark):
     view = feature_rows(spark, [("a", T0, 1, 1.0)])
     assert joined(entity_rows(spark, []), view) == {}
     assert joined(entity_rows(spark, [(1, "a", T0)]), feature_rows(spark, [])) == {1: None}
+
+
+def test_bucketed_features_stay_where_they_are(spark):
+    """The plan has no exchange above the bucketed scan, with and without a second view, hot keys or few entities; the rows are the same."""
+    spark.sql("create database if not exists asof_buckets")
+    rows = spark.range(2000).select((F.col("id") % 40).alias("u"), F.timestamp_add("MINUTE", F.pmod(F.xxhash64("id"), F.lit(5000)), F.lit("2024-01-01").cast("timestamp_ntz")).alias("ts"), F.col("id").alias("x"))
+    entities = rows.filter("x % 5 = 0").select("u", F.col("ts").alias("t"), F.col("x").alias("e"))
+    assert write_bucketed(rows, "asof_buckets.features", ["u"], ["ts"], 6) == 2000
+    stored = FeatureRows(spark.table("asof_buckets.features"), "ts", ["x"], tie=["x"], buckets=6)
+    plain = FeatureRows(rows, "ts", ["x"], "2 days", tie=["x"], names=["y"])
+    want = asof_join(entities, ["u"], "t", [FeatureRows(rows, "ts", ["x"], tie=["x"]), plain])
+    for views in ([stored], [stored, plain]):
+        got = asof_join(entities, ["u"], "t", views)
+        above = nodes_above(plan_of(got), "Bucketed: true")
+        assert above and not any("Exchange" in line for line in above)
+        columns = got.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*columns).collect()))
+    hot = asof_join(entities, ["u"], "t", [stored], hot_rows=10)
+    assert sorted(map(str, hot.collect())) == sorted(map(str, want.drop("y").collect()))
+    spark.sql("drop database asof_buckets cascade")
+
+
+@pytest.mark.parametrize("max_keys", [0, 10])
+def test_both_ways_of_narrowing_by_key(spark, monkeypatch, max_keys):
+    """Few entity keys are broadcast to narrow the features, many are not; the rows are the same."""
+    monkeypatch.setattr(asof, "MAX_KEYS", max_keys)
+    rows = spark.range(300).select((F.col("id") % 50).alias("u"), F.timestamp_add("MINUTE", F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("ts"), F.col("id").alias("x"))
+    entities = rows.filter("u < 5").select("u", F.col("ts").alias("t"))
+    got = asof_join(entities, ["u"], "t", [FeatureRows(rows, "ts", ["x"])])
+    assert ("LeftSemi" in plan_of(got)) == (max_keys == 10)
+    assert all(r["x"] == (r["t"].hour * 60 + r["t"].minute) for r in got.collect()) and got.count() == 30

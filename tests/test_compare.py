@@ -241,3 +241,31 @@ def test_repeated_id_on_the_right_is_an_error(spark):
     assert compare.compare_summary(a, a).first()["total_samples"] == 1
     with pytest.raises(Exception, match="occurs twice"):
         compare.compare_summary(a, a.union(a)).collect()
+
+
+def test_quantizer_leaves_nan_out_and_refuses_wide_vectors(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, [2.0, nan]), (2, [nan, -4.0]), (3, [1.0, nan]), (4, None), (5, [0.5])], "k int, features array<double>")
+    fit = quantize.fit_quantizer(df, "k")
+    assert fit.scale == (2.0 / 127, 4.0 / 127)
+    rows = {r["k"]: r for r in quantize.quantize(df, fit).collect()}
+    assert rows[1]["quantized"] == [127, None] and rows[1]["restored"] == [2.0, None] and rows[1]["quantization_error"] == 0.0
+    assert rows[2]["quantized"] == [None, -127] and rows[4]["quantized"] is None and len(rows[5]["restored"]) == 1
+    errors = {r["pos"]: (r["missing"], r["at_limit"], r["max_error"]) for r in quantize.quantization_errors(df, fit).collect()}
+    assert errors[0][0] == 1 and errors[1] == (2, 0, 0.0)
+    wide = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "k int, features array<double>")
+    with pytest.raises(Exception, match="2 positions"):
+        quantize.quantize(wide, fit).collect()
+    nothing = quantize.fit_quantizer(spark.createDataFrame([(1, [nan])], "k int, features array<double>"), "k", symmetric=False)
+    assert nothing.scale == (1.0,)
+
+
+def test_fractional_latencies_survive_their_documents(spark):
+    samples = spark.createDataFrame([("m", "a", 0.9, [1.0]), ("m", "b", 1.9, [2.0]), ("w", "c", 3.0, [])], "model string, sample_id string, latency_ms double, outputs array<float>")
+    device = F.struct(F.lit("d").alias("device"))
+    documents = benchmark_documents(samples, device, F.lit(1).cast("long"), F.lit("p"))
+    runs = {r["modelName"]: r for r in results.benchmark_runs(documents).collect()}
+    assert (runs["m"]["minLatencyMs"], runs["m"]["maxLatencyMs"], runs["m"]["p99LatencyMs"], runs["w"]["p50LatencyMs"]) == (0.9, 1.9, 0.9, 3.0)
+    assert {r["sample_id"]: r["latency_ms"] for r in results.benchmark_samples(documents).collect()} == {"a": 0.9, "b": 1.9, "c": 3.0}
+    whole = spark.createDataFrame([('{"modelName": "m", "minLatencyMs": 7, "results": [{"sampleId": "a", "latencyMs": 7}]}',)], "value string")
+    assert results.benchmark_runs(whole).first()["minLatencyMs"] == 7.0 and results.benchmark_samples(whole).first()["latency_ms"] == 7.0

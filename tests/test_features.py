@@ -166,3 +166,11 @@ def test_wide_tables_take_the_other_way(spark):
     missing = np.isnan(data)
     plain = (data - np.nanmean(data, axis=0)) / np.nanstd(data, axis=0, ddof=1)
     assert np.array_equal(np.isnan(scores), missing) and np.allclose(scores[~missing], plain[~missing])
+
+
+def test_describe_of_all_numeric_types(spark):
+    df = spark.createDataFrame([(1, 2, 3.0, "1.50"), (3, None, 5.0, "2.50")], "a byte, b short, c float, d string").withColumn("d", F.col("d").cast("decimal(10,2)"))
+    rows = {r["column_name"]: tuple(r)[1:] for r in normalize.describe(df).collect()}
+    assert set(rows) == {"a", "b", "c", "d"} and rows["d"][:2] == (2, 2.0) and rows["b"] == (1, 2.0, None, 2.0, 2.0)
+    assert {tuple(r) for r in normalize.describe(df.limit(0)).collect()} == {(c, 0, None, None, None, None) for c in "abcd"}
+    assert normalize.describe(df.select(F.lit("x").alias("s"))).collect() == []

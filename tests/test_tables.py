@@ -259,3 +259,20 @@ def test_stage(spark):
 def test_settings(spark):
     assert substitute("a-${X}-${Y}", {"X": "1"}) == "a-1-"
     assert work_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_parts_of_a_folder_are_one_table(spark, tmp_path):
+    """Parts with other columns are one table with the columns of all; two folders of one name are an error."""
+    (tmp_path / "in" / "orders").mkdir(parents=True)
+    spark.createDataFrame([(1, "a")], "k long, v string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / "Lines"))
+    spark.createDataFrame([(2, 2.5)], "k long, w double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / "Lines"))
+    for i in range(3):
+        (tmp_path / "in" / "orders" / f"part-{i}.csv").write_text(f"k,v\n{i},x{i}\n")
+    assert tables.load_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"), RUN_TS) == {"lines": 2, "orders": 3}
+    lines = spark.read.parquet(str(tmp_path / "raw/lines"))
+    assert {(r["k"], r["v"], r["w"]) for r in lines.collect()} == {(1, "a", None), (2, None, 2.5)}
+    assert data(spark.read.parquet(str(tmp_path / "raw/orders")).select("k", "v")) == [(0, "x0"), (1, "x1"), (2, "x2")]
+    (tmp_path / "in" / "more" / "orders").mkdir(parents=True)
+    (tmp_path / "in" / "more" / "orders" / "part-0.csv").write_text("k\n1\n")
+    with pytest.raises(ValueError, match="orders"):
+        files.tables_by_file(spark, str(tmp_path / "in"), formats=("csv",))
