@@ -1,14 +1,15 @@
-"""Document fingerprints from closed syncmers, in DataFrame functions only.
-
-A text is its words (runs without ASCII white space). A word of more than LONGEST characters, or with characters of a script that is
-written without spaces, counts as its characters. A k-mer is k of these in a row; it is a closed syncmer when the smallest hash among
-its inner s-mers lies at its first or last s-mer. Whether it is one depends on its own words alone, so the same passage gives the same
-anchors wherever it stands, in the same order and at the same distances, up to k - 1 words from its edges. Where no k-mer is one, the
-k-mer with the smallest hash is the anchor; fewer than k words have one anchor, their whole sequence. Only a text without words has
-none. A text of at most SHORT characters has too few words to tell a small change from another text, so the anchors of its characters follow those of its words. A null text counts as empty.
-
-Two fingerprints are as like as the share of anchors they have in common: twice the common ones by all, 1 when both have none.
-Equal texts have equal fingerprints; rows may repeat; an empty table gives no rows.
+"""Document fingerprints from closed syncmers with their places, in DataFrame functions only.
+
+The units of a text are the characters of scripts that are written without spaces, and of all other runs without ASCII white space
+the pieces of up to four characters from their beginning on. A k-mer is k units in a row; it is a closed syncmer when the smallest hash
+among its inner s-mers lies at its first or last s-mer. Whether it is one depends on its own units alone, so the same passage gives
+the same anchors wherever it stands, in the same order and at the same distances; k - s k-mers in a row hold at least one. A text without
+any, which has few units, has one anchor of all its units; only a text without units has none. A null text counts as empty.
+
+A fingerprint holds each anchor's hash (24 bits) and its distance from the anchor before, in units. Two fingerprints are matched by position:
+of the places where their anchors agree the most frequent offset is taken, and anchors count as common when hash and place agree at that
+offset. Likeness is twice the common ones by all, 1 when both have none; so a passage that was moved, or that is
+repeated in one text, counts less than the same passage in place. Equal texts have equal fingerprints; rows may repeat; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ from pyspark.sql import functions as F
 from ..workdir import constant
 from .rows import text_of
 
-K, S = 4, 2
-WHITE = r"[\x20\x09-\x0D]+"
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
-LONGEST = 32
-SHORT = 132
+K, S = 9, 2
+WHITE = r"\x20\x09-\x0D"
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+UNIT = rf"[{UNSPACED}]|[^{WHITE}{UNSPACED}]{{1,4}}"
+HASH_BITS, PLACE_BITS = 24, 32
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -39,75 +40,135 @@ def run_of(values: Column, start: Column, n: int) -> list[Column]:
     return [F.get(values, start + j) for j in range(n)]
 
 
-def words_of(text: Column) -> Column:
-    # Leading and trailing white space leave empty words, which go.
-    return F.array_remove(F.split(text, WHITE), "")
+def upto(n: Column) -> Column:
+    """0 to n - 1."""
+    return F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def characters_of(words: Column) -> Column:
-    return F.flatten(F.transform(words, lambda w: F.split(w, "")))
+def units(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(UNIT), F.lit(0))
 
 
-def units(text: Column) -> Column:
-    """The words, or the characters of those that are no words."""
-    fine = lambda w: F.when((F.length(w) > LONGEST) | w.rlike(UNSPACED), F.split(w, "")).otherwise(F.array(w))
-    # Most texts have no such word: one look at the whole text saves an array per word.
-    some = text.rlike(rf"{UNSPACED}|[^\x20\x09-\x0D]{{{LONGEST + 1}}}")
-    return F.when(some, F.flatten(F.transform(words_of(text), fine))).otherwise(words_of(text))
+def low_bits(digest: Column) -> Column:
+    return digest.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+
+
+def packed(at: Column, digest: Column) -> Column:
+    """An anchor as one number: its hash above its place."""
+    return F.shiftleft(low_bits(digest), PLACE_BITS).bitwiseOR(at.cast("long"))
+
 
+def place_of(anchor: Column) -> Column:
+    return anchor.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
 
-def anchors(text: Column, k: int = K, s: int = S, parts: Callable[[Column], Column] = words_of) -> Column:
-    """The anchors in order as longs: the place, counted in `parts` of the text, above a hash of 32 bits."""
+
+def syncmers(hashed: Column, k: int, s: int) -> Column:
+    """The anchors of units, given by their hashes, in order."""
     width = k - s + 1
-    none = F.array().cast("array<int>")
 
-    def upto(n: Column) -> Column:
-        return F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)).otherwise(none)
+    def closed(m: Column, i: Column) -> Column:
+        # Most k-mers are ruled out by the first comparisons, and the others are not made then.
+        first, last = F.get(m, i), F.get(m, i + (width - 1))
+        forward = backward = None
+        for j in range(1, width):
+            f, b = first <= F.get(m, i + j), last <= F.get(m, i + (width - 1 - j))
+            forward, backward = (f, b) if forward is None else (forward & f, backward & b)
+        return forward | backward
+
+    def chosen(h: Column) -> Column:
+        mers = F.transform(upto(F.size(h) - s + 1), lambda i: F.xxhash64(*run_of(h, i, s)))
+        places = let(mers, lambda m: F.filter(upto(F.size(h) - k + 1), lambda i: closed(m, i)))
+        return F.transform(places, lambda i: packed(i, F.xxhash64(*run_of(h, i, k))))
+
+    return let(hashed, chosen)
+
 
-    def closed(mers: Column, i: Column) -> Column:
-        least = F.least(*run_of(mers, i, width))
-        return (least == F.get(mers, i)) | (least == F.get(mers, i + width - 1))
+def hashes_of(parts: Column) -> Column:
+    return F.transform(parts, lambda u: F.xxhash64(u))
 
-    def packed(at: Column, digest: Column) -> Column:
-        return F.shiftleft(at.cast("long"), 32).bitwiseOR(digest.bitwiseAND(F.lit(0xFFFFFFFF)))
 
-    def of_words(words: Column) -> Column:
-        n = F.size(words)
-        mers = F.transform(upto(n - s + 1), lambda i: F.xxhash64(*run_of(words, i, s)))
-        chosen = let(mers, lambda m: F.filter(upto(n - k + 1), lambda i: closed(m, i)))
-        digest = lambda i: F.xxhash64(*run_of(words, i, k))
-        least = let(F.transform(upto(n - k + 1), digest), lambda m: F.array(packed(F.array_position(m, F.array_min(m)) - 1, F.array_min(m))))
-        long = let(chosen, lambda c: F.when(F.size(c) > 0, F.transform(c, lambda i: packed(i, digest(i)))).otherwise(least))
-        short = F.when(n > 0, F.array(packed(F.lit(0), F.xxhash64(words)))).otherwise(F.array().cast("array<bigint>"))
-        return F.when(n >= k, long).otherwise(short)
+def or_whole(found: Column, parts: Column) -> Column:
+    """The anchors, or one of all units where there are none."""
+    whole = F.when(F.size(parts) > 0, F.array(packed(F.lit(0), F.xxhash64(parts)))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(found) > 0, found).otherwise(whole)
 
-    hashed = F.transform(parts(text), lambda w: F.xxhash64(w))
-    return let(hashed, of_words)
 
+def anchors(text: Column, k: int = K, s: int = S) -> Column:
+    """The anchors of a text in order of their places."""
+    return let(units(text), lambda u: or_whole(syncmers(hashes_of(u), k, s), u))
 
-def all_anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """The anchors of the units, and of a short text those of its characters after them."""
-    small = lambda t: characters_of(words_of(t))
-    return let(anchors(text, k, s, units), lambda a: F.when(F.length(text) <= SHORT, F.array_union(a, anchors(text, k, s, small))).otherwise(a))
 
+def edited_anchors(own: Column, prefix: Column, tail: Column, k: int = K, s: int = S) -> Column:
+    """The anchors of `prefix` + `tail`, where `own` are those of a text that begins with `prefix`.
+
+    Units that end before the last one of the prefix are the same in both texts, so only k-mers that reach beyond them are looked at.
+    """
+    trimmed = F.regexp_replace(prefix, f"[{WHITE}]+$", "")
+
+    def joined(u: Column) -> Column:
+        n = F.greatest(F.size(u) - 1, F.lit(0))  # units that stay as they are
+        last = F.coalesce(F.get(u, F.size(u) - 1), F.lit(""))
+        rest = F.concat(last, F.substring(prefix, F.length(trimmed) + 1, F.length(prefix)), tail)
+        kept = F.least(n, F.lit(k - 1))
 
-def hashes(found: Column) -> Column:
-    return F.transform(found, lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF)))
+        def put(more: Column) -> Column:
+            window = F.concat(F.slice(u, F.greatest(n - kept + 1, F.lit(1)), kept), more)
+            found = F.transform(syncmers(hashes_of(window), k, s), lambda a: a + (n - kept).cast("long"))
+            # A single anchor may be that of a whole text without syncmers.
+            same = F.when(F.size(own) > 1, F.filter(own, lambda a: place_of(a) + k <= n)).otherwise(syncmers(hashes_of(F.slice(u, 1, n)), k, s))
+            return or_whole(F.concat(same, found), F.concat(F.slice(u, 1, n), more))
+
+        return let(units(rest), put)
+
+    return let(units(prefix), joined)
 
 
 def as_text(found: Column) -> Column:
-    """The hashes in order, eight hex digits each."""
-    return F.array_join(F.transform(hashes(found), lambda a: F.lower(F.lpad(F.hex(a), 8, "0"))), ",")
+    """Hash and distance of each anchor, base64 of four bytes each."""
+
+    def spelled(a: Column, i: Column) -> Column:
+        gap = place_of(a) - F.when(i > 0, place_of(F.get(found, i - 1))).otherwise(F.lit(0))
+        return F.lpad(F.hex(F.shiftright(a, PLACE_BITS) * 256 + F.least(gap, F.lit(255))), 8, "0")
+
+    return F.regexp_replace(F.base64(F.unhex(F.array_join(F.transform(found, spelled), ""))), "\r\n", "")
+
+
+def offset_of(left: Column, right: Column) -> Column:
+    """The most frequent difference of places between anchors of one hash, the smallest such; null where no hash is in both."""
+    sided = lambda found, side: F.transform(found, lambda a: F.struct(F.shiftright(a, PLACE_BITS).alias("h"), F.lit(side).alias("side"), place_of(a).alias("at")))
+    both = F.array_sort(F.concat(sided(left, 0), sided(right, 1)))
+
+    def differences(b: Column) -> Column:
+        def step(x: Column, i: Column) -> Column:
+            before = F.get(b, i - 1)
+            return F.when((i > 0) & (before["h"] == x["h"]) & (before["side"] < x["side"]), x["at"] - before["at"])
+
+        return F.array_sort(F.array_compact(F.transform(b, step)))
+
+    state = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit(0).alias("run"), F.lit(None).cast("bigint").alias("best"), F.lit(0).alias("most"))
+
+    def count(acc: Column, x: Column) -> Column:
+        run = F.when(acc["last"] == x, acc["run"] + 1).otherwise(F.lit(1))
+        more = run > acc["most"]
+        return F.struct(x.alias("last"), run.alias("run"), F.when(more, x).otherwise(acc["best"]).alias("best"), F.greatest(run, acc["most"]).alias("most"))
+
+    return F.aggregate(let(both, differences), state, count, lambda acc: acc["best"])
 
 
 def likeness(left: Column, right: Column) -> Column:
-    """0 to 1: twice the anchors in common by the anchors of both, each hash counted once."""
-    a, b = F.array_distinct(hashes(left)), F.array_distinct(hashes(right))
-    return let(F.size(a) + F.size(b), lambda both: F.when(both == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(a, b)) / both))
+    """0 to 1: twice the anchors that agree in hash and place, at the offset on which most agree, by the anchors of both."""
+
+    def at_offset(offset: Column) -> Column:
+        moved = F.transform(right, lambda a: a - offset)
+        return F.when(offset.isNull(), F.lit(0.0)).otherwise(2.0 * F.size(F.array_intersect(left, moved)))
+
+    total = F.size(left) + F.size(right)
+    return let(total, lambda n: F.when(n == 0, F.lit(1.0)).when(left == right, F.lit(1.0)).otherwise(let(offset_of(left, right), at_offset) / n))
 
 
-def beside_next(docs: DataFrame, id_col: str, columns: list[str], tie: str, per_partition: int = 3) -> DataFrame:
-    """Each row with `next_<column>` of the row that follows by id (null first, ties by `tie`); the first follows the last.
+def beside_next(docs: DataFrame, id_col: str, columns: list[str], tie: str, made: dict[str, Column], per_partition: int = 3) -> DataFrame:
+    """Each row with `next_<column>` of the row that follows by id (null first, ties by `tie`); the first follows the last. The columns `made` are
+    computed after the shuffle, once per row.
 
     Ids are numbers. Their quantiles cut the table into ranges, one shuffle brings each range together, and the row that begins a range goes
     to the range before as well, so that neighbours always meet. Ranges are looked up in a list of lists.
@@ -142,33 +203,35 @@ def beside_next(docs: DataFrame, id_col: str, columns: list[str], tie: str, per_
         .withColumn("_fl_range", F.when(F.col("_fl_list") == 0, F.lit(0)).otherwise(place))
         .withColumn("_fl_home", F.explode(homes))
         .select(*docs.columns, "_fl_home.range", "_fl_home.guest")
+        .repartition("range")
+        .withColumns(made)
     )
     following = Window.partitionBy("range").orderBy("guest", own.asc_nulls_first(), tie)
-    return ranged.select("*", *[F.lead(c).over(following).alias(f"next_{c}") for c in columns]).where("guest = 0").drop("range", "guest")
+    return ranged.select("*", *[F.lead(c).over(following).alias(f"next_{c}") for c in [*columns, *made]]).where("guest = 0").drop("range", "guest")
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K, s: int = S) -> DataFrame:
     """One row per document: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last quarter of code points, rounded down, replaced by as many first ones (or all) of the next document.
+    Anchors are made once per text, where the range shuffle brought it; the edited text only needs those of its end.
     """
     base = docs.select(F.col(id_col), text_of(text).alias("text"))
-    # Only texts are shuffled; a text's anchors are made after that, and the next row's are read from it.
-    pairs = beside_next(base, id_col, ["text"], "text")
-    of = lambda column: all_anchors(F.col(column), k, s)
+    pairs = beside_next(base, id_col, ["text"], "text", {"own": anchors(F.col("text"), k, s)})
     rows = pairs.select(
         id_col,
         F.length("text").cast("long").alias("n_chars"),
-        of("text").alias("own"),
-        of("next_text").alias("following"),
-        F.expr("concat(substring(text, 1, length(text) - length(text) div 4), substring(next_text, 1, cast(length(text) div 4 as int)))").alias("edited"),
-    ).withColumn("changed", of("edited"))
+        "own",
+        "next_own",
+        F.expr("substring(text, 1, length(text) - length(text) div 4)").alias("prefix"),
+        F.expr("substring(next_text, 1, cast(length(text) div 4 as int))").alias("tail"),
+    ).withColumn("changed", edited_anchors(F.col("own"), F.col("prefix"), F.col("tail"), k, s))
     return rows.select(
         id_col,
         "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
+        F.sha2(F.concat("prefix", "tail"), 256).alias("edited_sha256"),
         as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), F.col("following")).alias("near_next"),
+        likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )

