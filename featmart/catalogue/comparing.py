@@ -8,7 +8,7 @@ from ..functions.text import padded_id
 from ..operators import compare, latency, model, quantize, recon
 from ..sinks.results import benchmark_documents, comparison_document
 from ..sources import results
-from ..workdir import cut
+from ..workdir import cut, new_path
 from .base import (
     A_SQL, B_SQL, DIFFS_SQL, FEAT_SQL, LAT_SQL, Query, feat, latencies, results_a, results_b, rounded, scored, table,
 )
@@ -32,6 +32,14 @@ def res_map_explode(spark, sf_dir):
     return rows.select("sample_id", F.posexplode("outputs").alias("pos", "x")).withColumn("x", rounded(F.col("x").cast("float").cast("double"), 5))
 
 
+def res_split_explode(spark, sf_dir):
+    """All documents in one file, read in ranges of 64 KB."""
+    path = new_path(spark, "documents")
+    _result_documents(spark, sf_dir).select("value").coalesce(1).write.text(path)
+    rows = results.large_result_rows(spark, path, range_bytes=1 << 16)
+    return rows.select("sample_id", F.posexplode("outputs").alias("pos", "x")).withColumn("x", rounded(F.col("x").cast("float").cast("double"), 5))
+
+
 _FLAT_SQL = "select vec_id, unnest(range(len(embedding))) as pos, unnest(embedding) as x from embeddings"
 
 
@@ -56,12 +64,12 @@ def cmp_document(spark, sf_dir):
     return parsed.withColumns({c: rounded(c) for c in ("max_diff", "mean_diff")})
 
 
-def _benchmarks(spark, sf_dir):
+def _benchmarks(spark, sf_dir, more=None):
     device = F.struct(
         F.lit("device").alias("device"), F.lit("maker").alias("manufacturer"), F.lit("model").alias("model"), F.lit(33).alias("sdk"),
         F.lit("arm64-v8a").alias("abi"), F.lit(8).alias("cpuCores"), F.lit(8192).cast("long").alias("totalMemoryMb"),
     )
-    return benchmark_documents(latencies(spark, sf_dir), device, F.lit(1706745600000).cast("long"), F.lit("model.bin"), per_document=500)
+    return benchmark_documents(latencies(spark, sf_dir), device, F.lit(1706745600000).cast("long"), F.lit("model.bin"), per_document=500, more=more)
 
 
 def bench_parse(spark, sf_dir):
@@ -79,6 +87,25 @@ def bench_to_json(spark, sf_dir):
     return samples.select("modelName", "sample_id", "latency_ms", rounded(F.col("outputs")[0].cast("double"), 4).alias("output"))
 
 
+def bench_unknown(spark, sf_dir):
+    """Metrics that the schema does not know, written beside the known ones and read back: a number, a list and an object per model."""
+    by_model = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("model"))
+    made = by_model.agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    values = {
+        "warmupRuns": F.to_json(F.struct("n")), "eventIds": F.to_json(F.struct(F.array("first", "last").alias("n"))),
+        "span": F.to_json(F.struct(F.struct("first", "last").alias("n"))),
+    }
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.variant_get(F.parse_json(v), "$.n", "variant").alias("value")) for k, v in values.items()]))
+    more = made.select("model", pairs.alias("m")).select("model", "m.name", "m.value")
+    found = results.unknown_metrics(_benchmarks(spark, sf_dir, more))
+    return found.select("modelName", "path", F.to_json("value").alias("value"))
+
+
+_UNKNOWN_SQL = """
+with m as (select event_type as model, count(*) as n, min(event_id) as a, max(event_id) as b from events group by 1)
+select model as "modelName", '$.metrics.warmupRuns' as path, n::varchar as value from m
+union all select model, '$.metrics.eventIds', '[' || a || ',' || b || ']' from m
+union all select model, '$.metrics.span', '{"first":' || a || ',"last":' || b || '}' from m"""
 _INDEX = "cast(floor({p} / 100.0::double * (n - 1)) as bigint)"
 
 
@@ -337,6 +364,10 @@ QUERIES = [
         "res_map_explode", res_map_explode,
         f"select cast(vec_id as varchar) as sample_id, cast(pos as integer) as pos, round(cast(x as double), 5) as x from ({_FLAT_SQL})",
     ),
+    Query(
+        "res_split_explode", res_split_explode,
+        f"select cast(vec_id as varchar) as sample_id, cast(pos as integer) as pos, round(cast(x as double), 5) as x from ({_FLAT_SQL})",
+    ),
     Query(
         "expected_rows", expected_rows,
         """
@@ -360,6 +391,7 @@ select model as "modelName", 'device' as device, cast(total_samples as integer)
        p95_latency_ms as "p95LatencyMs", p99_latency_ms as "p99LatencyMs", round(throughput_samples_per_sec, 6) as "throughputSamplesPerSec"
 from ({_STATS_SQL})""",
     ),
+    Query("bench_unknown", bench_unknown, _UNKNOWN_SQL),
     Query(
         "bench_to_json", bench_to_json,
         f'select model as "modelName", sample_id, latency_ms, round(cast(cast(value as float) as double), 4) as output from ({LAT_SQL})',

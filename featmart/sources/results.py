@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import as_column
 from ..functions.text import padded_id
+from .split_json import object_entry, read_entries
 
 RESULT_SET = "map<string,array<double>>"
 
@@ -40,6 +43,21 @@ def result_rows(df: DataFrame, json: Column | str = "value", id_name: str = "sam
     return df.select(F.explode(parsed).alias(id_name, values_name))
 
 
+def large_result_rows(spark: SparkSession, path: str, id_name: str = "sample_id", values_name: str = "outputs", **options) -> DataFrame:
+    """The same rows from files of any size: a document is read by as many tasks as it has byte ranges."""
+    rows = read_entries(spark, path, **options)
+    return result_rows(rows, object_entry(), id_name, values_name)
+
+
+def large_expected_rows(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Expected-output files of any size, one row per sample. Samples must have ids: a task does not know how many came before its own."""
+    parsed = F.from_json("entry", EXPECTED.removeprefix("array<").removesuffix(">"))
+    missing = F.raise_error(F.lit("a sample of a split file has no id"))
+    return read_entries(spark, path, **options).select(parsed.alias("r")).select(
+        F.coalesce("r.sampleId", missing).alias("sample_id"), F.col("r.input").alias("input"), F.col("r.expected").alias("expected")
+    )
+
+
 def parse_benchmarks(df: DataFrame, json: Column | str = "value") -> DataFrame:
     """One row per benchmark document with a `run` struct. Metrics are read nested, else from the top level."""
     return df.withColumn("run", F.from_json(as_column(json), f"{BENCHMARK}, {RUN_ID} string"))
@@ -67,6 +85,42 @@ def benchmark_samples(df: DataFrame, json: Column | str = "value") -> DataFrame:
     )
 
 
+def result_fields(df: DataFrame, json: Column | str = "value", at: str = "$", keep: Sequence[str] = ()) -> DataFrame:
+    """`(keep, path, value)`: the fields of the object at a path of each document, whatever a schema knows of them; values are variants.
+
+    Documents are parsed once into VARIANT. What is no JSON, or has no object there, has no rows.
+    """
+    parsed = df.select(*keep, F.try_variant_get(F.try_parse_json(as_column(json)), at, "variant").alias("_fm_doc"))
+    # Arrays explode too; their elements have no key.
+    fields = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_fm_doc").outer()))
+    return fields.where("key is not null").select(*keep, F.concat(F.lit(f"{at}."), "key").alias("path"), "value")
+
+
+# Names that a benchmark document or its metrics have by the schema above.
+_DOCUMENT_FIELDS = ("modelName", "modelPath", "timestamp", "deviceInfo", "metrics", "results", RUN_ID, *_METRICS)
+
+
+def unknown_metrics(df: DataFrame, json: Column | str = "value") -> DataFrame:
+    """`(modelName, path, value)`: metrics of benchmark documents that the schema does not know, nested or at the top level, as variants.
+
+    A run in several documents repeats its metrics; equal ones count once.
+    """
+    text = as_column(json)
+    named = df.select(text.alias("_fm_text"), F.try_variant_get(F.try_parse_json(text), "$.modelName", "string").alias("modelName"))
+    parts = []
+    for at, known in (("$.metrics", _METRICS), ("$", _DOCUMENT_FIELDS)):
+        found = result_fields(named, "_fm_text", at, ["modelName"])
+        parts.append(found.where(~F.col("path").isin([f"{at}.{name}" for name in known])))
+    rows = parts[0].unionByName(parts[1]).select("modelName", "path", F.to_json("value").alias("value")).distinct()
+    return rows.withColumn("value", F.parse_json("value"))
+
+
+def seen_schema(df: DataFrame, json: Column | str = "value") -> str:
+    """The schema of all documents together, as SQL text; partial schemas are merged in tasks."""
+    row = df.agg(F.schema_of_variant_agg(F.try_parse_json(as_column(json))).alias("s")).first()
+    return row["s"]
+
+
 def expected_rows(df: DataFrame, json: Column | str = "value") -> DataFrame:
     """Expected-output documents to one row per sample; samples without an id are numbered by position."""
     parsed = F.from_json(as_column(json), EXPECTED)

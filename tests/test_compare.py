@@ -269,3 +269,22 @@ def test_fractional_latencies_survive_their_documents(spark):
     assert {r["sample_id"]: r["latency_ms"] for r in results.benchmark_samples(documents).collect()} == {"a": 0.9, "b": 1.9, "c": 3.0}
     whole = spark.createDataFrame([('{"modelName": "m", "minLatencyMs": 7, "results": [{"sampleId": "a", "latencyMs": 7}]}',)], "value string")
     assert results.benchmark_runs(whole).first()["minLatencyMs"] == 7.0 and results.benchmark_samples(whole).first()["latency_ms"] == 7.0
+
+
+def test_unknown_metrics_survive_a_round_trip(spark):
+    texts = [
+        '{"modelName": "m", "metrics": {"avgLatencyMs": 1.5, "energy": {"mj": [1, 2.5]}, "odd name": null}, "results": [], "host": "h"}',
+        '{"modelName": "m", "metrics": {"avgLatencyMs": 1.5, "energy": {"mj": [1, 2.5]}}, "results": [], "host": "h"}',
+        '{"modelName": "w", "avgLatencyMs": 2, "metrics": [1]}', "no json", None, "[1, 2]",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    found = results.unknown_metrics(df)
+    want = {("m", "$.metrics.energy", '{"mj":[1,2.5]}'), ("m", "$.metrics.odd name", "null"), ("m", "$.host", '"h"')}
+    assert {(r["modelName"], r["path"], r["v"]) for r in found.select("modelName", "path", F.to_json("value").alias("v")).collect()} == want and found.count() == 3
+    assert "energy" in results.seen_schema(df.where("value like '%host%'"))
+    samples = spark.createDataFrame([("m", "a", 0.9, [1.0]), ("w", "b", 1.0, [])], "model string, sample_id string, latency_ms double, outputs array<float>")
+    more = found.where("path = '$.metrics.energy'").select(F.col("modelName").alias("model"), F.lit("energy").alias("name"), "value")
+    documents = benchmark_documents(samples, F.struct(F.lit("d").alias("device")), F.lit(1).cast("long"), F.lit("p"), more=more)
+    again = results.unknown_metrics(documents).select("modelName", "path", F.to_json("value").alias("v")).collect()
+    assert [tuple(r) for r in again] == [("m", "$.metrics.energy", '{"mj":[1,2.5]}')]
+    assert {r["modelName"]: r["minLatencyMs"] for r in results.benchmark_runs(documents).collect()} == {"m": 0.9, "w": 1.0}
