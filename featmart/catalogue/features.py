@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.sql_functions import register_functions
 from ..operators import features as ops
-from ..operators import normalize
+from ..operators import mergeable, normalize
+from ..sources.files import run_query
 from ..sources.synthetic import correlated_features
 from ..workdir import cut
 from .base import FEAT_SQL, FEATURES, GAPS_SQL, Query, feat, gaps, rounded, table
@@ -68,6 +70,40 @@ def norm_stats(spark, sf_dir):
     return rows.select("feature", rounded("mean").alias("mean"), rounded("std").alias("std"))
 
 
+def norm_stats_merged(spark, sf_dir):
+    """The same from the states of three parts, without their rows."""
+    rows = feat(spark, sf_dir)
+    states = [cut(mergeable.moments_state(rows.where(F.col("sample_id") % 3 == i), FEATURES), "moments") for i in range(3)]
+    merged = mergeable.merge_moments(mergeable.merge_moments(*states[:2]), states[2])
+    return mergeable.moments_of(merged).select("feature", rounded("mean").alias("mean"), rounded("std").alias("std"))
+
+
+def feat_norm_cols_sql(spark, sf_dir):
+    """Normalized columns in SQL alone, by the registered functions."""
+    register_functions(spark, "feat_")
+    _numbered(spark, sf_dir).createOrReplaceTempView("featmart_numbered")
+    columns = ", ".join(f"feat_clean_value(syscall_{i}) as syscall_{i}_normalized" for i in range(1, _N + 1))
+    return run_query(spark, f"select sample_id, {columns} from featmart_numbered")
+
+
+def feat_sums_sql(spark, sf_dir):
+    """Sum and mean over normalized columns, and chosen features of a map, in SQL alone."""
+    register_functions(spark, "feat_")
+    gaps(spark, sf_dir).createOrReplaceTempView("featmart_gaps")
+    listed = ", ".join(f"cast({f} as double)" for f in FEATURES)
+    named = ", ".join(f"'{f}', cast({f} as double)" for f in FEATURES)
+    return run_query(
+        spark,
+        f"""select sample_id, feat_sum_features(feat_normalized_columns(array({listed}))) as total, round(feat_mean_features(feat_coalesce_columns(array({listed}), 1D)), 6) as mean,
+                   feat_select_features(map({named}), array('bind', 'nothing'))[0] as bind
+            from featmart_gaps""",
+    )
+
+
+_SUMS_SQL = f"""
+select sample_id, cast({' + '.join(f'coalesce({f}, 0)' for f in FEATURES)} as double) as total,
+       round(({' + '.join(f'coalesce({f}, 1)' for f in FEATURES)}) / {len(FEATURES)}.0::double, 6) as mean, cast(bind as double) as bind
+from ({GAPS_SQL})"""
 _STATS_SQL = " union all ".join(
     f"select '{f}' as feature, round(avg(cast({f} as double)), 6) as mean, round(stddev_pop(cast({f} as double)) + 1e-8, 6) as std from feat"
     for f in FEATURES
@@ -150,6 +186,8 @@ _SYNTH_SQL = (
 
 QUERIES = [
     Query("feat_norm_cols", feat_norm_cols, _NORMALIZED_SQL),
+    Query("feat_norm_cols_sql", feat_norm_cols_sql, _NORMALIZED_SQL),
+    Query("feat_sums_sql", feat_sums_sql, _SUMS_SQL),
     Query(
         "feat_safe_cols",
         feat_safe_cols,
@@ -174,6 +212,7 @@ select round(sum(l_discount), 2) as l_discount, round(sum(l_extendedprice), 2) a
 from lineitem""",
     ),
     Query("norm_stats", norm_stats, f"with feat as ({FEAT_SQL}) {_STATS_SQL}"),
+    Query("norm_stats_merged", norm_stats_merged, f"with feat as ({FEAT_SQL}) {_STATS_SQL}"),
     Query("norm_apply", norm_apply, _APPLY_SQL),
     Query("feat_zscore", feat_zscore, _ZSCORE_SQL),
     Query("tbl_describe", tbl_describe, _DESCRIBE_SQL),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import epoch_text, file_name, shorten, table_name
-from ..operators import marts, quality, splits
+from ..operators import marts, mergeable, quality, splits
 from ..operators.staging import union_by_position
 from ..sources import files
 from ..workdir import cut
@@ -108,6 +108,16 @@ def dim_families(spark, sf_dir):
     return marts.family_dimension(rows, RUN_TS, sample="sample_key", year=F.col("nation"))
 
 
+def dim_families_merged(spark, sf_dir):
+    """Families from the states of two parts: the sketches' distinct samples, and beside them the exact ones."""
+    rows = combined(spark, sf_dir)
+    parts = [rows.where(F.col("sample_key") % 2 == i) for i in range(2)]
+    state = mergeable.merge_families(*[cut(mergeable.family_state(p, sample="sample_key", year=F.col("nation")), "families") for p in parts])
+    exact = mergeable.distinct_samples(parts[0], sample="sample_key").union(mergeable.distinct_samples(parts[1], sample="sample_key"))
+    sketched, counted = mergeable.families_of(state), mergeable.families_of(state, exact)
+    return counted.join(sketched.select("family_id", F.col("unique_samples").alias("estimated_samples")), "family_id")
+
+
 def contract_align(spark, sf_dir):
     return marts.align_contract(combined(spark, sf_dir).withColumnRenamed("nation", "year"))
 
@@ -204,6 +214,15 @@ select data_source as family_id, data_source as family_name, true as is_data_sou
        cast(year(min(_ingestion_timestamp)) as integer) as earliest_year, cast(year(max(_ingestion_timestamp)) as integer) as latest_year,
        1 as year_span, timestamp '{RUN_TS}' as _dbt_loaded_at
 from ({COMBINED_SQL}) group by data_source""",
+    ),
+    Query(
+        "dim_families_merged",
+        dim_families_merged,
+        f"""
+select coalesce(family, 'benign') as family_id, family is not null as is_malware_family, count(*) as total_samples, count(distinct sample_key) as unique_samples,
+       count(*) filter (data_source = 'emulator') as emulator_count, count(*) filter (data_source = 'real_device') as real_device_count,
+       min(nation) as earliest_year, max(nation) as latest_year, max(nation) - min(nation) as year_span, count(distinct sample_key) as estimated_samples
+from ({COMBINED_SQL}) group by family""",
     ),
     Query(
         "dim_families",

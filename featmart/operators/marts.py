@@ -47,15 +47,20 @@ def source_dimension(staged: DataFrame, run_ts: str | datetime) -> DataFrame:
     return by_source.withColumns({"year_span": F.lit(1), LOADED_AT: now}).orderBy(F.desc("total_samples"), "family_id")
 
 
+BENIGN = "benign"
+
+
+def family_name(family: str) -> Column:
+    """A sample's family; none, or an empty name, is the benign one."""
+    return F.coalesce(F.when(F.trim(F.col(family)) != "", F.col(family)), F.lit(BENIGN))
+
+
 def family_dimension(
     samples: DataFrame, run_ts: str | datetime, family: str = "family", sample: str = "sha256", year: str | Column = "year"
 ) -> DataFrame:
     """One row per family. Samples without a family are the benign ones and form the row named `benign`."""
-    benign = "benign"
-    # An empty name means no family too.
-    name = F.coalesce(F.when(F.trim(F.col(family)) != "", F.col(family)), F.lit(benign))
     year = F.col(year) if isinstance(year, str) else year
-    keyed = samples.select(name.alias("family_id"), F.col(sample).alias("s"), F.col(DATA_SOURCE).alias("src"), year.alias("y"))
+    keyed = samples.select(family_name(family).alias("family_id"), F.col(sample).alias("s"), F.col(DATA_SOURCE).alias("src"), year.alias("y"))
     grouped = keyed.groupBy("family_id").agg(
         F.count(F.lit(1)).alias("total_samples"),
         F.count_distinct("s").alias("unique_samples"),
@@ -67,7 +72,7 @@ def family_dimension(
     return grouped.select(
         "family_id",
         F.col("family_id").alias("family_name"),
-        (F.col("family_id") != benign).alias("is_malware_family"),
+        (F.col("family_id") != BENIGN).alias("is_malware_family"),
         "total_samples",
         "unique_samples",
         "emulator_count",

@@ -50,9 +50,17 @@ def _by_position(df: DataFrame, values: Sequence[str], finish: str, deviation: s
 
     Values are finished after they left the row: hundreds of conditions in one row are too much code to be compiled.
     """
+    return _pairs(df, values, finish).groupBy("pos").agg(F.avg("x").alias("mean"), F.expr(f"{deviation}(x)").alias("std"))
+
+
+def _pairs(df: DataFrame, values: Sequence[str], finish: str) -> DataFrame:
     pairs = df.select(F.expr(f"posexplode(array({', '.join(values)}))").alias("pos", "raw"))
-    pairs = pairs.select("pos", F.expr(finish.format(x="raw")).alias("x"))
-    return pairs.groupBy("pos").agg(F.avg("x").alias("mean"), F.expr(f"{deviation}(x)").alias("std"))
+    return pairs.select("pos", F.expr(finish.format(x="raw")).alias("x"))
+
+
+def feature_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(pos, x): every feature's value of every row as the normalizer sees it, null and NaN as 0."""
+    return _pairs(df, _floats(df, features), _ZERO)
 
 
 def _moments(df: DataFrame, values: Sequence[str], finish: str, deviation: str) -> list[tuple[float | None, float | None]]:
