@@ -1,8 +1,9 @@
-"""Personal data: expressions propose spans, checksums confirm them, words nearby adjust their score.
+"""Personal data: expressions propose spans, checksums confirm them, words nearby raise or lower their score.
 
 Kinds with a pattern that is telling enough are always reported (email, ip, card, phone). Others are reported when checksum and
-context carry them over `MIN_SCORE`: bank accounts (iban) by mod 97, social security numbers (ssn) by their valid ranges and a word that
-names them, phone numbers without a country (local_phone) by a word that names a phone. Positions are code points, ends exclusive.
+context carry them over `MIN_SCORE`: bank accounts (iban) by their country's length and mod 97, social security numbers (ssn) by their valid ranges and a word that
+names them, phone numbers without a country (local_phone) by a word that names a phone. Context words are whole words outside the span; such as speak
+for a kind raise its score, such as speak against it (examples, version and order numbers) lower it. Positions are code points, ends exclusive.
 
 A null text counts as empty and gives no spans. Repeated rows get the same spans. An empty table gives no rows. All patterns
 take time in proportion to the text, whatever it holds.
@@ -11,6 +12,7 @@ take time in proportion to the text, whatever it holds.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -37,10 +39,30 @@ CONTEXT = {
     "ssn": ("ssn", "social security", "social-security"),
     "local_phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "téléphone", "teléfono"),
 }
+# Words that speak against a kind when they stand near it.
+_PRETENDED = ("example", "sample", "dummy", "beispiel", "exemple", "ejemplo")
+CONTRARY = {
+    "email": _PRETENDED,
+    "ip": (*_PRETENDED, "version", "release", "section", "chapter"),
+    "card": (*_PRETENDED, "isbn", "serial", "tracking", "order"),
+    "phone": (*_PRETENDED, "isbn", "serial", "order"),
+    "iban": (*_PRETENDED, "serial", "part"),
+    "ssn": (*_PRETENDED, "serial", "part", "order"),
+    "local_phone": (*_PRETENDED, "isbn", "serial", "part", "order", "invoice"),
+}
+# Characters of a bank account number by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28,
+    "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18,
+    "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32,
+    "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24,
+    "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28,
+    "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
 # What a pattern alone is worth, and what its checksum or range check adds.
 PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.6, "iban": 0.3, "ssn": 0.2, "local_phone": 0.3}
 CONFIRMED = {"email": 0.0, "ip": 0.1, "card": 0.4, "phone": 0.1, "iban": 0.4, "ssn": 0.2, "local_phone": 0.0}
-NAMED = 0.2
+NAMED, DENIED = 0.2, 0.2
 
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -104,15 +126,18 @@ def phones(text: str) -> Iterator[tuple[int, int, bool]]:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int, bool]]:
-    """The longest part of a match that passes the checksum: words in capitals may follow a number."""
+    """As many characters as the country's accounts have, if no letter or digit follows and the checksum is right: words in capitals may follow a number."""
     for m in _IBAN.finditer(text):
-        found = m.group()
-        ends = [i + 1 for i, c in enumerate(found) if c != " " and not (i + 1 < len(found) and found[i + 1].isalnum() and found[i + 1].islower())]
-        for end in reversed(ends):
-            account = found[:end].replace(" ", "")
-            if 15 <= len(account) <= 34 and mod97(account):
-                yield m.start(), m.start() + end, True
-                break
+        length = IBAN_LENGTHS.get(m.group()[:2])
+        if length is None:
+            continue
+        end = m.start()
+        for _ in range(length):
+            end += end < len(text) and text[end] == " "
+            end += 1
+        account = text[m.start() : end].replace(" ", "")
+        if end <= m.end() and len(account) == length and not text[end : end + 1].isalnum() and mod97(account):
+            yield m.start(), end, True
 
 
 def ssns(text: str) -> Iterator[tuple[int, int, bool]]:
@@ -130,14 +155,49 @@ def local_phones(text: str) -> Iterator[tuple[int, int, bool]]:
 FINDERS = {"email": emails, "ip": ips, "card": cards, "phone": phones, "iban": ibans, "ssn": ssns, "local_phone": local_phones}
 
 
+def _whole_words(words: tuple[str, ...]) -> re.Pattern:
+    return re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, words))})(?!\w)", re.IGNORECASE)
+
+
+_SPEAKS_FOR = {kind: _whole_words(words) for kind, words in CONTEXT.items()}
+_SPEAKS_AGAINST = {kind: _whole_words(words) for kind, words in CONTRARY.items()}
+
+
+def _is_near(words: re.Pattern, text: str, start: int, end: int) -> bool:
+    """Whether one of the words is among the characters before or behind the span; a word that the edge cuts is none."""
+    for first, last in ((max(0, start - NEARBY), start), (end, min(len(text), end + NEARBY))):
+        m = words.search(text, first, last)
+        if m and (m.end() < last or last in (start, len(text)) or not (text[last].isalnum() or text[last] == "_")):
+            return True
+    return False
+
+
 def scored(text: str, kind: str, start: int, end: int, confirmed: bool) -> float:
-    near = text[max(0, start - NEARBY) : end + NEARBY].lower()
-    named = any(re.search(rf"(?<!\w){re.escape(word)}", near) for word in CONTEXT[kind])
-    return round(min(1.0, PRIOR[kind] + CONFIRMED[kind] * confirmed + NAMED * named), 2)
+    score = PRIOR[kind] + CONFIRMED[kind] * confirmed
+    score += NAMED * _is_near(_SPEAKS_FOR[kind], text, start, end) - DENIED * _is_near(_SPEAKS_AGAINST[kind], text, start, end)
+    return round(min(1.0, max(0.0, score)), 2)
+
+
+class Covered:
+    """The characters of some spans, as stretches in order that do not touch."""
+
+    def __init__(self, spans: list[Span]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end, _ in sorted(spans, key=lambda s: s[1]):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlaps(self, start: int, end: int) -> bool:
+        i = bisect_right(self.ends, start)
+        return i < len(self.starts) and self.starts[i] < end
 
 
 def find(text: str | None) -> list[Span]:
-    """All spans of one text, by kind as listed, then by start. Further kinds leave out what a span of the base kinds covers."""
+    """All spans of one text, by kind as listed, then by start. Further kinds leave out what a span of another kind before them covers."""
     spans: list[Span] = []
     if not text:
         return spans
@@ -145,8 +205,9 @@ def find(text: str | None) -> list[Span]:
     for kind, finder in FINDERS.items():
         if kind != "email" and not digits:
             continue
+        covered = Covered(spans if kind in MORE_KINDS else [])
         for start, end, confirmed in finder(text):
-            if kind in MORE_KINDS and any(start < e and s < end for k, s, e, _ in spans if k != kind):
+            if covered.overlaps(start, end):
                 continue
             score = scored(text, kind, start, end, confirmed)
             if kind in BASE_KINDS or score >= MIN_SCORE:

@@ -1,6 +1,8 @@
 """Spans, languages and URLs against brute force and held-out accuracy."""
 
 import hashlib
+import time
+import random
 import re
 
 import pytest
@@ -75,6 +77,48 @@ def test_scores_rise_with_context():
     assert plain < named
 
 
+def test_accounts_have_their_countrys_length():
+    """Random letters and digits that begin like an account are hardly ever one; right ones of many countries are found, with and without spaces."""
+    rng = random.Random(13)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    made = ["".join(rng.choices(letters, k=2)) + "".join(rng.choices("0123456789", k=2)) + "".join(rng.choices(letters + "0123456789", k=rng.randint(11, 30))) for _ in range(3000)]
+    assert sum(any(s[0] == "iban" for s in pii.find(f"see {t} here")) for t in made) < 30
+    for country, length in pii.IBAN_LENGTHS.items():
+        body = "".join(rng.choices(letters + "0123456789", k=length - 4))
+        check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+        account = f"{country}{check:02}{body}"
+        spaced = " ".join(account[i : i + 4] for i in range(0, length, 4))
+        for text in (account, spaced):
+            assert [(k, f"x {text}, y"[a:b]) for k, a, b, _ in pii.find(f"x {text}, y") if k == "iban"] == [("iban", text)]
+        assert not any(s[0] == "iban" for s in pii.find(account + "7")) and not any(s[0] == "iban" for s in pii.find(account[:-1]))
+
+
+def test_context_is_whole_words_outside_the_span():
+    kinds = lambda t: [s[0] for s in pii.find(t)]
+    score = lambda t: pii.find(t)[0][3]
+    assert kinds("tell 555-123-4567") == [] and kinds("tel 555-123-4567") == ["local_phone"] and kinds("Tel.: 555-123-4567") == ["local_phone"]
+    assert score("lorem ipsum 1.2.3.4") == score("x 1.2.3.4") < score("ip 1.2.3.4")
+    assert score("mail@b.co") == score("x@b.co") < score("mail x@b.co")
+    assert kinds("phone of an example: 555-123-4567") == [] and score("version 1.2.3.4") < score("x 1.2.3.4")
+    # A word that the window's edge cuts is none.
+    assert kinds("555-123-4567" + " " * (pii.NEARBY - 4) + "callous") == [] and kinds("555-123-4567" + " " * (pii.NEARBY - 4) + "call us") == ["local_phone"]
+    assert kinds("ho" + "tel" + " " * (pii.NEARBY - 3) + "555-123-4567") == []
+
+
+def test_spans_of_many_kinds_take_linear_time():
+    text = "a@b.co 1.2.3.4 tel 555-123-4567 DE89 3704 0044 0532 0130 00, SSN 078-05-1120, 4111111111111111, +1 724 555 7058, "
+
+    def seconds(n):
+        took = []
+        for _ in range(3):
+            began = time.perf_counter()
+            assert len(pii.find(text * n)) == 7 * n
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    assert seconds(4000) <= 5 * seconds(1000)
+
+
 def test_time_is_linear():
     for text in ("a" * 400_000, "1" * 400_000, "1." * 200_000, "a@" * 200_000, "+1 (" * 100_000, "token=" * 60_000, "AKIA" * 100_000, "DE89 " * 80_000):
         pii.find(text)
