@@ -116,7 +116,8 @@ def test_spans_of_many_kinds_take_linear_time():
             took.append(time.perf_counter() - began)
         return min(took)
 
-    assert seconds(4000) <= 5 * seconds(1000)
+    # Quadratic time would be sixteen times as much.
+    assert seconds(4000) <= 8 * seconds(1000)
 
 
 def test_time_is_linear():
