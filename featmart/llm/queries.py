@@ -102,6 +102,39 @@ select doc_id, n as n_bytes, n - (length(k) // 2)::bigint as n_removed, coalesce
 from sized join kept using (doc_id) left join (select doc_id, count(*) as c from spans group by doc_id) using (doc_id)"""
 
 
+# What SQL can state of operators that it cannot express as a whole.
+
+
+def op4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+OP4_TEXTS_SQL = """
+with t as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n from documents),
+pairs as (select *, coalesce(lead(text) over (order by doc_id), first_value(text) over (order by doc_id rows between unbounded preceding and unbounded following)) as following from t)
+select doc_id, n as n_chars, sha256(substr(text, 1, n - n // 4) || substr(following, 1, n // 4)) as edited_sha256 from pairs"""
+
+
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7(spark, sf_dir).select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled"))
+
+
+OP7_RULES_SQL = f"""
+with parts as (
+  select page_id, coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), '') as h, coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path from pages),
+p as (select page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path from parts),
+rules as (select rule, split_part(rule, '/', 1) as h, substr(rule, length(split_part(rule, '/', 1)) + 1) as p, verdict
+          from (values {', '.join(f"('{r.prefix}', '{r.verdict}')" for r in URL_RULES)}) as v(rule, verdict)),
+fits as (select page_id, rule, verdict from p join rules r on (host = r.h or ends_with(host, '.' || r.h)) and starts_with(path, r.p)
+         qualify row_number() over (partition by page_id order by length(rule) desc) = 1)
+select page_id, host, path, rule, verdict as ruled from p left join fits using (page_id)"""
+
+
+def op8_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = op8(spark, sf_dir)
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = cut(trie.sequences(table(spark, sf_dir, "conversations")), "conversations")
     return trie.prefix_trie(trie.with_common_beginnings(made))
@@ -131,6 +164,19 @@ select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_chil
 from own_sums n join below b using (path, d) left join nodes p on p.d = n.d - 1 and p.path = n.path[1:n.d - 1]"""
 
 
+OP8_BASE_SQL = f"""
+with d as (
+  select doc_id, {CRC32.format(text="doc_id::varchar")} % 7 = 2 as held_out,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') || [' end'] as words
+  from documents),
+t as (select doc_id, held_out, unnest(words) as w from d),
+c as (select w, count(*) as c from t where not held_out group by w),
+s as (select coalesce(sum(c), 0)::bigint as n, count(*) as v from c)
+select doc_id, held_out, count(*) as n_tokens, count(c.c) as n_known, any_value(n) as train_tokens,
+       round(sum(log10((coalesce(c.c, 0) + 1) / (n + v + 1)::double)), 6) as base_score
+from t left join c using (w), s group by doc_id, held_out"""
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
 
@@ -146,6 +192,9 @@ QUERIES = [
     Query("op8_lm_score", op8),
     Query("op9_best_fit_packing", op9),
     Query("op10_secret_scan", op10),
+    Query("op4_edited_texts", op4_texts, OP4_TEXTS_SQL),
+    Query("op7_rules", op7_rules, OP7_RULES_SQL),
+    Query("op8_base_scores", op8_base, OP8_BASE_SQL),
     Query("op11_suffix_dedup", op11, OP11_SQL),
     Query("op12_prefix_trie", op12, OP12_SQL),
     Query("op13_structure_repair", op13),

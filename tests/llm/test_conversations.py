@@ -106,8 +106,8 @@ def test_tree_holds_every_beginning():
         assert tuple(path[::-1]) == row
 
 
-def test_trie_query(spark, registered):
-    for name in ("op12_prefix_trie", "op11_suffix_dedup"):
+def test_queries_against_sql(spark, registered):
+    for name in ("op12_prefix_trie", "op11_suffix_dedup", "op4_edited_texts", "op7_rules", "op8_base_scores"):
         assert oracle.compare(registered[name].run(spark, SF), oracle.connect(SF), registered[name].sql) is None
 
 
