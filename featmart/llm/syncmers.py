@@ -90,7 +90,7 @@ def hashes_of(parts: Column) -> Column:
 def or_whole(found: Column, parts: Column) -> Column:
     """The anchors, or one of all units where there are none."""
     whole = F.when(F.size(parts) > 0, F.array(packed(F.lit(0), F.xxhash64(parts)))).otherwise(F.array().cast("array<bigint>"))
-    return F.when(F.size(found) > 0, found).otherwise(whole)
+    return let(found, lambda f: F.when(F.size(f) > 0, f).otherwise(whole))
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
@@ -135,15 +135,17 @@ def as_text(found: Column) -> Column:
 
 def offset_of(left: Column, right: Column) -> Column:
     """The most frequent difference of places between anchors of one hash, the smallest such; null where no hash is in both."""
-    sided = lambda found, side: F.transform(found, lambda a: F.struct(F.shiftright(a, PLACE_BITS).alias("h"), F.lit(side).alias("side"), place_of(a).alias("at")))
-    both = F.array_sort(F.concat(sided(left, 0), sided(right, 1)))
+    # Hash, side and place in one number each, so that a sort of numbers brings each hash's last place on the left before its first on the right.
+    side = 1 << PLACE_BITS
+    sided = lambda found, bit: F.transform(found, lambda a: a + F.shiftright(a, PLACE_BITS) * side + F.lit(bit))
+    both = F.sort_array(F.concat(sided(left, 0), sided(right, side)))
 
     def differences(b: Column) -> Column:
-        def step(x: Column, i: Column) -> Column:
-            before = F.get(b, i - 1)
-            return F.when((i > 0) & (before["h"] == x["h"]) & (before["side"] < x["side"]), x["at"] - before["at"])
-
-        return F.array_sort(F.array_compact(F.transform(b, step)))
+        # Numbers of one hash and different sides differ by the side and their places.
+        apart = lambda x, i: F.when(
+            (F.shiftright(x, PLACE_BITS) == F.shiftright(F.get(b, i - 1), PLACE_BITS) + 1) & (F.shiftright(x, PLACE_BITS).bitwiseAND(F.lit(1)) == 1), x - F.get(b, i - 1) - F.lit(side)
+        )
+        return F.sort_array(F.array_compact(F.transform(b, apart)))
 
     state = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit(0).alias("run"), F.lit(None).cast("bigint").alias("best"), F.lit(0).alias("most"))
 
