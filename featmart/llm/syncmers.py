@@ -26,7 +26,9 @@ from .rows import text_of
 K, S = 9, 2
 WHITE = r"\x20\x09-\x0D"
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
-UNIT = rf"[{UNSPACED}]|[^{WHITE}{UNSPACED}]{{1,4}}"
+# A look-up of scripts is slow, and none of these has a character up to U+0E00: only those above are looked up.
+ABOVE = r"\u0E01-\x{10FFFF}"
+UNIT = rf"[\x21-\u0E00[\x00-\x08\x0E-\x1F[{ABOVE}&&[^{UNSPACED}]]]]{{1,4}}+|[{ABOVE}&&[{UNSPACED}]]"
 HASH_BITS, PLACE_BITS = 24, 32
 
 

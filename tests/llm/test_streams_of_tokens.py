@@ -5,6 +5,7 @@ import binascii
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -192,6 +193,29 @@ def test_anchors_against_definition(spark, k, s):
         assert unpacked(r["a"]) == want[r["i"]], texts[r["i"]]
 
 
+def test_units_of_all_characters_without_looking_up_scripts_below_them(spark):
+    """The units are those of the plain definition for every code point, and plain text is cut in well under its time."""
+    plain = F.regexp_extract_all(F.col("t"), F.lit(rf"[{syncmers.UNSPACED}]|[^{syncmers.WHITE}{syncmers.UNSPACED}]{{1,4}}"), F.lit(0))
+    found = syncmers.units(F.col("t"))
+    points = spark.range(0x110000).where(~F.col("id").between(0xD800, 0xDFFF))
+    c = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    texts = points.select("id", F.concat(c, F.lit("a"), F.repeat(c, 6), F.lit("b")).alias("t"))
+    assert texts.where(F.size(found) > 0).count() == 0x110000 - 0x800
+    assert [r["id"] for r in texts.where(found != plain).limit(5).collect()] == []
+
+    long = spark.range(0, 400, 1, 4).select(F.repeat(F.concat(F.lit("Plain words, été "), F.col("id").cast("string")), 400).alias("t")).cache()
+    long.count()
+
+    def seconds(units):
+        start = time.perf_counter()
+        long.select(units.alias("u")).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    pairs = [(seconds(found), seconds(plain)) for _ in range(5)]
+    long.unpersist()
+    assert min(a for a, _ in pairs) < 0.75 * min(b for _, b in pairs), pairs
+
+
 def test_anchors_of_an_edited_text_are_those_of_the_whole(spark):
     rng = np.random.default_rng(7)
     parts = ["", " ", "a", "ab ", "abcd", "word words ", "漢", "\n\t", "abcdefgh", "é"]
